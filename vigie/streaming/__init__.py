@@ -1,0 +1,7 @@
+"""Streaming: nothing here on purpose.
+
+The reference has no streaming path (no watermarks, windows over event time,
+state or late data): every run is a bounded batch over a monthly panel.  The
+batch plans of this package are what a user runs; a micro-batch wrapper would
+add no capability the reference has.
+"""
