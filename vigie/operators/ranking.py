@@ -107,3 +107,34 @@ def running_sums(
     for c in sum_cols:
         out = out.withColumn(f"cum_{c}", F.col(f"__o_{c}") + F.sum(c).over(w_in))
     return out.drop(b, *[f"__o_{c}" for c in sum_cols])
+
+
+def previous_row(
+    df: DataFrame,
+    order_col: str,
+    value_cols: list[str],
+    n_rows: int | None = None,
+) -> DataFrame:
+    """``lag`` by one row along ascending distinct ``order_col`` values.
+
+    Adds ``prev_<order_col>`` and ``prev_<c>`` (null on the first row).  Inside
+    a quantile bucket it is an ordinary ``lag``; the first row of a bucket takes
+    the last row of the closest non-empty bucket below, looked up in a table
+    of one row per bucket.
+    """
+    n_rows = n_rows if n_rows is not None else df.count()
+    b = "__bucket"
+    bucketed = _bucket_by_quantiles(df, order_col, _n_buckets(n_rows), b)
+    cols = [order_col, *value_cols]
+    w = Window.partitionBy(b).orderBy(order_col)
+    inner = bucketed.select("*", *[F.lag(c).over(w).alias(f"__lag_{c}") for c in cols])
+    last = bucketed.groupBy(b).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("__last"))
+    w_b = Window.partitionBy(F.lit(0)).orderBy(b)
+    # one row per bucket (bounded by _MAX_BUCKETS + 1) -> broadcast.
+    prev_last = last.select(b, F.lag("__last").over(w_b).alias("__prev"))
+    out = inner.join(F.broadcast(prev_last), b)
+    return out.select(
+        *[F.col(c) for c in df.columns],
+        *[F.when(F.col(f"__lag_{order_col}").isNull(), F.col(f"__prev.{c}"))
+          .otherwise(F.col(f"__lag_{c}")).alias(f"prev_{c}") for c in cols],
+    )

@@ -363,3 +363,7 @@ def q_paydex_outcome_summary(spark, sf):
     out = _prepared(spark, sf, spec, DEFAULT_PIPELINE)
     return finalize(out.groupBy("paydex_group", "outcome").agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("avg_delta_dette_par_effectif").alias("mean_delta")))
+
+
+# Further registrations live in sibling modules; importing them fills QUERIES/ORACLE.
+from vigie.plans import catalog_scores  # noqa: E402,F401
