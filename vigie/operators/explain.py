@@ -60,65 +60,71 @@ def _entries(model: LinearModel, contr: list[tuple[str, str, str, Column]], scal
 def _sorted_names(entries, keep, descending: bool) -> Column:
     arr = F.array(*[F.struct(v.alias("value"), F.lit(g).alias("group"), F.lit(n).alias("feature"))
                     for g, n, v in entries])
-    kept = F.filter(arr, keep)
-    sign = -1 if descending else 1
-
-    def cmp(left, right):
-        return (F.when(left["value"] < right["value"], F.lit(sign))
-                .when(left["value"] > right["value"], F.lit(-sign))
-                .when(left["feature"] < right["feature"], F.lit(-1))
-                .when(left["feature"] > right["feature"], F.lit(1))
-                .otherwise(F.lit(0)))
-
-    return F.transform(F.array_sort(kept, cmp),
-                       lambda e: F.struct(e["group"].alias("group"), e["feature"].alias("feature")))
+    return _sort_entries(arr, keep, descending)
 
 
 def explain(df: DataFrame, model: LinearModel, thresh_micro: float = 0.07) -> DataFrame:
-    """Add ``expl_selection``, ``macro_radar``, ``macro_expl``, ``micro_expl``."""
+    """Add ``expl_selection``, ``macro_radar``, ``macro_expl``, ``micro_expl``.
+
+    Three projections: contributions, then the entry array and the norm, then
+    the four outputs; each stage reads columns of the previous one, which keeps
+    every generated method small whatever the number of features.
+    """
     contr = contribution_columns(model)
     temps = [t for _, _, t, _ in contr]
-    staged = df.select("*", *[e.alias(t) for _, _, t, e in contr])
     b0 = float(model.intercept)
     n_plus_1 = len(contr) + 1
     groups = [g for g in model.groups if any(cg == g for cg, _, _, _ in contr)]
-
-    # selection
-    entries = _entries(model, contr)
     lim = 4.0 * thresh_micro
-    selection = F.struct(
-        _sorted_names(entries, lambda e: e["value"] >= F.lit(lim), True).alias("select_concerning"),
-        _sorted_names(entries, lambda e: e["value"] <= F.lit(-lim), False).alias("select_reassuring"),
-    )
 
-    # radar (X9 + A13 + X7)
+    # stage 1: c_i = b_i * x_i
+    staged = df.select("*", *[e.alias(t) for _, _, t, e in contr])
+
+    # stage 2: selection entries, norm = |b_0| + sum |b_i x_i|, group sums
+    entries = _entries(model, contr)
+    arr = F.array(*[F.struct(v.alias("value"), F.lit(g).alias("group"), F.lit(n).alias("feature"))
+                    for g, n, v in entries])
+    norm = _sum([F.lit(abs(b0))] + [F.abs(F.col(t)) for t in temps])
     shift = F.lit(b0 / n_plus_1)
     radar_vals = [sigmoid(_sum([F.col(t) - shift for g, _, t, _ in contr if g == grp])) for grp in groups]
-    macro_radar = F.map_from_arrays(F.array(*[F.lit(g) for g in groups]), F.array(*radar_vals))
+    group_sums = [_sum([F.col(t) for g, _, t, _ in contr if g == grp]) for grp in groups]
+    staged = staged.select("*", arr.alias("__entries"), norm.alias("__norm"),
+                           F.array(*radar_vals).alias("__radar"), F.array(*group_sums).alias("__gsum"))
 
-    # relative contributions
-    norm = F.lit(abs(b0))
-    for (_, name, t, _), (_, _, e) in zip(contr, model.encoded()):
-        norm = norm + F.lit(abs(float(model.coefs[name]))) * F.abs(e)
-    staged = staged.withColumn("__norm", norm)
+    # stage 3: outputs
     nrm = F.col("__norm")
-    macro_keys = groups + [OFFSET]
-    macro_vals = [F.try_divide(_sum([F.col(t) for g, _, t, _ in contr if g == grp]), nrm) for grp in groups]
-    macro_vals.append(F.try_divide(F.lit(b0), nrm))
-    macro_expl = F.map_from_arrays(F.array(*[F.lit(k) for k in macro_keys]), F.array(*macro_vals))
-
-    micro = _entries(model, contr)
-    micro_keys = [n for _, n, _ in micro] + [OFFSET]
-    micro_vals = [F.try_divide(v, nrm) for _, _, v in micro] + [F.try_divide(F.lit(b0), nrm)]
-    micro_expl = F.map_from_arrays(F.array(*[F.lit(k) for k in micro_keys]), F.array(*micro_vals))
-
+    selection = F.struct(
+        _sort_entries(F.col("__entries"), lambda e: e["value"] >= F.lit(lim), True).alias("select_concerning"),
+        _sort_entries(F.col("__entries"), lambda e: e["value"] <= F.lit(-lim), False).alias("select_reassuring"),
+    )
+    macro_radar = F.map_from_arrays(F.array(*[F.lit(g) for g in groups]), F.col("__radar"))
+    macro_keys = F.array(*[F.lit(k) for k in groups + [OFFSET]])
+    macro_vals = F.concat(F.transform(F.col("__gsum"), lambda v: F.try_divide(v, nrm)),
+                          F.array(F.try_divide(F.lit(b0), nrm)))
+    micro_keys = F.array(*[F.lit(n) for _, n, _ in entries] + [F.lit(OFFSET)])
+    micro_vals = F.concat(F.transform(F.col("__entries"), lambda e: F.try_divide(e["value"], nrm)),
+                          F.array(F.try_divide(F.lit(b0), nrm)))
     return staged.select(
         *[F.col(c) for c in df.columns],
         selection.alias("expl_selection"),
         macro_radar.alias("macro_radar"),
-        macro_expl.alias("macro_expl"),
-        micro_expl.alias("micro_expl"),
-    ).drop(*temps)
+        F.map_from_arrays(macro_keys, macro_vals).alias("macro_expl"),
+        F.map_from_arrays(micro_keys, micro_vals).alias("micro_expl"),
+    )
+
+
+def _sort_entries(arr: Column, keep, descending: bool) -> Column:
+    sign = -1 if descending else 1
+
+    def cmp(left, right):
+        return (F.when(left["value"] < right["value"], F.lit(-sign))
+                .when(left["value"] > right["value"], F.lit(sign))
+                .when(left["feature"] < right["feature"], F.lit(-1))
+                .when(left["feature"] > right["feature"], F.lit(1))
+                .otherwise(F.lit(0)))
+
+    return F.transform(F.array_sort(F.filter(arr, keep), cmp),
+                       lambda e: F.struct(e["group"].alias("group"), e["feature"].alias("feature")))
 
 
 def list_concerning(df: DataFrame, columns: list[str], thr: float = 0.07, out: str = "concerning") -> DataFrame:
