@@ -24,9 +24,10 @@ from vigie.schema import MIN_EFFECTIF, panel_type
 
 log = logging.getLogger(__name__)
 
-# Above this sample size the exact cut-off method replaces orderBy().limit(),
-# whose final merge runs in a single task.
-DIRECT_TOPK_LIMIT = 200_000
+# orderBy().limit(n) keeps n rows per input partition and merges all of them
+# in one task: it is used only while n x partitions stays under this budget;
+# above it the exact cut-off method runs instead.
+DIRECT_TOPK_BUDGET = 20_000_000
 # Id lists up to this length are sent as IN-list literals; longer lists become
 # a (broadcast) semi join.
 INLIST_LIMIT = 1_000
@@ -131,13 +132,15 @@ def top_n(
     score: str = "random_order",
     ties: tuple[str, ...] = ("siret", "periode"),
     descending: bool = True,
-    direct_limit: int = DIRECT_TOPK_LIMIT,
+    direct_limit: int | None = None,
     _depth: int = 0,
 ) -> DataFrame:
     """Exact top-``n`` rows by ``score`` (then ``ties``), distributed for any n.
 
     Small n: ``orderBy().limit()`` (TakeOrderedAndProject: per-partition top-n,
-    then a merge of n x partitions rows).  Large n: a histogram of the score in
+    then a merge of n x partitions rows in one task), used while that merge
+    stays under ``DIRECT_TOPK_BUDGET`` rows (``direct_limit`` overrides the
+    bound on n).  Large n: a histogram of the score in
     4096 equal-width ranges (one aggregation, a few thousand rows to the
     driver) finds the range that contains the n-th row; rows above it are kept
     by a plain filter, and only that range is searched again (recursively,
@@ -148,6 +151,8 @@ def top_n(
     n = int(n)
     if n <= 0:
         return df.limit(0)
+    if direct_limit is None:
+        direct_limit = DIRECT_TOPK_BUDGET // max(1, df.rdd.getNumPartitions())
     if n <= direct_limit:
         return df.orderBy(*_order(score, ties, descending)).limit(n)
     s = F.col(score).cast("double")

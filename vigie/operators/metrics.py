@@ -86,25 +86,23 @@ def average_precision(df: DataFrame, score: str = "score", outcome: str = "outco
     """Step-wise area under the precision-recall curve,
     sum over distinct thresholds of (R_n - R_(n-1)) * P_n."""
     cum = cumulative_curve(df, score, outcome)
-    total_pos = df.agg(_count_if(_is_pos(outcome)).alias("n_pos"))
-    term = (F.col("tp_at") / F.col("n_pos")) * (F.col("tps") / (F.col("tps") + F.col("fps")))
-    return cum.crossJoin(F.broadcast(total_pos)).agg(
-        F.coalesce(F.sum(F.when(F.col("n_pos") > 0, term)), F.lit(0.0)).alias("average_precision"))
+    n_pos = df.agg(_count_if(_is_pos(outcome))).scalar()
+    term = (F.col("tp_at") / n_pos) * (F.col("tps") / (F.col("tps") + F.col("fps")))
+    return cum.agg(F.coalesce(F.sum(F.when(n_pos > 0, term)), F.lit(0.0)).alias("average_precision"))
 
 
 def pr_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
     """A10: (threshold, precision, recall) for thresholds from the highest one
     that still has full recall upwards, plus the final point (null, 1, 0)."""
     cum = cumulative_curve(df, score, outcome)
-    totals = df.agg(_count_if(_is_pos(outcome)).alias("n_pos"))
-    cum = cum.crossJoin(F.broadcast(totals))  # one-row table
+    n_pos = df.agg(_count_if(_is_pos(outcome))).scalar()
     # first (highest) threshold where every positive is already above it
-    cut = cum.filter(F.col("tps") == F.col("n_pos")).agg(F.max("threshold").alias("cut"))
-    curve = cum.crossJoin(F.broadcast(cut)).filter(F.col("threshold") >= F.col("cut")).select(
+    cut = cum.filter(F.col("tps") == n_pos).agg(F.max("threshold")).scalar()
+    curve = cum.filter(F.col("threshold") >= cut).select(
         "threshold",
         F.coalesce(F.try_divide(F.col("tps").cast("double"), (F.col("tps") + F.col("fps")).cast("double")),
                    F.lit(0.0)).alias("precision"),
-        F.try_divide(F.col("tps").cast("double"), F.col("n_pos").cast("double")).alias("recall"),
+        F.try_divide(F.col("tps").cast("double"), n_pos.cast("double")).alias("recall"),
     )
     spark = df.sparkSession
     last = spark.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
@@ -116,10 +114,10 @@ def evaluate(df: DataFrame, beta: float, thresh: float = 0.5, score: str = "scor
     """One row with aucpr, balanced_accuracy, tn, fp, fn, tp, f<beta>,
     precision, recall."""
     m = with_classification_metrics(confusion(df, thresh, score, outcome), beta)
-    ap = average_precision(df, score, outcome)
+    ap = average_precision(df, score, outcome).scalar()
     label = f"f{beta:g}".replace(".", "_")
-    return m.crossJoin(ap).select(
-        F.col("average_precision").alias("aucpr"), "balanced_accuracy", "tn", "fp", "fn", "tp",
+    return m.select(
+        ap.alias("aucpr"), "balanced_accuracy", "tn", "fp", "fn", "tp",
         F.col("fbeta").alias(label), "precision", "recall")
 
 
@@ -141,9 +139,8 @@ def evaluate_dict(df: DataFrame, beta: float, thresh: float = 0.5, score: str =
 def class_balance(df: DataFrame, outcome: str = "outcome") -> DataFrame:
     """A5: rows per outcome and their share in percent."""
     counts = df.groupBy(outcome).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n_total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        outcome, "n_rows", (F.col("n_rows") * 100.0 / F.col("n_total")).alias("percent"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.select(outcome, "n_rows", (F.col("n_rows") * 100.0 / total).alias("percent"))
 
 
 def alert_counts(df: DataFrame, t_f1: float, t_f2: float, score: str = "predicted_probability") -> DataFrame:

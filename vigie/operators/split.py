@@ -68,8 +68,8 @@ def fold_sizes(train: DataFrame, test: DataFrame, folds: DataFrame, num_folds: i
     all_folds = spark.range(num_folds).select(F.col("id").cast("long").alias("fold"))
     tr = train.join(folds, "siren").groupBy("fold").agg(F.count(F.lit(1)).alias("n_train_in"))
     te = test.join(folds, "siren").groupBy("fold").agg(F.count(F.lit(1)).alias("n_test_on"))
-    total_train = train.agg(F.count(F.lit(1)).alias("n_train"))
-    return (all_folds.join(tr, "fold", "left").join(te, "fold", "left").crossJoin(total_train)
+    n_train = train.agg(F.count(F.lit(1))).scalar()
+    return (all_folds.join(tr, "fold", "left").join(te, "fold", "left")
             .select("fold",
-                    (F.col("n_train") - F.coalesce("n_train_in", F.lit(0))).alias("n_train_on"),
+                    (n_train - F.coalesce("n_train_in", F.lit(0))).alias("n_train_on"),
                     F.coalesce("n_test_on", F.lit(0)).cast("long").alias("n_test_on")))

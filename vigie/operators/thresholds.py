@@ -99,20 +99,17 @@ def thresholds_from_conditions(curve: DataFrame, min_precision_F1: float = 0.93,
     p_ok = F.col("precision") >= F.lit(float(min_precision_F1))
     r_ok = F.col("recall") >= F.lit(float(min_recall_F2))
     real = F.col("threshold").isNotNull()
+    points = curve.filter(real)
+    t_min = points.agg(F.min("threshold")).scalar()
+    r_star = points.filter((F.col("threshold") > t_min) & r_ok).agg(F.max("threshold")).scalar()
+    r_prev = points.filter(F.col("threshold") < r_star).agg(F.max("threshold")).scalar()
     stats = curve.agg(
         F.min(F.when(real & p_ok, F.col("threshold"))).alias("p_hit"),
         F.max(F.when(~real & p_ok, F.lit(1)).otherwise(0)).alias("final_p_ok"),
         F.min(F.when(real, F.col("threshold"))).alias("t_min"),
         F.max(F.when(real, F.col("threshold"))).alias("t_max"),
         F.max(F.when(real & r_ok, F.col("threshold"))).alias("r_hit_any"),
-    )
-    stats = stats.join(
-        curve.filter(real).crossJoin(F.broadcast(stats.select("t_min")))
-        .agg(F.max(F.when((F.col("threshold") > F.col("t_min")) & r_ok, F.col("threshold"))).alias("r_star")),
-        how="cross")
-    below = curve.filter(real).crossJoin(F.broadcast(stats.select("r_star"))) \
-        .agg(F.max(F.when(F.col("threshold") < F.col("r_star"), F.col("threshold"))).alias("r_prev"))
-    stats = stats.crossJoin(below)
+    ).select("*", r_star.alias("r_star"), r_prev.alias("r_prev"))
     t_f1 = (F.when(F.col("p_hit").isNotNull(), F.col("p_hit"))
             .when(F.col("final_p_ok") == 1, F.lit(None).cast("double"))
             .otherwise(F.col("t_min")))
