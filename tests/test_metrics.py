@@ -133,3 +133,14 @@ def test_alert_counts_and_balance(spark):
     assert row.pct_red == 16.67
     with pytest.raises(ValueError):
         metrics.alert_counts(df, 0.3, 0.75)
+
+
+def test_steepest_recall_drop(case):
+    y, s, df = case
+    _, r, t = np_curve(y, s)
+    fod = ((r[:-1] - np.roll(r[:-1], 1)) / (t - np.roll(t, 1)))[1:]
+    grad = thresholds.recall_gradient(metrics.pr_curve(df))
+    row = thresholds.steepest_recall_drop(grad).first()
+    assert row.recall_gradient == pytest.approx(fod.min())
+    row2 = thresholds.steepest_recall_drop(grad, skip_highest=3).first()
+    assert row2.recall_gradient == pytest.approx(fod[:-3].min())

@@ -69,3 +69,11 @@ def test_split_and_sample_are_deterministic(panel_like):
     s1 = sorted(r.siret + str(r.periode) for r in sample_rows(panel_like, 50, seed=3).collect())
     s2 = sorted(r.siret + str(r.periode) for r in sample_rows(panel_like.repartition(7), 50, seed=3).collect())
     assert s1 == s2 and len(s1) == 50
+
+
+def test_flatten_nested_records(spark):
+    from vigie.operators.dataset import flatten
+
+    df = spark.createDataFrame([(("1", "2020-01-01"), ("1", 3.0))],
+                               "_id struct<siret:string,periode:string>, value struct<siret:string,x:double>")
+    assert flatten(df).columns == ["siret", "x"]

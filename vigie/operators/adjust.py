@@ -70,3 +70,21 @@ def apply_debt_rule(df: DataFrame, tol: float = DEBT_TOLERANCE, level: str = "gr
     return staged.withColumn(
         out,
         F.when(up & (g == GREEN), F.lit(ORANGE)).when(up & g.isin(ORANGE, RED), F.lit(RED)).otherwise(g))
+
+
+def adjust_pipeline(panel: DataFrame, july: str = "2020-07-01", latest: str = "2021-01-01",
+                    sample_size: int | None = None):
+    """The two adjustment steps (attach snapshots, apply the rule).
+
+    The rule's inputs are made by the first step; ``run_pipeline`` accepts that
+    because it checks inputs against earlier steps' outputs too.
+    """
+    from vigie.plans.pipeline import Step
+
+    return (
+        Step("Prepare debt adjustment",
+             lambda df: attach_debt_snapshots(df, panel, july, latest, sample_size),
+             ("siret", "siren"), SNAPSHOT_COLUMNS),
+        Step("Debt adjustment since July", apply_debt_rule,
+             SNAPSHOT_COLUMNS + ("group_final",), ("group_final_regle_urssaf",)),
+    )

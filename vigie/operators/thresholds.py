@@ -133,3 +133,17 @@ def recall_gradient(curve: DataFrame) -> DataFrame:
         ((F.col("recall") - F.col("prev_recall")) / (F.col("threshold") - F.col("prev_threshold")))
         .alias("recall_gradient"),
     )
+
+
+def steepest_recall_drop(gradient: DataFrame, skip_highest: int = 0) -> DataFrame:
+    """Threshold where recall falls fastest (arg-min of the gradient), optionally
+    ignoring the ``skip_highest`` highest thresholds; one row
+    (threshold, precision, recall, recall_gradient)."""
+    g = gradient
+    if skip_highest > 0:
+        # the k highest thresholds: a top-k on a (distinct) threshold column
+        top = g.orderBy(F.col("threshold").desc()).limit(skip_highest).select("threshold")
+        g = g.join(top, "threshold", "left_anti")
+    best = F.min_by(F.struct("threshold", "precision", "recall", "recall_gradient"),
+                    F.struct(F.col("recall_gradient"), F.col("threshold")))
+    return g.agg(best.alias("b")).select("b.*")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vigie.functions.features import round_to, sigmoid
 from vigie.operators import clean, metrics, thresholds
-from vigie.operators.adjust import apply_debt_rule, attach_debt_snapshots
+from vigie.operators.adjust import adjust_pipeline, attach_debt_snapshots
 from vigie.operators.dataset import DatasetSpec, fetch, month_window_end
 from vigie.operators.merge import flag_scores, merge_models, score_list
 from vigie.operators.split import exclude_train_firms, fold_sizes, siren_folds
@@ -21,7 +21,7 @@ from vigie.plans import params as P
 from vigie.plans.catalog import (FIXED_SCORE_SQL, PREDICT, TEST, TRAIN, _prepared, finalize, fixed_score,
                                  panel, register, scan_sql)
 from vigie.plans.oracle_panel import with_panel
-from vigie.plans.pipeline import DEFAULT_PIPELINE
+from vigie.plans.pipeline import DEFAULT_PIPELINE, run_pipeline
 
 # --------------------------------------------------------------------------- scored evaluation set
 
@@ -313,9 +313,9 @@ def _level_col():
     f"CASE WHEN predicted_probability > {P.T_ROUGE} THEN 'rouge' WHEN predicted_probability > {P.T_ORANGE} "
     "THEN 'orange' ELSE 'vert' END AS group_final FROM snap)", *SNAP_CTES))
 def q_debt_rule(spark, sf):
-    snap = attach_debt_snapshots(_predict_scored(spark, sf), panel(spark, sf),
-                                 july=P.JULY_SNAPSHOT, latest=P.LATEST_SNAPSHOT)
-    out = apply_debt_rule(snap.withColumn("group_final", _level_col()))
+    """The adjustment pipeline (snapshots, then the rule) on alert levels."""
+    steps = adjust_pipeline(panel(spark, sf), july=P.JULY_SNAPSHOT, latest=P.LATEST_SNAPSHOT)
+    out = run_pipeline(_predict_scored(spark, sf).withColumn("group_final", _level_col()), steps)
     return finalize(out.select("siret", "group_final", "dette_sociale_july2020", "dette_sociale_latest",
                                "delta_dette", "group_final_regle_urssaf"))
 
