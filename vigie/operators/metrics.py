@@ -95,9 +95,11 @@ def pr_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> D
     """A10: (threshold, precision, recall) for thresholds from the highest one
     that still has full recall upwards, plus the final point (null, 1, 0)."""
     cum = cumulative_curve(df, score, outcome)
-    n_pos = df.agg(_count_if(_is_pos(outcome))).scalar()
-    # first (highest) threshold where every positive is already above it
-    cut = cum.filter(F.col("tps") == n_pos).agg(F.max("threshold")).scalar()
+    y = _is_pos(outcome)
+    n_pos = df.agg(_count_if(y)).scalar()
+    # The highest threshold at which every positive is already counted is the
+    # lowest positive score: one aggregate of the input, no second pass.
+    cut = df.agg(F.min(F.when(y, F.col(score)))).scalar()
     curve = cum.filter(F.col("threshold") >= cut).select(
         "threshold",
         F.coalesce(F.try_divide(F.col("tps").cast("double"), (F.col("tps") + F.col("fps")).cast("double")),

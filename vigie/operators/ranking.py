@@ -26,8 +26,6 @@ def _n_buckets(n_rows: int) -> int:
 
 def _bucket_by_quantiles(df: DataFrame, order_col: str, n_buckets: int, out: str) -> DataFrame:
     """Bucket = range of ``order_col`` (ties share a bucket), equal-count ranges."""
-    if n_buckets <= 1:
-        return df.withColumn(out, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))
     splits = [float("-inf")] + sorted({c for c in cuts if c is not None and math.isfinite(c)}) + [float("inf")]
@@ -53,7 +51,7 @@ def global_rank(
     b = "__bucket"
     with_b = df.withColumn(b, bucket)
     counts = with_b.groupBy(*parts, b).agg(F.count(F.lit(1)).alias("__n"))
-    w_off = (Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))).orderBy(b)
+    w_off = (Window.partitionBy(*parts) if parts else Window).orderBy(b)
     offsets = counts.select(
         *parts, b,
         (F.sum("__n").over(w_off.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -91,17 +89,20 @@ def running_sums(
     """
     n_rows = n_rows if n_rows is not None else df.count()
     nb = _n_buckets(n_rows)
+    ordered = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if nb <= 1:
+        # n_rows (counted above) fits one bucket: one ordered window, bounded size.
+        w = Window.orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sum_cols])
     b = "__bucket"
     bucketed = _bucket_by_quantiles(df, order_col, nb, b)
     sign = -1 if descending else 1
-    key = F.col(b) * F.lit(float(sign))
-    bucketed = bucketed.withColumn(b, key)
+    bucketed = bucketed.withColumn(b, F.col(b) * F.lit(float(sign)))
     totals = bucketed.groupBy(b).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    w_off = Window.partitionBy(F.lit(0)).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    w_off = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     # totals: at most _MAX_BUCKETS + 1 rows (proven bound) -> broadcast.
     offsets = totals.select(b, *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)).alias(f"__o_{c}")
                                  for c in sum_cols])
-    ordered = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(b).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = bucketed.join(F.broadcast(offsets), b)
     for c in sum_cols:
@@ -123,13 +124,18 @@ def previous_row(
     of one row per bucket.
     """
     n_rows = n_rows if n_rows is not None else df.count()
-    b = "__bucket"
-    bucketed = _bucket_by_quantiles(df, order_col, _n_buckets(n_rows), b)
     cols = [order_col, *value_cols]
+    nb = _n_buckets(n_rows)
+    if nb <= 1:
+        # n_rows (counted above) fits one bucket: one ordered window, bounded size.
+        w1 = Window.orderBy(order_col)
+        return df.select("*", *[F.lag(c).over(w1).alias(f"prev_{c}") for c in cols])
+    b = "__bucket"
+    bucketed = _bucket_by_quantiles(df, order_col, nb, b)
     w = Window.partitionBy(b).orderBy(order_col)
     inner = bucketed.select("*", *[F.lag(c).over(w).alias(f"__lag_{c}") for c in cols])
     last = bucketed.groupBy(b).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("__last"))
-    w_b = Window.partitionBy(F.lit(0)).orderBy(b)
+    w_b = Window.orderBy(b)
     # one row per bucket (bounded by _MAX_BUCKETS + 1) -> broadcast.
     prev_last = last.select(b, F.lag("__last").over(w_b).alias("__prev"))
     out = inner.join(F.broadcast(prev_last), b)

@@ -50,12 +50,12 @@ def fbeta_sweep(df: DataFrame, betas: Sequence[float] = (0.5, 2.0), n_thr: int =
         [(i, t, float(points.index(t) + 1)) for i, t in enumerate(grid)],
         "position int, threshold double, __b double")
     # at most len(grid) + 2 rows on both sides: bounded by the grid size.
-    suffix = Window.partitionBy(F.lit(0)).orderBy(F.col("__b").desc()).rowsBetween(
+    suffix = Window.orderBy(F.col("__b").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     buckets = spark.createDataFrame([(float(k),) for k in range(len(splits) - 1)], "__b double") \
         .join(per_bucket, "__b", "left").na.fill(0, ["pos", "neg"])
     cum = buckets.select("__b", F.sum("pos").over(suffix).alias("tp"), F.sum("neg").over(suffix).alias("fp"),
-                         F.sum("pos").over(Window.partitionBy(F.lit(0))).alias("n_pos"))
+                         F.sum("pos").over(Window.partitionBy()).alias("n_pos"))
     out = grid_df.join(F.broadcast(cum), "__b").select(
         "position", "threshold", "tp", "fp", (F.col("n_pos") - F.col("tp")).alias("fn"))
     p, r = precision_expr(), recall_expr()
@@ -99,26 +99,30 @@ def thresholds_from_conditions(curve: DataFrame, min_precision_F1: float = 0.93,
     p_ok = F.col("precision") >= F.lit(float(min_precision_F1))
     r_ok = F.col("recall") >= F.lit(float(min_recall_F2))
     real = F.col("threshold").isNotNull()
-    points = curve.filter(real)
-    t_min = points.agg(F.min("threshold")).scalar()
-    r_star = points.filter((F.col("threshold") > t_min) & r_ok).agg(F.max("threshold")).scalar()
-    r_prev = points.filter(F.col("threshold") < r_star).agg(F.max("threshold")).scalar()
-    stats = curve.agg(
+    # one aggregation; recall does not increase with the threshold, so the
+    # thresholds meeting the recall form a prefix [t_min .. r_hit].
+    st = curve.agg(
         F.min(F.when(real & p_ok, F.col("threshold"))).alias("p_hit"),
         F.max(F.when(~real & p_ok, F.lit(1)).otherwise(0)).alias("final_p_ok"),
         F.min(F.when(real, F.col("threshold"))).alias("t_min"),
         F.max(F.when(real, F.col("threshold"))).alias("t_max"),
-        F.max(F.when(real & r_ok, F.col("threshold"))).alias("r_hit_any"),
-    ).select("*", r_star.alias("r_star"), r_prev.alias("r_prev"))
-    t_f1 = (F.when(F.col("p_hit").isNotNull(), F.col("p_hit"))
-            .when(F.col("final_p_ok") == 1, F.lit(None).cast("double"))
-            .otherwise(F.col("t_min")))
-    if mode == "strict":
-        t_f2 = F.col("r_hit_any")
+        F.max(F.when(real & r_ok, F.col("threshold"))).alias("r_hit"),
+    ).first()
+    if st["p_hit"] is not None:
+        t_f1 = st["p_hit"]
+    elif st["final_p_ok"] == 1:
+        t_f1 = None
     else:
-        final_r_ok = F.lit(float(min_recall_F2) <= 0.0)
-        t_f2 = F.when(final_r_ok | F.col("r_star").isNull(), F.col("t_max")).otherwise(F.col("r_prev"))
-    return stats.select(t_f1.alias("t_f1"), t_f2.alias("t_f2"))
+        t_f1 = st["t_min"]
+    r_hit = st["r_hit"]
+    if mode == "strict":
+        t_f2 = r_hit
+    elif float(min_recall_F2) <= 0.0 or r_hit is None or r_hit <= st["t_min"]:
+        t_f2 = st["t_max"]
+    else:  # the next lower threshold below r_hit
+        t_f2 = curve.filter(real & (F.col("threshold") < F.lit(r_hit))).agg(F.max("threshold")).first()[0]
+    spark = curve.sparkSession
+    return spark.createDataFrame([(t_f1, t_f2)], "t_f1 double, t_f2 double")
 
 
 def recall_gradient(curve: DataFrame) -> DataFrame:
