@@ -13,7 +13,6 @@ aggregation is partial (map-side) for mean, max and ``min_by``.
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,6 +23,9 @@ from vigie.sources.panel import hash_unit
 
 SECTOR = "code_ape_niveau3"
 _ROWS_PER_BUCKET = 200_000
+# groups are numbered in hash order through this many hash ranges (offset
+# table of at most this many rows)
+_GROUP_ID_BUCKETS = 256
 
 
 def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_variables: Sequence[str],
@@ -35,14 +37,15 @@ def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_
     # A1: sectors with more than group_size counted sirets (null sector excluded)
     sizes = base.filter(F.col(SECTOR).isNotNull()).groupBy(SECTOR).agg(F.count("siret").alias("__n"))
     big = sizes.filter(F.col("__n") > group_size)
-    models = base.join(big.select(SECTOR), SECTOR, "left_semi")
+    # inner join on the (one row per sector) size table: keeps big sectors only
+    # and brings the sector size, from which its number of hash buckets follows.
+    models = base.join(big, SECTOR)
     # Seeded random rank inside the sector (1-based), W2: round-robin group
     models = models.withColumn("__h", hash_unit(F.col("siret"), F.col("periode").cast("string"),
                                                 F.lit(str(seed))))
-    n_max = big.agg(F.max("__n")).first()[0] or 0
-    nb = max(1, min(4096, math.ceil(n_max / _ROWS_PER_BUCKET)))
+    buckets = F.ceil(F.col("__n") / F.lit(_ROWS_PER_BUCKET))
     ranked = global_rank(models, [F.col("__h"), F.col("siret"), F.col("periode")],
-                         F.floor(F.col("__h") * nb), partition_cols=[SECTOR], out="__rank")
+                         F.floor(F.col("__h") * buckets), partition_cols=[SECTOR], out="__rank")
     ranked = ranked.withColumn("__gid", F.pmod(F.col("__rank"), F.lit(group_size)))
     # A2 + A3 in one aggregation (J4 is not needed)
     ref = F.min_by(F.struct(*[F.col(c) for c in cat_variables]), F.col("__rank"))
@@ -54,10 +57,8 @@ def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_
     # Unique 14-digit ids, numbered in seeded hash order of the groups
     groups = groups.withColumn("__gh", hash_unit(F.col(SECTOR), F.col("__gid").cast("string"),
                                                  F.lit(str(seed))))
-    n_groups = groups.count()
-    gb = max(1, min(4096, math.ceil(n_groups / _ROWS_PER_BUCKET)))
     numbered = global_rank(groups, [F.col("__gh"), F.col(SECTOR), F.col("__gid")],
-                           F.floor(F.col("__gh") * gb), out="__id")
+                           F.floor(F.col("__gh") * _GROUP_ID_BUCKETS), out="__id")
     siret = (F.lit(10_000_000_000_000) + F.col("__id")).cast("string")
     return numbered.select(
         siret.alias("siret"),
