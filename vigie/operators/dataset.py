@@ -229,8 +229,11 @@ def fetch_quota(panel: DataFrame, spec: DatasetSpec) -> DataFrame:
     """O3 + U1: ``round(p*n)`` top rows with outcome true, the rest false.
 
     A class with fewer rows than its quota is not topped up.  The spec itself is
-    left unchanged.
+    left unchanged.  Without a sample size there is no quota: every labelled
+    row is kept.
     """
+    if spec.sample_size is None:
+        return fetch(panel, spec.with_(proportion_positive_class=None))
     n_true, n_false = quota_sizes(int(spec.sample_size), float(spec.proportion_positive_class))
     base = spec.with_(proportion_positive_class=None)
     pos = fetch(panel, base.with_(outcome=True, sample_size=n_true))

@@ -199,11 +199,8 @@ def q_logreg_fit_score(spark, sf):
 @register("model_run")
 def q_model_run(spark, sf):
     from vigie.plans.run import run_model
-    overrides = {"train_spl_size": "all", "train_proportion_positive_class": None,
-                 "test_spl_size": "all", "predict_spl_size": "all"}
-    spec = default_model()
-    spec = spec.__class__(**{**spec.__dict__, "train": spec.train.with_(proportion_positive_class=None)})
-    preds, _, _ = run_model(spark, panel(spark, sf), spec, overrides)
+    overrides = {"train_spl_size": "all", "test_spl_size": "all", "predict_spl_size": "all"}
+    preds, _, _ = run_model(spark, panel(spark, sf), default_model(), overrides)
     return finalize(preds)
 
 
