@@ -39,10 +39,10 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigie.schema import DEBT_LAGS, FINANCIAL_RATIOS, PANEL_COLUMNS
+from vigie.schema import DEBT_LAGS, FINANCIAL_RATIOS, PANEL_COLUMNS, PANEL_SCHEMA
 from vigie.session import checkpoint_dir
 
-RECIPE_VERSION = "panel-v1"
+RECIPE_VERSION = "panel-v2"
 _TWO_POW_32 = 4294967296.0
 _lock = threading.Lock()
 _cache: dict[tuple[str, str], str] = {}
@@ -180,27 +180,37 @@ def _fingerprint(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
-def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
+               refresh: bool = False) -> DataFrame:
     """The panel as a table.
 
     With ``materialize`` the plan of ``build_panel`` runs once per input and
-    session and is written to ``<checkpoint dir>/panel/<fingerprint>`` (sorted
-    by month within each file); later calls read that table, so downstream
-    queries start from a short lineage and get row-group pruning on ``periode``.
+    is written to ``<checkpoint dir>/panel/<fingerprint>``, partitioned by
+    ``periode``: a date filter becomes a partition filter that skips whole
+    directories.  Rows are range-partitioned by (periode, siret) before the
+    write, so each task writes a contiguous run of months (few files, not
+    tasks x months) sorted by establishment.  Later calls read that table, so
+    downstream queries start from a short lineage.  ``refresh`` rebuilds it
+    even if a committed table with the same fingerprint exists.
     """
     if not materialize:
         return build_panel(spark, sf_dir)
     root = checkpoint_dir(spark)
     key = (root, _fingerprint(sf_dir))
     with _lock:
-        path = _cache.get(key)
+        path = None if refresh else _cache.get(key)
         if path is None:
             path = f"{root}/panel/{key[1]}"
             try:  # a table committed by an earlier session with the same input
+                if refresh:
+                    raise FileNotFoundError(path)
                 spark.read.parquet(path).schema
-            except Exception:  # noqa: BLE001 - absent or never committed
+            except Exception:  # noqa: BLE001 - absent, never committed, or refresh
+                n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
                 (build_panel(spark, sf_dir)
-                 .sortWithinPartitions("periode")
-                 .write.mode("overwrite").parquet(path))
+                 .repartitionByRange(n_parts, "periode", "siret")
+                 .sortWithinPartitions("periode", "siret")
+                 .write.mode("overwrite").partitionBy("periode").parquet(path))
             _cache[key] = path
-    return spark.read.parquet(path)
+    table = spark.read.schema(PANEL_SCHEMA).parquet(path)
+    return table.select(*PANEL_COLUMNS)
