@@ -16,6 +16,7 @@ default (L2, C=1, unpenalised intercept): Spark minimises
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import asdict, dataclass, field
 from typing import Sequence
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from vigie.functions.features import sigmoid
 
 OFFSET = "model_offset"
+_ROWS_PER_FIT_PARTITION = 1_000_000
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -123,11 +125,18 @@ class LinearModel:
 
 
 def encode(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[str]) -> LinearModel:
-    """P8 fit: levels of ``onehot`` features and scaler of the others."""
+    """P8 fit: levels of ``onehot`` features and scaler of the others, in one
+    aggregation (a single pass over the training set)."""
     feats = [f for fs in groups.values() for f in fs]
     cat = [f for f in feats if f in set(onehot)]
     num = [f for f in feats if f not in set(onehot)]
-    return LinearModel(groups=groups, levels=fit_levels(df, cat), scaler=fit_scaler(df, num))
+    aggs = [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"l__{c}") for c in cat]
+    for c in num:
+        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
+    row = df.agg(*aggs).first() if aggs else None
+    return LinearModel(groups=groups,
+                       levels={c: list(row[f"l__{c}"]) for c in cat},
+                       scaler={c: (row[f"m__{c}"], row[f"s__{c}"]) for c in num})
 
 
 def fit_logistic(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[str],
@@ -144,6 +153,16 @@ def fit_logistic(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[s
     data = data.persist()
     try:
         n = data.count()
+        # Each optimiser iteration is one job over every cached partition:
+        # keep about _ROWS_PER_FIT_PARTITION rows per partition (a large
+        # training set keeps many partitions; a sample does not pay for
+        # hundreds of nearly empty tasks per iteration).
+        wanted = max(1, math.ceil(n / _ROWS_PER_FIT_PARTITION))
+        if data.rdd.getNumPartitions() > wanted:
+            packed = data.coalesce(wanted).persist()
+            packed.count()
+            data.unpersist()
+            data = packed
         lr = LogisticRegression(featuresCol="__features", labelCol="__y", regParam=1.0 / (C * n),
                                 elasticNetParam=0.0, standardization=False, fitIntercept=True,
                                 maxIter=max_iter, tol=tol)

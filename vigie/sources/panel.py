@@ -46,6 +46,7 @@ RECIPE_VERSION = "panel-v2"
 _TWO_POW_32 = 4294967296.0
 _lock = threading.Lock()
 _cache: dict[tuple[str, str], str] = {}
+_tables: dict[tuple[str, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -212,5 +213,12 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
                  .sortWithinPartitions("periode", "siret")
                  .write.mode("overwrite").partitionBy("periode").parquet(path))
             _cache[key] = path
-    table = spark.read.schema(PANEL_SCHEMA).parquet(path)
-    return table.select(*PANEL_COLUMNS)
+            _tables.pop((spark.sparkContext.applicationId, path), None)
+        # one DataFrame per session and table: its file index (the listing of
+        # the month directories) is built once, not per query
+        app = spark.sparkContext.applicationId
+        table = _tables.get((app, path))
+        if table is None:
+            table = spark.read.schema(PANEL_SCHEMA).parquet(path).select(*PANEL_COLUMNS)
+            _tables[(app, path)] = table
+    return table
