@@ -56,3 +56,11 @@ def test_no_firm_in_both_train_and_test(spark, panel):
     overlap = test.select("siren").distinct().join(train.select("siren").distinct(), "siren")
     assert overlap.count() == 0
     assert test.filter(F.coalesce(F.col("time_til_outcome") <= 0, F.lit(False))).count() == 0
+
+
+def test_exclude_fetched_train_firms_is_stricter(spark, panel):
+    _, s1, _ = run_model(spark, panel, small_model(), ALL)
+    _, s2, _ = run_model(spark, panel, small_model(), ALL, exclude_fetched_train_firms=True)
+    n1 = sum(s1["test"]["confusion_matrix"].values())
+    n2 = sum(s2["test"]["confusion_matrix"].values())
+    assert n2 <= n1

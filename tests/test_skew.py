@@ -38,3 +38,10 @@ def test_synthetic_independent_of_bucket_count(spark, monkeypatch):
     monkeypatch.setattr(synthetic, "_ROWS_PER_BUCKET", 50)
     many = sorted(synthetic.build_synthetic_dataset(base, *args, seed=3).collect())
     assert one == many and len(one) == 10 * 5
+
+
+def test_synthetic_members_per_group(spark):
+    base = _skewed(spark, n=1000)
+    out = synthetic.build_synthetic_dataset(base, ["effectif"], ["outcome"], 5, seed=1, members_per_group=True)
+    # 700 rows in HOT -> 140 groups; the 9 other sectors hold 33 or 34 rows -> 7 groups each
+    assert out.count() == 140 + 9 * 7

@@ -21,7 +21,8 @@ def _is_pos(outcome: str) -> Column:
 
 
 def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+    """Rows where ``cond`` holds (0, not null, on an empty input)."""
+    return F.count(F.when(cond, F.lit(1)))
 
 
 def confusion(df: DataFrame, thresh: float = 0.5, score: str = "score",

@@ -29,8 +29,16 @@ _GROUP_ID_BUCKETS = 256
 
 
 def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_variables: Sequence[str],
-                            group_size: int = 5, seed: int = 0) -> DataFrame:
-    """Columns: siret, siren, periode, outcome, other categorical, continuous."""
+                            group_size: int = 5, seed: int = 0,
+                            members_per_group: bool = False) -> DataFrame:
+    """Columns: siret, siren, periode, outcome, other categorical, continuous.
+
+    Default (as the reference computes): ``rank mod group_size`` -> each sector
+    gives ``group_size`` mock establishments of about n/group_size members.
+    ``members_per_group=True`` (as the reference describes): consecutive ranks
+    ``(rank-1) div group_size`` -> each mock is made of ``group_size``
+    establishments (the last group of a sector may be smaller).
+    """
     if "outcome" not in cat_variables:
         raise ValueError("`outcome` must be one of the categorical variables")
     cat_rest = [c for c in cat_variables if c != "outcome"]
@@ -46,7 +54,11 @@ def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_
     buckets = F.ceil(F.col("__n") / F.lit(_ROWS_PER_BUCKET))
     ranked = global_rank(models, [F.col("__h"), F.col("siret"), F.col("periode")],
                          F.floor(F.col("__h") * buckets), partition_cols=[SECTOR], out="__rank")
-    ranked = ranked.withColumn("__gid", F.pmod(F.col("__rank"), F.lit(group_size)))
+    if members_per_group:
+        gid = F.floor((F.col("__rank") - 1) / F.lit(group_size)).cast("long")
+    else:
+        gid = F.pmod(F.col("__rank"), F.lit(group_size))
+    ranked = ranked.withColumn("__gid", gid)
     # A2 + A3 in one aggregation (J4 is not needed)
     ref = F.min_by(F.struct(*[F.col(c) for c in cat_variables]), F.col("__rank"))
     groups = ranked.groupBy(SECTOR, "__gid").agg(

@@ -100,9 +100,15 @@ def prepare_predict(panel: DataFrame, spec: ModelSpec) -> DataFrame:
 def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
               overrides: dict[str, Any] | None = None, out_dir: str | None = None,
               with_explain: bool = False, save_model: bool = False,
-              predict_sirets: DataFrame | None = None) -> tuple[DataFrame, dict[str, Any], LinearModel]:
+              predict_sirets: DataFrame | None = None,
+              exclude_fetched_train_firms: bool = False) -> tuple[DataFrame, dict[str, Any], LinearModel]:
     """Returns (predictions, statistics, fitted model); writes
-    ``predictions/``, ``stats/`` (and ``model/``) under ``out_dir`` if given."""
+    ``predictions/``, ``stats/`` (and ``model/``) under ``out_dir`` if given.
+
+    Test rows of firms seen in training are dropped; by default "seen" means
+    present in the cleaned training set (as the reference does), with
+    ``exclude_fetched_train_firms`` every fetched training firm counts.
+    """
     spec = apply_overrides(spec, overrides, predict_sirets)
     stats = make_stats(spec)
     stats["run_on"] = datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S")
@@ -111,7 +117,8 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
     try:
         model = fit_logistic(train, spec.feature_groups, spec.onehot)
         stats["train"] = _metrics(model.score(train, "score"), spec.eval_beta)
-        test = model.score(prepare_test(panel, spec, train), "score")
+        seen = fetch(panel, spec.train) if exclude_fetched_train_firms else train
+        test = model.score(prepare_test(panel, spec, seen), "score")
         stats["test"] = _metrics(test, spec.eval_beta)
     finally:
         train.unpersist()
