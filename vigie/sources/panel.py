@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -169,7 +170,16 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.select(*PANEL_COLUMNS)
 
 
+_PROCESS_TOKEN = uuid.uuid4().hex
+
+
 def _fingerprint(sf_dir: str) -> str:
+    """Recipe version + input location + size and mtime of every input file.
+
+    When an input cannot be stat-ed locally (a remote store), the fingerprint
+    also carries a per-process token: the table is then reused within this
+    process only, never taken from an earlier run whose input may differ.
+    """
     parts = [RECIPE_VERSION, os.path.abspath(sf_dir)]
     for name in ("lineitem", "orders", "customer", "nation", "region"):
         path = os.path.join(sf_dir, f"{name}.parquet")
@@ -177,7 +187,7 @@ def _fingerprint(sf_dir: str) -> str:
             st = os.stat(path)
             parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
         except OSError:
-            parts.append(f"{name}:?")
+            parts.append(f"{name}:{_PROCESS_TOKEN}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
