@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from vigie.schema import DEBT_LAGS, FINANCIAL_RATIOS, PANEL_COLUMNS, PANEL_SCHEMA
 from vigie.session import checkpoint_dir
 
-RECIPE_VERSION = "panel-v2"
+RECIPE_VERSION = "panel-v3"
 _TWO_POW_32 = 4294967296.0
 _lock = threading.Lock()
 _cache: dict[tuple[str, str], str] = {}
@@ -198,9 +198,11 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
     With ``materialize`` the plan of ``build_panel`` runs once per input and
     is written to ``<checkpoint dir>/panel/<fingerprint>``, partitioned by
     ``periode``: a date filter becomes a partition filter that skips whole
-    directories.  Rows are range-partitioned by (periode, siret) before the
-    write, so each task writes a contiguous run of months (few files, not
-    tasks x months) sorted by establishment.  Later calls read that table, so
+    directories.  Rows are rebalanced by month before the write (one shuffle,
+    no sampling pass; AQE splits a large month and merges small ones to the
+    advisory partition size), so files hold one month each and number about
+    size / advisory size instead of tasks x months; inside a file rows are
+    sorted by establishment.  Later calls read that table, so
     downstream queries start from a short lineage.  ``refresh`` rebuilds it
     even if a committed table with the same fingerprint exists.
     """
@@ -217,9 +219,8 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
                     raise FileNotFoundError(path)
                 spark.read.parquet(path).schema
             except Exception:  # noqa: BLE001 - absent, never committed, or refresh
-                n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
                 (build_panel(spark, sf_dir)
-                 .repartitionByRange(n_parts, "periode", "siret")
+                 .hint("rebalance", "periode")
                  .sortWithinPartitions("periode", "siret")
                  .write.mode("overwrite").partitionBy("periode").parquet(path))
             _cache[key] = path
