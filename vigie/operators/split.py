@@ -48,11 +48,12 @@ def siren_folds(train: DataFrame, test: DataFrame, num_folds: int, seed: int = 0
         _check_fold_args(train, test, num_folds)
     sirens = distinct_sirens(train).filter(F.col("siren").isNotNull())
     sirens = sirens.withColumn("__h", hash_unit(F.col("siren"), F.lit(str(seed))))
-    n = sirens.agg(F.count(F.lit(1))).scalar()
+    # the total enters the tile arithmetic several times: one number, fetched once
+    n = sirens.count()
     # uniform hash ranges: each holds ~1/_HASH_BUCKETS of the firms
     ranked = global_rank(sirens, [F.col("__h"), F.col("siren")],
                          F.floor(F.col("__h") * _HASH_BUCKETS), out="__rank")
-    return ranked.select("siren", ntile_from_rank(F.col("__rank"), n, num_folds).alias("fold"))
+    return ranked.select("siren", ntile_from_rank(F.col("__rank"), F.lit(n), num_folds).alias("fold"))
 
 
 def fold_sets(train: DataFrame, test: DataFrame, folds: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
