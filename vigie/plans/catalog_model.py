@@ -204,6 +204,16 @@ def q_model_run(spark, sf):
     return finalize(preds)
 
 
+@register("model_run_small")
+def q_model_run_small(spark, sf):
+    """P14 with the "small" specification (no financial ratios, no payment delays)."""
+    from vigie.plans.run import run_model
+    from vigie.plans.specs import small_model
+    overrides = {"train_spl_size": "all", "test_spl_size": "all", "predict_spl_size": "all"}
+    preds, _, _ = run_model(spark, panel(spark, sf), small_model(), overrides)
+    return finalize(preds)
+
+
 @register("export_scores", with_panel(
     f"SELECT siret, '{MONTH_A}' AS periode, round(predicted_probability, 6) AS score, '{BATCH}' AS batch, "
     f"'{ALGO}' AS algo, {FLAG_SQL} AS alert FROM merged", *MODELS_CTES))
