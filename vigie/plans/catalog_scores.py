@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigie.functions.features import round_to, sigmoid
-from vigie.operators import clean, metrics, thresholds
+from vigie.operators import metrics, thresholds
 from vigie.operators.adjust import adjust_pipeline, attach_debt_snapshots
 from vigie.operators.dataset import DatasetSpec, fetch, month_window_end
 from vigie.operators.merge import flag_scores, merge_models, score_list
@@ -41,10 +41,6 @@ def _w(body: str, *ctes: str) -> str:
     return with_panel(body, SCORED_CTE, *ctes)
 
 
-def r6(expr: str) -> str:
-    return f"round({expr}, 6)"
-
-
 # --------------------------------------------------------------------------- A5, A6, A7, A9
 
 @register("class_balance", _w(

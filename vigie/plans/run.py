@@ -45,7 +45,6 @@ ARGS_TO_ATTRS = {
     "predict_on": ("predict", "date_min"),
 }
 # --- end of fixed values -------------------------------------------------------
-_UNSET = object()
 
 
 def apply_overrides(spec: ModelSpec, overrides: dict[str, Any] | None,
