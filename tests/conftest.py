@@ -28,3 +28,10 @@ def spark():
 @pytest.fixture
 def scratch():
     return tempfile.mkdtemp(prefix="vigie-test-")
+
+
+@pytest.fixture(scope="module")
+def monkeypatch_module():
+    mp = pytest.MonkeyPatch()
+    yield mp
+    mp.undo()
