@@ -64,3 +64,13 @@ def test_exclude_fetched_train_firms_is_stricter(spark, panel):
     n1 = sum(s1["test"]["confusion_matrix"].values())
     n2 = sum(s2["test"]["confusion_matrix"].values())
     assert n2 <= n1
+
+
+def test_predict_siret_list_file(spark, panel, scratch):
+    full, _, _ = run_model(spark, panel, small_model(), ALL)
+    keep = sorted(r.siret for r in full.collect())[:3]
+    path = f"{scratch}/sirets.csv"
+    with open(path, "w") as fh:
+        fh.write("\n".join(str(int(s)) for s in keep) + "\n")   # leading zeros lost, as in a numeric export
+    some, _, _ = run_model(spark, panel, small_model(), ALL, predict_siretlist_path=path)
+    assert sorted(r.siret for r in some.collect()) == keep

@@ -100,14 +100,19 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
               overrides: dict[str, Any] | None = None, out_dir: str | None = None,
               with_explain: bool = False, save_model: bool = False,
               predict_sirets: DataFrame | None = None,
-              exclude_fetched_train_firms: bool = False) -> tuple[DataFrame, dict[str, Any], LinearModel]:
+              exclude_fetched_train_firms: bool = False,
+              predict_siretlist_path: str | None = None) -> tuple[DataFrame, dict[str, Any], LinearModel]:
     """Returns (predictions, statistics, fitted model); writes
     ``predictions/``, ``stats/`` (and ``model/``) under ``out_dir`` if given.
 
     Test rows of firms seen in training are dropped; by default "seen" means
     present in the cleaned training set (as the reference does), with
     ``exclude_fetched_train_firms`` every fetched training firm counts.
+    ``predict_siretlist_path`` restricts the prediction set to the sirets of a
+    one-column file (S5; an empty file raises ``EmptyFileError``).
     """
+    if predict_siretlist_path is not None:
+        predict_sirets = io.read_siret_list(spark, predict_siretlist_path)
     spec = apply_overrides(spec, overrides, predict_sirets)
     stats = make_stats(spec)
     stats["run_on"] = datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S")
