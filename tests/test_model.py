@@ -70,3 +70,12 @@ def test_zero_std_divides_by_one(spark):
     m = encode(df, {"g": ["k"]}, [])
     m.coefs = {"k": 2.0}
     assert [r[0] for r in df.select(m.margin()).collect()] == [0.0, 0.0]
+
+
+def test_unknown_level_is_an_error(spark, data):
+    df, *_ = data
+    model = fit_logistic(df.filter("c != 'mid'"), GROUPS, ["c"])
+    assert model.levels == {"c": ["hi", "lo"]}
+    model.check_levels(df.filter("c != 'mid'"))
+    with pytest.raises(ValueError):
+        model.check_levels(df)

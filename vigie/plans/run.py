@@ -101,7 +101,8 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
               with_explain: bool = False, save_model: bool = False,
               predict_sirets: DataFrame | None = None,
               exclude_fetched_train_firms: bool = False,
-              predict_siretlist_path: str | None = None) -> tuple[DataFrame, dict[str, Any], LinearModel]:
+              predict_siretlist_path: str | None = None,
+              unknown: str = "error") -> tuple[DataFrame, dict[str, Any], LinearModel]:
     """Returns (predictions, statistics, fitted model); writes
     ``predictions/``, ``stats/`` (and ``model/``) under ``out_dir`` if given.
 
@@ -110,7 +111,11 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
     ``exclude_fetched_train_firms`` every fetched training firm counts.
     ``predict_siretlist_path`` restricts the prediction set to the sirets of a
     one-column file (S5; an empty file raises ``EmptyFileError``).
+    A categorical level absent from training is an error (``unknown="error"``,
+    as the reference's encoder) or encodes as all zeros (``unknown="ignore"``).
     """
+    if unknown not in ("error", "ignore"):
+        raise ValueError("unknown must be 'error' or 'ignore'")
     if predict_siretlist_path is not None:
         predict_sirets = io.read_siret_list(spark, predict_siretlist_path)
     spec = apply_overrides(spec, overrides, predict_sirets)
@@ -122,12 +127,18 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
         model = fit_logistic(train, spec.feature_groups, spec.onehot)
         stats["train"] = _metrics(model.score(train, "score"), spec.eval_beta)
         seen = fetch(panel, spec.train) if exclude_fetched_train_firms else train
-        test = model.score(prepare_test(panel, spec, seen), "score")
+        test_set = prepare_test(panel, spec, seen)
+        if unknown == "error":
+            model.check_levels(test_set)
+        test = model.score(test_set, "score")
         stats["test"] = _metrics(test, spec.eval_beta)
     finally:
         train.unpersist()
 
-    predict = model.score(prepare_predict(panel, spec))
+    predict_set = prepare_predict(panel, spec)
+    if unknown == "error":
+        model.check_levels(predict_set)
+    predict = model.score(predict_set)
     columns = ["siren", "siret", "predicted_probability"]
     if with_explain:
         predict = explain(predict, model)
