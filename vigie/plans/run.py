@@ -6,7 +6,8 @@ test:  fetch -> drop firms seen in training -> fill -> drop incomplete
 predict: fetch -> fill -> drop incomplete -> pipeline -> score [-> explain] -> export
 
 Jobs run only at: the emptiness checks, the fit (encoder statistics + the
-optimiser over a cached encoded set), the two evaluations and the writes.
+optimiser over a cached encoded set), the unseen-level checks, the two
+evaluations and the writes.
 """
 
 from __future__ import annotations

@@ -25,9 +25,9 @@ Plan shape (what a 100 TB run does):
    partition holds the months of one establishment (at most a few hundred
    rows) so a hot customer cannot create a giant window partition.
 
-``load_panel`` writes the result once to the shared checkpoint folder (a table
-partition-free but sorted by month inside each file, so parquet row-group
-statistics prune month ranges) and every later query reads that table.
+``load_panel`` writes the result once to the shared checkpoint folder,
+partitioned by month (date filters become partition filters), and every later
+query reads that table.
 """
 
 from __future__ import annotations
