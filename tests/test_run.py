@@ -74,3 +74,12 @@ def test_predict_siret_list_file(spark, panel, scratch):
         fh.write("\n".join(str(int(s)) for s in keep) + "\n")   # leading zeros lost, as in a numeric export
     some, _, _ = run_model(spark, panel, small_model(), ALL, predict_siretlist_path=path)
     assert sorted(r.siret for r in some.collect()) == keep
+
+
+def test_command_line(spark, scratch):
+    from vigie.__main__ import main
+
+    stats = main(["--tables", SF, "--model_name", "small", "--out_dir", scratch, "--train_spl_size", "300",
+                  "--predict_on", "2000-07-01", "--save_model"])
+    assert stats["train_spl_size"] == 300 and stats["predict_on"] == "2000-07-01"
+    assert {"predictions", "stats", "model"} <= set(os.listdir(stats["output"]))
