@@ -38,3 +38,21 @@ def test_score_list_records(spark):
     row = score_list(df, "2020-02-01", "2102", "algo", 0.75, 0.3).first()
     assert row.asDict() == {"siret": "1", "periode": "2020-02-01", "score": 0.8, "batch": "2102",
                             "algo": "algo", "alert": FLAG_RED}
+
+
+def test_produce_list_from_files(spark, scratch):
+    from vigie.plans.lists import produce_list
+    from vigie.sources import io
+
+    a = spark.createDataFrame([("000000001", "00000000100000", 0.9), ("000000002", "00000000200000", None)],
+                              "siren string, siret string, predicted_probability double")
+    b = spark.createDataFrame([("000000002", "00000000200000", 0.5), ("000000003", "00000000300000", 0.1)],
+                              "siren string, siret string, predicted_probability double")
+    io.write_predictions(a, f"{scratch}/a")
+    io.write_predictions(b, f"{scratch}/b")
+    records, counts = produce_list(spark, [f"{scratch}/a", f"{scratch}/b"], 0.75, 0.3, "2020-02-01", "2102",
+                                   "merged", out_path=f"{scratch}/list")
+    got = {r.siret: (r.score, r.alert) for r in io.read_scores(spark, f"{scratch}/list").collect()}
+    assert got == {"00000000100000": (0.9, FLAG_RED), "00000000200000": (0.5, FLAG_ORANGE),
+                   "00000000300000": (0.1, FLAG_NONE)}
+    assert (counts["n_total"], counts["n_red"], counts["n_orange"]) == (3, 1, 1)
