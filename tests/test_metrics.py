@@ -144,3 +144,17 @@ def test_steepest_recall_drop(case):
     assert row.recall_gradient == pytest.approx(fod.min())
     row2 = thresholds.steepest_recall_drop(grad, skip_highest=3).first()
     assert row2.recall_gradient == pytest.approx(fod[:-3].min())
+
+
+def test_select_alert_thresholds(case):
+    from vigie.plans.selection import select_alert_thresholds
+
+    _, _, df = case
+    fb = select_alert_thresholds(df, "fbeta", n_thr=50)
+    row = thresholds.thresholds_from_fbeta(df, 0.5, 2, n_thr=50).first()
+    assert (fb["t_f1"], fb["t_f2"]) == (row.t_f1, row.t_f2)
+    assert fb["eval_f1"]["f0.5"] == pytest.approx(row.fbeta_f1)
+    cond = select_alert_thresholds(df, "conditions", min_precision_F1=0.6, min_recall_F2=0.63)
+    assert cond["t_f2"] is not None and "eval_f2" in cond
+    with pytest.raises(ValueError):
+        select_alert_thresholds(df, "nope")
