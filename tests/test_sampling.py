@@ -77,3 +77,14 @@ def test_flatten_nested_records(spark):
     df = spark.createDataFrame([(("1", "2020-01-01"), ("1", 3.0))],
                                "_id struct<siret:string,periode:string>, value struct<siret:string,x:double>")
     assert flatten(df).columns == ["siret", "x"]
+
+
+def test_top_n_heavy_tail_recursion(spark):
+    """One huge random_order squeezes every other row into the first
+    equal-width bucket: the cut-off recurses and stays exact."""
+    rows = [(f"{i:05d}", i / 1000.0) for i in range(2000)] + [("99999", 1e12)]
+    df = spark.createDataFrame(rows, "siret string, random_order double").withColumn("periode", F.lit(1))
+    for n in (1, 2, 777, 2001, 5000):
+        got = sorted(r.siret for r in top_n(df, n, direct_limit=5).collect())
+        want = sorted(s for s, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:n])
+        assert got == want
