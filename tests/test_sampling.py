@@ -88,3 +88,11 @@ def test_top_n_heavy_tail_recursion(spark):
         got = sorted(r.siret for r in top_n(df, n, direct_limit=5).collect())
         want = sorted(s for s, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:n])
         assert got == want
+
+
+def test_top_n_ignores_null_scores_on_both_paths(spark):
+    rows = [(f"{i:03d}", None if i % 3 == 0 else i / 100.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "siret string, random_order double").withColumn("periode", F.lit(1))
+    for limit in (None, 2):
+        got = sorted(r.siret for r in top_n(df, 100, direct_limit=limit).collect())
+        assert got == sorted(s for s, v in rows if v is not None)

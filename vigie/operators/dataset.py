@@ -145,9 +145,12 @@ def top_n(
     driver) finds the range that contains the n-th row; rows above it are kept
     by a plain filter, and only that range is searched again (recursively,
     with its own min/max) until it is small enough for the direct method.
+    Rows with a null score are never selected (the scan's ``random_order >= 0``
+    already removes them).
     """
     if n is None:
         return df
+    df = df.filter(F.col(score).isNotNull())
     n = int(n)
     if n <= 0:
         return df.limit(0)
