@@ -154,6 +154,8 @@ def top_n(
     n = int(n)
     if n <= 0:
         return df.limit(0)
+    # explicit direct_limit (tests) also bounds the candidate rows for a direct sort
+    row_budget = DIRECT_TOPK_BUDGET if direct_limit is None else direct_limit
     if direct_limit is None:
         direct_limit = DIRECT_TOPK_BUDGET // max(1, df.rdd.getNumPartitions())
     if n <= direct_limit:
@@ -163,9 +165,11 @@ def top_n(
     total, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if total <= n:
         return df
-    if lo is None or lo == hi or _depth >= 6:
-        # Every remaining row has the same score: order is by the tie columns
-        # only.  Rare by construction (hash scores); handled by a sort.
+    # the final merge holds at most min(n x partitions, candidate rows) rows
+    if total <= row_budget or lo is None or lo == hi or _depth >= 6:
+        # few candidates left (typically the cut range of the level above), or
+        # every remaining row has the same score (order by the tie columns
+        # only; rare by construction with hash scores): one sort.
         return df.orderBy(*_order(score, ties, descending)).limit(n)
     nb = 4096
     width = (hi - lo) / nb
@@ -181,8 +185,12 @@ def top_n(
             break
         above += hist[b]
     keep = df.filter(bucket > F.lit(cut))
-    rest = top_n(df.filter(bucket == F.lit(cut)), n - above, score, ties, descending,
-                 direct_limit, _depth + 1)
+    candidates = df.filter(bucket == F.lit(cut))
+    if hist[cut] <= row_budget:   # count known from the histogram: sort the range directly
+        rest = candidates.orderBy(*_order(score, ties, descending)).limit(n - above)
+    else:
+        rest = top_n(candidates, n - above, score, ties, descending,
+                     None if row_budget == DIRECT_TOPK_BUDGET else row_budget, _depth + 1)
     return keep.unionByName(rest)
 
 
