@@ -7,8 +7,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vigie.llm.quality_rules import op9_quality_mcd
+from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_simhash_pivots": op8_simhash_pivots,
     "op9_quality_mcd": op9_quality_mcd,
 }
 ORACLE: dict[str, str] = {}
