@@ -6,11 +6,15 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigie.llm import mixing
 from vigie.llm.quality_rules import op9_quality_mcd
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_mix_systematic": mixing.op7_mix_systematic,
     "op8_simhash_pivots": op8_simhash_pivots,
     "op9_quality_mcd": op9_quality_mcd,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_mix_systematic": mixing.SQL,
+}
