@@ -6,15 +6,17 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import mixing
+from vigie.llm import decontaminate, mixing
 from vigie.llm.quality_rules import op9_quality_mcd
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_winnowing": decontaminate.op3_winnowing,
     "op7_mix_systematic": mixing.op7_mix_systematic,
     "op8_simhash_pivots": op8_simhash_pivots,
     "op9_quality_mcd": op9_quality_mcd,
 }
 ORACLE: dict[str, str] = {
+    "op3_winnowing": decontaminate.SQL,
     "op7_mix_systematic": mixing.SQL,
 }
