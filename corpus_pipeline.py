@@ -9,8 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigie.llm import token_files
 from vigie.llm.common import read, written
+from vigie.llm.decontaminate import keep_clean
+from vigie.llm.mixing import sample
 from vigie.llm.quality_rules import keep_good
+from vigie.llm.simhash import drop_near_duplicates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +22,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays: 3-word shingles, 3 bits."""
+    return drop_near_duplicates(docs, max_bits=3, k=3)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth of their words in benchmark windows go."""
+    return keep_clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights; a document stays as often as it is taken."""
+    return sample(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids written as blocks; one row per document as read back."""
+    return token_files.encode(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("token-id binary output", token_ids),
+]
 
 #: Tokenizer vocabularies cannot be expressed in SQL.
 ORACLE_SQL = None
