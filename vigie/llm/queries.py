@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import decontaminate, mixing, token_files
+from vigie.llm import decontaminate, mixing, token_files, url_filter
 from vigie.llm.quality_rules import op9_quality_mcd
 from vigie.llm.simhash import op8_simhash_pivots
 
@@ -16,8 +16,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mix_systematic": mixing.op7_mix_systematic,
     "op8_simhash_pivots": op8_simhash_pivots,
     "op9_quality_mcd": op9_quality_mcd,
+    "op10_url_digests": url_filter.op10_url_digests,
 }
 ORACLE: dict[str, str] = {
     "op3_winnowing": decontaminate.SQL,
     "op7_mix_systematic": mixing.SQL,
+    "op10_url_digests": url_filter.SQL,
 }
