@@ -6,11 +6,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import decontaminate, mixing, token_files, url_filter
+from vigie.llm import decontaminate, mixing, quality_model, token_files, url_filter
 from vigie.llm.quality_rules import op9_quality_mcd
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_attention_mil": quality_model.op1_attention_mil,
     "op2_token_files": token_files.op2_token_files,
     "op3_winnowing": decontaminate.op3_winnowing,
     "op7_mix_systematic": mixing.op7_mix_systematic,
