@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import chunk_dedup, decontaminate, mixing, quality_model, token_files, url_filter
+from vigie.llm import chunk_dedup, decontaminate, license_scan, mixing, quality_model, token_files, url_filter
 from vigie.llm.quality_rules import op9_quality_mcd
 from vigie.llm.simhash import op8_simhash_pivots
 
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_mil": quality_model.op1_attention_mil,
     "op2_token_files": token_files.op2_token_files,
     "op3_winnowing": decontaminate.op3_winnowing,
+    "op4_sentence_rules": license_scan.op4_sentence_rules,
     "op6_gear_chunks": chunk_dedup.op6_gear_chunks,
     "op7_mix_systematic": mixing.op7_mix_systematic,
     "op8_simhash_pivots": op8_simhash_pivots,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE: dict[str, str] = {
     "op3_winnowing": decontaminate.SQL,
+    "op4_sentence_rules": license_scan.SQL,
     "op7_mix_systematic": mixing.SQL,
     "op10_url_digests": url_filter.SQL,
 }
