@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm.common import read, written
+from vigie.llm.common import let, read, written
 
 WINDOW = 13
 GRAM = 5
@@ -103,11 +103,10 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text:
     both = diag.join(cand, key).join(items, "item")
     # extension: word by word along the diagonal, then every window that matches throughout
     same = F.transform("iw", lambda x, q: F.coalesce(F.get("dw", q + F.col("diag")) == x, F.lit(False)))
-    both = both.select(*key, "item", "diag", "len", same.alias("same"))
     run = F.least(F.col("len"), F.lit(WINDOW))
-    starts = F.filter(F.sequence(F.lit(0), F.col("len") - run), lambda s: F.forall(F.slice("same", s + 1, run), lambda x: x))
-    both = both.select(*key, "item", "diag", run.alias("run"), starts.alias("starts")).where(F.size("starts") > 0)
-    both = written(both, "matches")
+    starts = let(same, lambda e: F.filter(F.sequence(F.lit(0), F.col("len") - run),
+                                          lambda s: F.forall(F.slice(e, s + 1, run), lambda x: x)))
+    both = written(both.select(*key, "item", "diag", run.alias("run"), starts.alias("starts")), "matches").where(F.size("starts") > 0)
     hit = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s + F.col("diag"), s + F.col("diag") + F.col("run") - 1))))
     n_hit = both.select(*key, F.explode(hit).alias("pos")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit"))
     names = both.select(*key, "item").distinct().groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("items"))
