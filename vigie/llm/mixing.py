@@ -114,11 +114,21 @@ def mix(df: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), tex
 
 
 def sample(df: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """The mixed rows, each as often as it is taken, with the columns of ``df``."""
+    """The mixed rows, each as often as it is taken, with the columns of ``df``.
+
+    Copies are decided on narrow rows; texts move once, to meet their count.
+    Rows that agree in every column are interchangeable: one of them stands for
+    the copies of all.
+    """
     own = [f"__c{i}" for i in range(len(df.columns))]
     at = dict(zip(df.columns, own))
-    d = mix(df.toDF(*own), seed, weights, at["text"], at["source"], at["doc_id"]).where("copies > 0")
-    d = d.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    row = [F.xxhash64(*own).alias("__k0"), F.xxhash64(F.lit("second"), *own).alias("__k1")]
+    d = df.toDF(*own).select("*", *row)
+    narrow = d.select("__k0", "__k1", at["text"], at["source"], at["doc_id"])
+    taken = mix(narrow, seed, weights, at["text"], at["source"], at["doc_id"], drop=(at["text"],)).where("copies > 0")
+    taken = written(taken.groupBy("__k0", "__k1").agg(F.sum("copies").cast("int").alias("__n")), "copies")
+    d = d.join(taken, ["__k0", "__k1"]).dropDuplicates(["__k0", "__k1"])
+    d = d.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__n"))))
     return d.select(*[F.col(o).alias(c) for c, o in at.items()])
 
 
