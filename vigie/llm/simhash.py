@@ -185,9 +185,11 @@ def drop_near_duplicates(df: DataFrame, max_bits: int = 3, k: int = 3, text: str
     # which (fingerprint, id) of each class stays: decided on two narrow columns
     first = narrow.join(classes, "fp").where(F.col("id").eqNullSafe(F.col("component_id"))) \
         .groupBy("root").agg(F.min("fp").alias("__fp"), F.min("id").alias("__id"))
-    stay = tagged.join(first.select("__fp", "__id"), (F.col(fp) == F.col("__fp")) & F.col(key).eqNullSafe(F.col("__id")),
-                       "left_semi")
-    return stay.dropDuplicates([fp, key]).select(*[F.col(o).alias(c) for c, o in at.items()])
+    # plain equal keys (a null id as a flag), so that join and duplicate removal share one exchange
+    low = F.lit(-(1 << 63))
+    keys = lambda f, i: [F.col(f).alias("__k0"), F.coalesce(i, low).alias("__k1"), F.col(i).isNull().alias("__k2")]
+    stay = tagged.select("*", *keys(fp, key)).join(first.select(*keys("__fp", "__id")), ["__k0", "__k1", "__k2"], "left_semi")
+    return stay.dropDuplicates(["__k0", "__k1", "__k2"]).select(*[F.col(o).alias(c) for c, o in at.items()])
 
 
 def op8_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
