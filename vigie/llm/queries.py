@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import chunk_dedup, decontaminate, license_scan, mixing, quality_model, token_files, url_filter
+from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, quality_model, token_files, url_filter
 from vigie.llm.quality_rules import op9_quality_mcd
 from vigie.llm.simhash import op8_simhash_pivots
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": token_files.op2_token_files,
     "op3_winnowing": decontaminate.op3_winnowing,
     "op4_sentence_rules": license_scan.op4_sentence_rules,
+    "op5_fuzzy_lines": line_dedup.op5_fuzzy_lines,
     "op6_gear_chunks": chunk_dedup.op6_gear_chunks,
     "op7_mix_systematic": mixing.op7_mix_systematic,
     "op8_simhash_pivots": op8_simhash_pivots,
