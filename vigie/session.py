@@ -1,60 +1,48 @@
-"""Spark session helpers and the shared checkpoint folder."""
+"""The Spark session and the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import logging
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
 _CKPT_CONF = "spark.checkpoint.dir"
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "vigie") -> SparkSession:
-    """Return the active session or build a local one (tests, bench).
+def get_spark(app_name: str = "vigie") -> SparkSession:
+    """The active session, or one built from what the launcher set.
 
-    On a cluster the session already exists and every setting comes from the
-    cluster; this helper then only returns it.
+    Master, partitions and memory come from spark-submit (or the defaults of
+    Spark); nothing is set here.
     """
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return SparkSession.getActiveSession() or SparkSession.builder.appName(app_name).getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    directory).  Only when nothing is configured — local runs and tests — a
-    fresh private folder is created and registered.
+    directory).  Without either, a local master gets a fresh private folder; on
+    a cluster that is an error, since executors would not see such a folder.
     """
-    path = spark.conf.get(_CKPT_CONF, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get(_CKPT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"{_CKPT_CONF} is not set; a cluster ({master}) needs a folder that all executors share")
     path = tempfile.mkdtemp(prefix="vigie-ckpt-")
     log.warning("spark.checkpoint.dir unset; using private local folder %s", path)
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def written_table(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later uses and lost executors re-read files."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

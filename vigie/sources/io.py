@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigie.functions.features import pad_id
+from vigie.functions.features import nan_to_null, pad_id
+from vigie.operators.dataset import flatten, normalise_ids
 from vigie.schema import panel_type
 
 
@@ -53,7 +54,7 @@ def read_siret_list(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.csv(path, header=False, schema="siret string")
     df = df.filter(F.col("siret").isNotNull()).select(pad_id("siret", 14).alias("siret"))
     if df.isEmpty():
-        raise EmptyFileError(f"File {path} appears to be empty")
+        raise EmptyFileError(f"no line in {path}")
     return df
 
 
@@ -92,3 +93,18 @@ def export_scores(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(
         "siret string, periode string, score double, batch string, algo string, alert string").json(path)
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """A ready feature table (Parquet, or JSON lines for a path ending in .json).
+
+    Records may be flat or nested (``{_id: {...}, value: {...}}``); NaN becomes
+    null, ``periode`` a date, and ids keep or regain their leading zeros.
+    """
+    raw = spark.read.json(path) if path.rstrip("/").endswith(".json") else spark.read.parquet(path)
+    df = flatten(raw)
+    kinds = dict(df.dtypes)
+    df = df.withColumns({c: nan_to_null(c) for c, k in kinds.items() if k in ("double", "float")})
+    if "periode" in kinds and kinds["periode"] != "date":
+        df = df.withColumn("periode", F.to_date("periode"))
+    return normalise_ids(df)

@@ -33,10 +33,10 @@ query reads that table.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -170,25 +170,23 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.select(*PANEL_COLUMNS)
 
 
-_PROCESS_TOKEN = uuid.uuid4().hex
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Recipe version, place, and the listing (path, size, time) of all input files, as Spark sees them."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "nation", "region")]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    one = F.xxhash64("path", "length", F.col("modificationTime").cast("double")).cast("decimal(38,0)")
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum(one).alias("h")).first()
+    return hashlib.sha1(f"{RECIPE_VERSION}|{sf_dir}|{row.n}|{row.h}".encode()).hexdigest()[:16]
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Recipe version + input location + size and mtime of every input file.
-
-    When an input cannot be stat-ed locally (a remote store), the fingerprint
-    also carries a per-process token: the table is then reused within this
-    process only, never taken from an earlier run whose input may differ.
-    """
-    parts = [RECIPE_VERSION, os.path.abspath(sf_dir)]
-    for name in ("lineitem", "orders", "customer", "nation", "region"):
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(path)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(f"{name}:{_PROCESS_TOKEN}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+def _published(spark: SparkSession, index: str) -> str | None:
+    """Path of a panel table that was written to its end, if the index names one."""
+    try:
+        return spark.read.text(index).agg(F.min("value")).first()[0]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
 
 
 def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
@@ -196,35 +194,34 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
     """The panel as a table.
 
     With ``materialize`` the plan of ``build_panel`` runs once per input and
-    is written to ``<checkpoint dir>/panel/<fingerprint>``, partitioned by
-    ``periode``: a date filter becomes a partition filter that skips whole
+    is written to a folder of its own under ``<checkpoint dir>/panel``, named in
+    an index once it is complete, and partitioned by ``periode``: a date filter becomes a partition filter that skips whole
     directories.  Rows are rebalanced by month before the write (one shuffle,
     no sampling pass; AQE splits a large month and merges small ones to the
     advisory partition size), so files hold one month each and number about
     size / advisory size instead of tasks x months; inside a file rows are
     sorted by establishment.  Later calls read that table, so
-    downstream queries start from a short lineage.  ``refresh`` rebuilds it
-    even if a committed table with the same fingerprint exists.
+    downstream queries start from a short lineage.  The listing of the input
+    files decides whether a table is theirs.  ``refresh`` rebuilds it anyway.
     """
     if not materialize:
         return build_panel(spark, sf_dir)
     root = checkpoint_dir(spark)
-    key = (root, _fingerprint(sf_dir))
+    key = (root, _fingerprint(spark, sf_dir))
     with _lock:
         path = None if refresh else _cache.get(key)
+        index = f"{root}/panel-index/{key[1]}"
+        if path is None and not refresh:
+            path = _published(spark, index)
         if path is None:
-            path = f"{root}/panel/{key[1]}"
-            try:  # a table committed by an earlier session with the same input
-                if refresh:
-                    raise FileNotFoundError(path)
-                spark.read.parquet(path).schema
-            except Exception:  # noqa: BLE001 - absent, never committed, or refresh
-                (build_panel(spark, sf_dir)
-                 .hint("rebalance", "periode")
-                 .sortWithinPartitions("periode", "siret")
-                 .write.mode("overwrite").partitionBy("periode").parquet(path))
-            _cache[key] = path
-            _tables.pop((spark.sparkContext.applicationId, path), None)
+            # a path of its own: no other session reads it before it is complete
+            path = f"{root}/panel/{key[1]}-{uuid.uuid4().hex}"
+            (build_panel(spark, sf_dir)
+             .hint("rebalance", "periode")
+             .sortWithinPartitions("periode", "siret")
+             .write.partitionBy("periode").parquet(path))
+            spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("append").text(index)
+        _cache[key] = path
         # one DataFrame per session and table: its file index (the listing of
         # the month directories) is built once, not per query
         app = spark.sparkContext.applicationId
