@@ -1,19 +1,20 @@
 """Evaluation of scores against outcomes.
 
-Input: a DataFrame with a boolean ``outcome`` and a double ``score``.  Every
-metric is one or two aggregations; the precision-recall curve and the average
-precision need running totals over distinct scores in descending order, done
-with ``ranking.running_sums`` (bucketed by score quantiles, never a
-single-partition window over the rows).
+Input: a DataFrame with a boolean ``outcome`` and a double ``score``.  The curve
+metrics read it once, into a written table of distinct scores with their
+counts; running totals over that table in descending order come from
+``ranking.running_sums`` (bucketed by score quantiles, never a single-partition
+window over the rows).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigie.functions.features import check_flag_thresholds, round_to
 from vigie.operators.ranking import running_sums
+from vigie.session import written_table
 
 
 def _is_pos(outcome: str) -> Column:
@@ -70,38 +71,50 @@ def with_classification_metrics(counts: DataFrame, beta: float) -> DataFrame:
 
 
 def score_table(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
-    """Distinct scores with their positive / negative counts (ties collapsed)."""
-    y = _is_pos(outcome)
-    return df.groupBy(F.col(score).alias("threshold")).agg(
+    """Distinct scores with their positive / negative counts (ties collapsed).
+
+    Rows without a score (null or NaN) or without an outcome take no part in
+    the curve.  Written once: whatever is derived from it re-reads this small
+    table, not the input.
+    """
+    y, s = _is_pos(outcome), F.col(score).cast("double")
+    table = df.where(s.isNotNull() & ~F.isnan(s) & y.isNotNull()).groupBy(s.alias("threshold")).agg(
         _count_if(y).alias("tp_at"), _count_if(~y).alias("fp_at"))
+    return written_table(table, "scores")
 
 
-def cumulative_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
+def _cumulative(table: DataFrame) -> DataFrame:
     """Per distinct score s: tps/fps = counts of positives/negatives with score >= s."""
-    table = score_table(df, score, outcome)
     cum = running_sums(table, "threshold", ["tp_at", "fp_at"], descending=True)
     return cum.withColumnRenamed("cum_tp_at", "tps").withColumnRenamed("cum_fp_at", "fps")
 
 
+def cumulative_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
+    """``_cumulative`` of the score table of ``df``."""
+    return _cumulative(score_table(df, score, outcome))
+
+
+def _average_precision(table: DataFrame) -> DataFrame:
+    n_pos = table.agg(F.coalesce(F.sum("tp_at"), F.lit(0))).scalar()
+    term = (F.col("tp_at") / n_pos) * (F.col("tps") / (F.col("tps") + F.col("fps")))
+    return _cumulative(table).agg(F.coalesce(F.sum(F.when(n_pos > 0, term)), F.lit(0.0)).alias("average_precision"))
+
+
 def average_precision(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
     """Step-wise area under the precision-recall curve,
     sum over distinct thresholds of (R_n - R_(n-1)) * P_n."""
-    cum = cumulative_curve(df, score, outcome)
-    n_pos = df.agg(_count_if(_is_pos(outcome))).scalar()
-    term = (F.col("tp_at") / n_pos) * (F.col("tps") / (F.col("tps") + F.col("fps")))
-    return cum.agg(F.coalesce(F.sum(F.when(n_pos > 0, term)), F.lit(0.0)).alias("average_precision"))
+    return _average_precision(score_table(df, score, outcome))
 
 
 def pr_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
     """A10: (threshold, precision, recall) for thresholds from the highest one
     that still has full recall upwards, plus the final point (null, 1, 0)."""
-    cum = cumulative_curve(df, score, outcome)
-    y = _is_pos(outcome)
-    n_pos = df.agg(_count_if(y)).scalar()
+    table = score_table(df, score, outcome)
     # The highest threshold at which every positive is already counted is the
-    # lowest positive score: one aggregate of the input, no second pass.
-    cut = df.agg(F.min(F.when(y, F.col(score)))).scalar()
-    curve = cum.filter(F.col("threshold") >= cut).select(
+    # lowest score of a positive.
+    whole = table.agg(F.sum("tp_at").alias("n_pos"), F.min(F.when(F.col("tp_at") > 0, F.col("threshold"))).alias("cut"))
+    n_pos, cut = whole.select("n_pos").scalar(), whole.select("cut").scalar()
+    curve = _cumulative(table).filter(F.col("threshold") >= cut).select(
         "threshold",
         F.coalesce(F.try_divide(F.col("tps").cast("double"), (F.col("tps") + F.col("fps")).cast("double")),
                    F.lit(0.0)).alias("precision"),
@@ -115,9 +128,14 @@ def pr_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> D
 def evaluate(df: DataFrame, beta: float, thresh: float = 0.5, score: str = "score",
              outcome: str = "outcome") -> DataFrame:
     """One row with aucpr, balanced_accuracy, tn, fp, fn, tp, f<beta>,
-    precision, recall."""
-    m = with_classification_metrics(confusion(df, thresh, score, outcome), beta)
-    ap = average_precision(df, score, outcome).scalar()
+    precision, recall; the input is read once, for the score table."""
+    table = score_table(df, score, outcome)
+    above = F.col("threshold") >= F.lit(float(thresh))
+    count = lambda c, cond: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0)).cast("long")
+    counts = table.agg(count("fp_at", ~above).alias("tn"), count("fp_at", above).alias("fp"),
+                       count("tp_at", ~above).alias("fn"), count("tp_at", above).alias("tp"))
+    m = with_classification_metrics(counts, beta)
+    ap = _average_precision(table).scalar()
     label = f"f{beta:g}".replace(".", "_")
     return m.select(
         ap.alias("aucpr"), "balanced_accuracy", "tn", "fp", "fn", "tp",
@@ -142,7 +160,7 @@ def evaluate_dict(df: DataFrame, beta: float, thresh: float = 0.5, score: str =
 def class_balance(df: DataFrame, outcome: str = "outcome") -> DataFrame:
     """A5: rows per outcome and their share in percent."""
     counts = df.groupBy(outcome).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy())  # one row per outcome
     return counts.select(outcome, "n_rows", (F.col("n_rows") * 100.0 / total).alias("percent"))
 
 

@@ -17,20 +17,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _TARGET_ROWS_PER_BUCKET = 200_000
-_MAX_BUCKETS = 4096
 
 
-def _n_buckets(n_rows: int) -> int:
-    return int(min(_MAX_BUCKETS, max(1, math.ceil(n_rows / _TARGET_ROWS_PER_BUCKET))))
+def n_buckets(n_rows: int) -> int:
+    """Buckets of about _TARGET_ROWS_PER_BUCKET rows each."""
+    return max(1, math.ceil(n_rows / _TARGET_ROWS_PER_BUCKET))
 
 
 def _bucket_by_quantiles(df: DataFrame, order_col: str, n_buckets: int, out: str) -> DataFrame:
     """Bucket = range of ``order_col`` (ties share a bucket), equal-count ranges."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))
+    cuts = df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets)) if probs else []
+    if not any(c is not None and math.isfinite(c) for c in cuts):
+        return df.withColumn(out, F.lit(0.0))  # one bucket
     splits = [float("-inf")] + sorted({c for c in cuts if c is not None and math.isfinite(c)}) + [float("inf")]
     return Bucketizer(splits=splits, inputCol=order_col, outputCol=out,
-                      handleInvalid="keep").transform(df)
+                      handleInvalid="error").transform(df)
 
 
 def global_rank(
@@ -83,28 +85,25 @@ def running_sums(
 ) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` along distinct values of ``order_col``.
 
-    ``df`` must have one row per value of ``order_col`` (group ties first).
-    Output columns ``cum_<c>``.  Buckets are equal-count ranges taken from
-    approximate quantiles, so a dense score region does not overload a bucket.
+    ``df`` must have one row per value of ``order_col`` (group ties first), none
+    null or NaN.  Output columns ``cum_<c>``.  Buckets are equal-count ranges
+    taken from approximate quantiles, so a dense score region does not overload
+    a bucket; a small input is one bucket of the same plan.
     """
     n_rows = n_rows if n_rows is not None else df.count()
-    nb = _n_buckets(n_rows)
+    nb = n_buckets(n_rows)
     ordered = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if nb <= 1:
-        # n_rows (counted above) fits one bucket: one ordered window, bounded size.
-        w = Window.orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sum_cols])
     b = "__bucket"
     bucketed = _bucket_by_quantiles(df, order_col, nb, b)
     sign = -1 if descending else 1
     bucketed = bucketed.withColumn(b, F.col(b) * F.lit(float(sign)))
     totals = bucketed.groupBy(b).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
     w_off = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    # totals: at most _MAX_BUCKETS + 1 rows (proven bound) -> broadcast.
+    # one row per bucket, n / _TARGET_ROWS_PER_BUCKET in all
     offsets = totals.select(b, *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)).alias(f"__o_{c}")
                                  for c in sum_cols])
     w_in = Window.partitionBy(b).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = bucketed.join(F.broadcast(offsets), b)
+    out = bucketed.join(offsets, b)
     for c in sum_cols:
         out = out.withColumn(f"cum_{c}", F.col(f"__o_{c}") + F.sum(c).over(w_in))
     return out.drop(b, *[f"__o_{c}" for c in sum_cols])
@@ -125,20 +124,16 @@ def previous_row(
     """
     n_rows = n_rows if n_rows is not None else df.count()
     cols = [order_col, *value_cols]
-    nb = _n_buckets(n_rows)
-    if nb <= 1:
-        # n_rows (counted above) fits one bucket: one ordered window, bounded size.
-        w1 = Window.orderBy(order_col)
-        return df.select("*", *[F.lag(c).over(w1).alias(f"prev_{c}") for c in cols])
+    nb = n_buckets(n_rows)
     b = "__bucket"
     bucketed = _bucket_by_quantiles(df, order_col, nb, b)
     w = Window.partitionBy(b).orderBy(order_col)
     inner = bucketed.select("*", *[F.lag(c).over(w).alias(f"__lag_{c}") for c in cols])
     last = bucketed.groupBy(b).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("__last"))
     w_b = Window.orderBy(b)
-    # one row per bucket (bounded by _MAX_BUCKETS + 1) -> broadcast.
+    # one row per bucket
     prev_last = last.select(b, F.lag("__last").over(w_b).alias("__prev"))
-    out = inner.join(F.broadcast(prev_last), b)
+    out = inner.join(prev_last, b)
     return out.select(
         *[F.col(c) for c in df.columns],
         *[F.when(F.col(f"__lag_{order_col}").isNull(), F.col(f"__prev.{c}"))

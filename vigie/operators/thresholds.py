@@ -35,7 +35,7 @@ def fbeta_sweep(df: DataFrame, betas: Sequence[float] = (0.5, 2.0), n_thr: int =
     """One row per grid point: threshold, position, tp, fp, fn and f<beta> columns."""
     grid = default_grid(n_thr) if thresh is None else [float(t) for t in thresh]
     if min(grid) < 0 or max(grid) > 1:
-        raise ValueError("Threshold values must lie inside [0, 1]")
+        raise ValueError(f"grid outside the range of a probability: {min(grid)} to {max(grid)}")
     points = sorted(set(grid))
     splits = [float("-inf")] + points + [float("inf")]
     y = F.col(outcome).cast("boolean")
@@ -59,7 +59,7 @@ def fbeta_sweep(df: DataFrame, betas: Sequence[float] = (0.5, 2.0), n_thr: int =
     out = grid_df.join(F.broadcast(cum), "__b").select(
         "position", "threshold", "tp", "fp", (F.col("n_pos") - F.col("tp")).alias("fn"))
     p, r = precision_expr(), recall_expr()
-    return out.select("*", *[fbeta_expr(b, p, r).alias(_label(b)) for b in betas])
+    return out.select("*", *[fbeta_expr(b, p, r).alias(_label(b)) for b in dict.fromkeys(betas)])
 
 
 def _label(beta: float) -> str:
@@ -72,8 +72,6 @@ def thresholds_from_fbeta(df: DataFrame, beta_F1: float = 0.5, beta_F2: float =
     """A11 + A16: one row (t_f1, fbeta_f1, t_f2, fbeta_f2); ties -> first grid position."""
     sweep = fbeta_sweep(df, (beta_F1, beta_F2), n_thr, thresh, score, outcome)
     l1, l2 = _label(beta_F1), _label(beta_F2)
-    if l1 == l2:
-        l2 = l1
     best = lambda lab: F.max_by(F.struct("threshold", F.col(lab).alias("f")),
                                 F.struct(F.col(lab), -F.col("position")))
     row = sweep.agg(best(l1).alias("b1"), best(l2).alias("b2"))
@@ -107,22 +105,18 @@ def thresholds_from_conditions(curve: DataFrame, min_precision_F1: float = 0.93,
         F.min(F.when(real, F.col("threshold"))).alias("t_min"),
         F.max(F.when(real, F.col("threshold"))).alias("t_max"),
         F.max(F.when(real & r_ok, F.col("threshold"))).alias("r_hit"),
-    ).first()
-    if st["p_hit"] is not None:
-        t_f1 = st["p_hit"]
-    elif st["final_p_ok"] == 1:
-        t_f1 = None
-    else:
-        t_f1 = st["t_min"]
-    r_hit = st["r_hit"]
+    )
+    t_f1 = F.when(F.col("p_hit").isNotNull(), F.col("p_hit")) \
+        .when(F.col("final_p_ok") == 1, F.lit(None).cast("double")).otherwise(F.col("t_min"))
     if mode == "strict":
-        t_f2 = r_hit
-    elif float(min_recall_F2) <= 0.0 or r_hit is None or r_hit <= st["t_min"]:
-        t_f2 = st["t_max"]
-    else:  # the next lower threshold below r_hit
-        t_f2 = curve.filter(real & (F.col("threshold") < F.lit(r_hit))).agg(F.max("threshold")).first()[0]
-    spark = curve.sparkSession
-    return spark.createDataFrame([(t_f1, t_f2)], "t_f1 double, t_f2 double")
+        return st.select(t_f1.alias("t_f1"), F.col("r_hit").alias("t_f2"))
+    if float(min_recall_F2) <= 0.0:
+        return st.select(t_f1.alias("t_f1"), F.col("t_max").alias("t_f2"))
+    # the next lower threshold below r_hit
+    hit = st.select("r_hit").scalar()
+    below = curve.agg(F.max(F.when(real & (F.col("threshold") < hit), F.col("threshold")))).scalar()
+    none = F.col("r_hit").isNull() | (F.col("r_hit") <= F.col("t_min"))
+    return st.select(t_f1.alias("t_f1"), F.when(none, F.col("t_max")).otherwise(below).alias("t_f2"))
 
 
 def recall_gradient(curve: DataFrame) -> DataFrame:
