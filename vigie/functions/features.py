@@ -50,10 +50,6 @@ def pad_id(c: str | Column, width: int) -> Column:
     return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
 
 
-def siren_of(siret: str | Column = "siret") -> Column:
-    return F.substring(col(siret), 1, 9)
-
-
 def paydex_yoy(current: str = "paydex_nb_jours", past: str = "paydex_nb_jours_past_12") -> Column:
     return F.col(current) - F.col(past)
 
@@ -92,11 +88,11 @@ def sigmoid(z: Column) -> Column:
 
 def check_flag_thresholds(t_rouge: float, t_orange: float) -> None:
     if not 0 <= t_rouge <= 1:
-        raise ValueError("t_rouge must be a number between 0 and 1")
+        raise ValueError(f"red threshold outside [0, 1]: {t_rouge}")
     if not 0 <= t_orange <= 1:
-        raise ValueError("t_orange must be a number between 0 and 1")
+        raise ValueError(f"orange threshold outside [0, 1]: {t_orange}")
     if t_orange > t_rouge:
-        raise ValueError("t_rouge should be greater than t_orange")
+        raise ValueError(f"the red threshold {t_rouge} is below the orange one {t_orange}")
 
 
 def assign_flag(pred: str | Column, t_rouge: float, t_orange: float) -> Column:

@@ -1,10 +1,10 @@
 """Expert correction of alert levels by the change of social debt.
 
 ``attach_debt_snapshots`` left-joins two one-month snapshots of the panel (the
-"July" month and the latest month) on (siret, siren).  A snapshot has one row
-per siret (the panel key is (siret, month)), so the joins never multiply rows;
-both sides are hash-partitioned on siret and Spark/AQE chooses the strategy from
-the real sizes.
+"July" month and the latest month) on (siret, siren).  A snapshot must have one
+row per establishment (a second one is an error when the result is computed), so
+the joins never multiply rows; the check is an aggregation on the join's keys
+and shares its shuffle.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigie.operators.dataset import DatasetSpec, fetch, month_window_end
+from vigie.operators.dataset import DatasetSpec, fetch, month_window_end, raise_if_empty
 
 # --- fixed values (alert levels of the reference) ------------------------------
 GREEN, ORANGE, RED = "vert", "orange", "rouge"
@@ -33,8 +33,14 @@ def snapshot(panel: DataFrame, month: str, date_max: str | None, columns: tuple[
     """One month of the panel through the standard scan, columns suffixed."""
     spec = DatasetSpec(date_min=month, date_max=date_max or month_window_end(month),
                        fields=("siren", "siret") + columns, sample_size=sample_size)
-    snap = fetch(panel, spec)
-    return snap.select("siret", "siren", *[F.col(c).alias(f"{c}{suffix}") for c in columns])
+    snap = raise_if_empty(fetch(panel, spec))
+    named = [f"{c}{suffix}" for c in columns]
+    once = snap.select("siret", "siren", *[F.col(c).alias(n) for c, n in zip(columns, named)]) \
+        .groupBy("siret", "siren").agg(F.count(F.lit(1)).alias("__n"), *[F.first(n).alias(n) for n in named])
+    twice = F.raise_error(F.concat(F.lit(f"establishment twice in the snapshot of {month}: "), F.col("siret")))
+    return once.select("siret", "siren", *[
+        (F.when(F.col("__n") > 1, twice.cast("double")).otherwise(F.col(n)) if i == 0 else F.col(n)).alias(n)
+        for i, n in enumerate(named)])
 
 
 def attach_debt_snapshots(df: DataFrame, panel: DataFrame, july: str = "2020-07-01",
@@ -54,12 +60,13 @@ def apply_debt_rule(df: DataFrame, tol: float = DEBT_TOLERANCE, level: str = "gr
     """X4 + X5: raise the alert level by one when the debt grew by more than
     ``tol`` x the latest 12-month average contribution.
 
-    Debts default to 0.  ``delta_dette`` is null when the denominator is null or
+    Missing debts become 0 (also in the output).  ``delta_dette`` is null when the denominator is null or
     0; a zero denominator with a debt increase still escalates (as +inf would).
     """
-    z = F.lit(0.0)
-    july = F.coalesce("montant_part_ouvriere_july2020", z) + F.coalesce("montant_part_patronale_july2020", z)
-    latest = F.coalesce("montant_part_ouvriere_latest", z) + F.coalesce("montant_part_patronale_latest", z)
+    debts = [c for c in SNAPSHOT_COLUMNS if c.startswith("montant_part_")]
+    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in debts})
+    july = F.col("montant_part_ouvriere_july2020") + F.col("montant_part_patronale_july2020")
+    latest = F.col("montant_part_ouvriere_latest") + F.col("montant_part_patronale_latest")
     den = F.col("cotisation_moy12m_latest")
     staged = df.withColumn("dette_sociale_july2020", july).withColumn("dette_sociale_latest", latest)
     num = F.col("dette_sociale_latest") - F.col("dette_sociale_july2020")

@@ -21,7 +21,7 @@ log = logging.getLogger(__name__)
 def remove_strong_signals(df: DataFrame) -> DataFrame:
     """drop rows already in default (``time_til_outcome <= 0``); null kept."""
     if "time_til_outcome" not in df.columns:
-        raise ValueError("The `time_til_outcome` column is needed in order to remove strong signals.")
+        raise ValueError("strong signals are found by the column time_til_outcome, which is absent")
     return df.filter(~F.coalesce(F.col("time_til_outcome") <= 0, F.lit(False)))
 
 

@@ -24,14 +24,13 @@ from vigie.schema import MIN_EFFECTIF, panel_type
 
 log = logging.getLogger(__name__)
 
-# orderBy().limit(n) keeps n rows per input partition and merges all of them
-# in one task: it is used only while n x partitions stays under this budget;
-# above it the exact cut-off method runs instead.
-DIRECT_TOPK_BUDGET = 20_000_000
-# Id lists up to this length are sent as IN-list literals; longer lists become
-# a (broadcast) semi join.
+# orderBy().limit(n) keeps n rows per input partition and merges them in one
+# task: used for up to this many rows; a larger n is cut by histograms until at
+# most DIRECT_ROWS candidates are left for it.
+DIRECT_N = 2_000
+DIRECT_ROWS = 20_000_000
+# Id lists up to this length are sent as IN-list literals; longer ones are joined.
 INLIST_LIMIT = 1_000
-BROADCAST_ID_LIMIT = 2_000_000
 
 
 class EmptyDataset(Exception):
@@ -86,8 +85,6 @@ def _id_filter(df: DataFrame, column: str, ids: Any) -> DataFrame:
         return df.filter(F.col(column).isin(ids))
     spark = df.sparkSession
     small = spark.createDataFrame([(i,) for i in ids], f"{column} string")
-    if len(ids) <= BROADCAST_ID_LIMIT:  # size known on the driver
-        small = F.broadcast(small)
     return df.join(small.distinct(), column, "left_semi")
 
 
@@ -97,7 +94,9 @@ def match(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         F.col("random_order") >= 0,
         F.col("periode") >= F.to_date(F.lit(spec.date_min)),
         F.col("periode") < F.to_date(F.lit(spec.date_max)),
+        # NaN counts as missing, although it compares above every number
         F.col("effectif") >= F.lit(spec.effective_min_effectif()),
+        ~F.isnan(F.col("effectif")),
     ]
     for name, value in spec.categorical_filters.items():
         if isinstance(value, (list, tuple)):
@@ -105,7 +104,7 @@ def match(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         elif isinstance(value, (int, float, str)):  # bool is an int: equality
             conds.append(F.col(name) == F.lit(value))
         else:
-            log.warning("Ignored filter of unknown type on category %s.", name)
+            log.warning("category %s: a filter of type %s is not applied", name, type(value).__name__)
     if spec.outcome is None:
         conds.append(F.col("outcome").isNotNull())
     else:
@@ -133,20 +132,18 @@ def top_n(
     ties: tuple[str, ...] = ("siret", "periode"),
     descending: bool = True,
     direct_limit: int | None = None,
-    _depth: int = 0,
 ) -> DataFrame:
     """Exact top-``n`` rows by ``score`` (then ``ties``), distributed for any n.
 
-    Small n: ``orderBy().limit()`` (TakeOrderedAndProject: per-partition top-n,
-    then a merge of n x partitions rows in one task), used while that merge
-    stays under ``DIRECT_TOPK_BUDGET`` rows (``direct_limit`` overrides the
-    bound on n).  Large n: a histogram of the score in
-    4096 equal-width ranges (one aggregation, a few thousand rows to the
-    driver) finds the range that contains the n-th row; rows above it are kept
-    by a plain filter, and only that range is searched again (recursively,
-    with its own min/max) until it is small enough for the direct method.
-    Rows with a null score are never selected (the scan's ``random_order >= 0``
-    already removes them).
+    Up to ``DIRECT_N`` rows: ``orderBy().limit()`` (per-partition top-n, then a
+    merge in one task).  Beyond: a histogram of the score in 4096 equal-width
+    ranges (one aggregation, a few thousand rows to the driver) finds the range
+    that holds the n-th row; rows above it are kept by a plain filter, and only
+    that range is cut again, until at most ``DIRECT_ROWS`` candidates are left.
+    Candidates that share one score are cut by prefixes of their tie columns.
+    ``direct_limit`` replaces both bounds (tests, small clusters).  Rows with a
+    null score are never selected (the scan's ``random_order >= 0`` already
+    removes them).
     """
     if n is None:
         return df
@@ -154,44 +151,72 @@ def top_n(
     n = int(n)
     if n <= 0:
         return df.limit(0)
-    # explicit direct_limit (tests) also bounds the candidate rows for a direct sort
-    row_budget = DIRECT_TOPK_BUDGET if direct_limit is None else direct_limit
-    if direct_limit is None:
-        direct_limit = DIRECT_TOPK_BUDGET // max(1, df.rdd.getNumPartitions())
-    if n <= direct_limit:
+    budget = DIRECT_ROWS if direct_limit is None else direct_limit
+    if n <= (DIRECT_N if direct_limit is None else direct_limit):
         return df.orderBy(*_order(score, ties, descending)).limit(n)
     s = F.col(score).cast("double")
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(s).alias("lo"), F.max(s).alias("hi")).first()
     total, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if total <= n:
         return df
-    # the final merge holds at most min(n x partitions, candidate rows) rows
-    if total <= row_budget or lo is None or lo == hi or _depth >= 6:
-        # few candidates left (typically the cut range of the level above), or
-        # every remaining row has the same score (order by the tie columns
-        # only; rare by construction with hash scores): one sort.
+    if total <= budget:  # counted: few candidates left
         return df.orderBy(*_order(score, ties, descending)).limit(n)
+    if lo == hi:
+        return _first_by_ties(df, n, ties, budget)
     nb = 4096
     width = (hi - lo) / nb
     bucket = F.least(F.floor((s - F.lit(lo)) / F.lit(width)), F.lit(nb - 1)).cast("int")
     if not descending:
         bucket = F.lit(nb - 1) - bucket
     hist = {r["b"]: r["c"] for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    cut, above = _cut(hist, sorted(hist, reverse=True), n)
+    keep = df.filter(bucket > F.lit(cut))
+    rest = top_n(df.filter(bucket == F.lit(cut)), n - above, score, ties, descending, direct_limit)
+    return keep.unionByName(rest)
+
+
+def _cut(hist: dict, order: list, n: int) -> tuple[Any, int]:
+    """The range that holds the n-th row, and the rows in the ranges before it."""
     above = 0
-    cut = None
-    for b in sorted(hist, reverse=True):
+    for b in order:
         if above + hist[b] >= n:
-            cut = b
-            break
+            return b, above
         above += hist[b]
-    keep = df.filter(bucket > F.lit(cut))
-    candidates = df.filter(bucket == F.lit(cut))
-    if hist[cut] <= row_budget:   # count known from the histogram: sort the range directly
-        rest = candidates.orderBy(*_order(score, ties, descending)).limit(n - above)
-    else:
-        rest = top_n(candidates, n - above, score, ties, descending,
-                     None if row_budget == DIRECT_TOPK_BUDGET else row_budget, _depth + 1)
-    return keep.unionByName(rest)
+    raise ValueError("fewer rows than asked for")
+
+
+def _first_by_ties(df: DataFrame, n: int, ties: tuple[str, ...], budget: int) -> DataFrame:
+    """The first ``n`` rows in the order of ``ties`` (nulls first), where more than ``budget`` share a score.
+
+    One character more of the first tie column's text per round decides where
+    the n-th row lies; rows equal in it go on with the next column, and rows
+    equal in all are interchangeable.  A column that is not text or a date is
+    sorted directly.
+    """
+    if not ties:
+        return df.limit(n)
+    if df.schema[ties[0]].dataType.typeName() not in ("string", "date"):
+        return df.orderBy(*[F.col(t).asc() for t in ties]).limit(n)
+    text, keep, length = F.col(ties[0]).cast("string"), None, 0
+    while True:
+        length += 1
+        prefix = F.substring(text, 1, length)
+        # one more character: as many groups as there are characters
+        hist = {r["p"]: r["c"] for r in df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
+        at, above = _cut(hist, sorted(hist, key=lambda p: (p is not None, (p or "").encode())), n)
+        if above:
+            before = prefix.isNull() if at is None else prefix.isNull() | (prefix < F.lit(at))
+            part = df.filter(before)
+            keep = part if keep is None else keep.unionByName(part)
+            n -= above
+        df = df.filter(prefix.eqNullSafe(F.lit(at)))
+        if hist[at] <= budget:
+            rest = df.orderBy(*[F.col(t).asc() for t in ties]).limit(n)
+        elif at is None or len(at) < length:  # the whole text is equal
+            rest = _first_by_ties(df, n, ties[1:], budget)
+        else:
+            continue
+        return rest if keep is None else keep.unionByName(rest)
 
 
 def project(df: DataFrame, fields: Iterable[str] | None) -> DataFrame:
@@ -204,7 +229,7 @@ def project(df: DataFrame, fields: Iterable[str] | None) -> DataFrame:
         if f in present:
             cols.append(F.col(f))
         else:
-            log.info("Creating missing column %s filled with nulls.", f)
+            log.info("column %s is absent: nulls", f)
             cols.append(F.lit(None).cast(panel_type(f)).alias(f))
     return df.select(*cols)
 
@@ -255,5 +280,5 @@ def fetch_quota(panel: DataFrame, spec: DatasetSpec) -> DataFrame:
 def raise_if_empty(df: DataFrame | None) -> DataFrame:
     """F15 (eager): raise ``EmptyDataset`` when there is no row."""
     if df is None or df.isEmpty():
-        raise EmptyDataset("Dataset is empty !")
+        raise EmptyDataset("no row matches")
     return df

@@ -20,11 +20,13 @@ def merge_models(models: Sequence[DataFrame], key: str = "siret",
                  value: str = "predicted_probability") -> DataFrame:
     """``(siret, predicted_probability)``; for each siret the probability of
     the first model of the list that has a non-null one (sirets whose every
-    probability is null are kept with null).  A single model is returned as is.
+    probability is null are kept with null).  A siret that occurs twice in one
+    model is an error when the result is computed: neither score could be
+    preferred.  A single model is returned as is.
     """
     models = list(models)
     if not models:
-        raise ValueError("model_list appears to be empty")
+        raise ValueError("no model to merge")
     if len(models) == 1:
         return models[0]
     tagged = None
@@ -33,8 +35,11 @@ def merge_models(models: Sequence[DataFrame], key: str = "siret",
                         F.lit(priority).alias("__priority"))
         tagged = part if tagged is None else tagged.unionByName(part)
     p = F.col(value)
-    return tagged.groupBy(key).agg(
-        F.min_by(p, F.when(p.isNotNull(), F.col("__priority"))).alias(value))
+    merged = tagged.groupBy(key).agg(
+        F.min_by(p, F.when(p.isNotNull(), F.col("__priority"))).alias(value),
+        (F.count(F.lit(1)) > F.count_distinct("__priority")).alias("__twice"))
+    twice = F.raise_error(F.concat(F.lit(f"{key} occurs twice in one model: "), F.col(key).cast("string")))
+    return merged.select(key, F.when(F.col("__twice"), twice.cast("double")).otherwise(p).alias(value))
 
 
 def flag_scores(df: DataFrame, t_rouge: float, t_orange: float,

@@ -16,20 +16,21 @@ default (L2, C=1, unpenalised intercept): Spark minimises
 from __future__ import annotations
 
 import json
-import math
 from dataclasses import asdict, dataclass, field
 from typing import Sequence
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigie.functions.features import sigmoid
 
 OFFSET = "model_offset"
-_ROWS_PER_FIT_PARTITION = 1_000_000
+#: levels that a one-hot feature may have; more is an error, not a cut
+MAX_LEVELS = 10_000
+#: partitions of the training set while fitting are not packed below this
+MIN_FIT_PARTITIONS = 8
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -37,21 +38,38 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float,
     cols = list(columns)
     if not cols:
         return {}
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
-    row = df.agg(*aggs).first()
+    row = df.agg(*scaler_aggregates(cols)).first()
     return {c: (row[f"m__{c}"], row[f"s__{c}"]) for c in cols}
 
 
+def scaler_aggregates(columns: Sequence[str]) -> list[Column]:
+    """A14 as aggregates: m__<c> and s__<c>."""
+    return [e for c in columns for e in (F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}"))]
+
+
+def level_aggregates(columns: Sequence[str]) -> list[Column]:
+    """A15 as aggregates: l__<c>, the sorted distinct levels."""
+    return [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"l__{c}") for c in columns]
+
+
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null levels per categorical column (one job;
-    the sets are bounded by the vocabularies of the categorical features)."""
+    """Sorted distinct non-null levels per categorical column, at most ``MAX_LEVELS`` each."""
     cols = list(columns)
     if not cols:
         return {}
-    row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cols]).first()
-    return {c: list(row[c]) for c in cols}
+    return _levels(df, cols)
+
+
+def _levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted levels, counted before they are fetched."""
+    if not cols:
+        return {}
+    n = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
+    large = {c: n[c] for c in cols if n[c] > MAX_LEVELS}
+    if large:
+        raise ValueError(f"more than {MAX_LEVELS} levels: {large}")
+    row = df.agg(*level_aggregates(cols)).first()
+    return {c: list(row[f"l__{c}"]) for c in cols}
 
 
 def level_name(feature: str, level: str) -> str:
@@ -104,7 +122,7 @@ class LinearModel:
         row = df.agg(*unseen).first()
         bad = {f: row[f] for f in cats if row[f]}
         if bad:
-            raise ValueError(f"Found unknown categories during transform: {bad}")
+            raise ValueError(f"levels that the training set did not have (rows): {bad}")
 
     def encoded_names(self) -> list[str]:
         return [n for _, n, _ in self.encoded()]
@@ -139,18 +157,11 @@ class LinearModel:
 
 
 def encode(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[str]) -> LinearModel:
-    """P8 fit: levels of ``onehot`` features and scaler of the others, in one
-    aggregation (a single pass over the training set)."""
+    """P8 fit: levels of ``onehot`` features and scaler of the others (one row each)."""
     feats = [f for fs in groups.values() for f in fs]
     cat = [f for f in feats if f in set(onehot)]
     num = [f for f in feats if f not in set(onehot)]
-    aggs = [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"l__{c}") for c in cat]
-    for c in num:
-        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
-    row = df.agg(*aggs).first() if aggs else None
-    return LinearModel(groups=groups,
-                       levels={c: list(row[f"l__{c}"]) for c in cat},
-                       scaler={c: (row[f"m__{c}"], row[f"s__{c}"]) for c in num})
+    return LinearModel(groups=groups, levels=_levels(df, cat), scaler=fit_scaler(df, num))
 
 
 def fit_logistic(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[str],
@@ -164,19 +175,10 @@ def fit_logistic(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[s
                      F.col(label).cast("double").alias("__y"))
     data = VectorAssembler(inputCols=[f"__x{i}" for i in range(len(enc))], outputCol="__features",
                            handleInvalid="error").transform(data).select("__features", "__y")
-    data = data.persist()
+    # each optimiser step is one job over the cached partitions; at least the cluster's parallelism
+    data = data.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, MIN_FIT_PARTITIONS)).persist()
     try:
         n = data.count()
-        # Each optimiser iteration is one job over every cached partition:
-        # keep about _ROWS_PER_FIT_PARTITION rows per partition (a large
-        # training set keeps many partitions; a sample does not pay for
-        # hundreds of nearly empty tasks per iteration).
-        wanted = max(1, math.ceil(n / _ROWS_PER_FIT_PARTITION))
-        if data.rdd.getNumPartitions() > wanted:
-            packed = data.coalesce(wanted).persist()
-            packed.count()
-            data.unpersist()
-            data = packed
         lr = LogisticRegression(featuresCol="__features", labelCol="__y", regParam=1.0 / (C * n),
                                 elasticNetParam=0.0, standardization=False, fitIntercept=True,
                                 maxIter=max_iter, tol=tol)
@@ -187,8 +189,3 @@ def fit_logistic(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[s
     model.intercept = float(fitted.intercept)
     return model
 
-
-def probability_of(df: DataFrame, probability_col: str = "probability",
-                   out: str = "predicted_probability") -> DataFrame:
-    """P10 on an MLlib output: second element of the probability vector."""
-    return df.withColumn(out, vector_to_array(F.col(probability_col))[1])

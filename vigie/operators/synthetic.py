@@ -15,17 +15,30 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigie.operators.ranking import global_rank
+from vigie.operators.ranking import global_rank, n_buckets
+from vigie.session import written_table
 from vigie.sources.panel import hash_unit
 
 SECTOR = "code_ape_niveau3"
 _ROWS_PER_BUCKET = 200_000
-# groups are numbered in hash order through this many hash ranges (offset
-# table of at most this many rows)
-_GROUP_ID_BUCKETS = 256
+# --- fixed values: first siren of a mock firm, how many there are, and a factor
+# without a common divisor with that number, which spreads consecutive ids
+_FIRST_SIREN, _SIRENS, _SPREAD = 100_000_000, 900_000_000, 633_910_099
+# --- end of fixed values
+
+
+def mock_siren(number: Column) -> Column:
+    """A 9-digit siren of its own for every number below 900 million (then the siren repeats)."""
+    spread = F.pmod(F.pmod(number, F.lit(_SIRENS)) * F.lit(_SPREAD), F.lit(_SIRENS))
+    return (F.lit(_FIRST_SIREN) + spread).cast("long").cast("string")
+
+
+def mock_siret(number: Column) -> Column:
+    """The siren and a 5-digit number of the establishment: distinct for 9e13 numbers."""
+    return F.concat(mock_siren(number), F.lpad(F.floor(number / F.lit(_SIRENS)).cast("string"), 5, "0"))
 
 
 def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_variables: Sequence[str],
@@ -40,8 +53,11 @@ def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_
     establishments (the last group of a sector may be smaller).
     """
     if "outcome" not in cat_variables:
-        raise ValueError("`outcome` must be one of the categorical variables")
+        raise ValueError("the categorical variables lack outcome")
     cat_rest = [c for c in cat_variables if c != "outcome"]
+    # what the steps below need, written once: the input is read one time
+    need = dict.fromkeys([SECTOR, "siret", "periode", *cont_variables, *cat_variables])
+    base = written_table(base.select(*need), "synthetic-base")
     # A1: sectors with more than group_size counted sirets (null sector excluded)
     sizes = base.filter(F.col(SECTOR).isNotNull()).groupBy(SECTOR).agg(F.count("siret").alias("__n"))
     big = sizes.filter(F.col("__n") > group_size)
@@ -69,12 +85,12 @@ def build_synthetic_dataset(base: DataFrame, cont_variables: Sequence[str], cat_
     # Unique 14-digit ids, numbered in seeded hash order of the groups
     groups = groups.withColumn("__gh", hash_unit(F.col(SECTOR), F.col("__gid").cast("string"),
                                                  F.lit(str(seed))))
+    groups = written_table(groups, "synthetic-groups")
     numbered = global_rank(groups, [F.col("__gh"), F.col(SECTOR), F.col("__gid")],
-                           F.floor(F.col("__gh") * _GROUP_ID_BUCKETS), out="__id")
-    siret = (F.lit(10_000_000_000_000) + F.col("__id")).cast("string")
+                           F.floor(F.col("__gh") * n_buckets(groups.count())), out="__id")
     return numbered.select(
-        siret.alias("siret"),
-        F.substring(siret, 1, 9).alias("siren"),
+        mock_siret(F.col("__id")).alias("siret"),
+        mock_siren(F.col("__id")).alias("siren"),
         "periode",
         F.col("__ref.outcome").alias("outcome"),
         *[F.col(f"__ref.{c}").alias(c) for c in cat_rest],

@@ -47,6 +47,7 @@ MIN_EFFECTIF = 10
 
 DEBT_LAGS = (1, 2, 3, 6, 12)
 
+# --- fixed values (the reference's financial ratios) ---------------------------
 FINANCIAL_RATIOS = [
     "financier_court_terme",
     "interets",
@@ -60,6 +61,7 @@ FINANCIAL_RATIOS = [
     "rentabilite_economique",
     "rentabilite_nette",
 ]
+# --- end of fixed values -------------------------------------------------------
 
 DEBT_COLUMNS = (
     ["cotisation", "cotisation_moy12m", "montant_part_ouvriere"]
