@@ -9,7 +9,6 @@ a handful of Catalyst plans.  Sub-packages:
   explanations, model merge, expert adjustment, synthetic firms, model fit.
 * ``functions`` — column expressions (feature recipes, flags, hashes).
 * ``plans``     — pipelines of steps, model specifications, the model run.
-* ``streaming`` — intentionally empty: every path is a bounded batch.
 """
 
 __version__ = "0.1.0"

@@ -84,6 +84,10 @@ TRAIN = DatasetSpec(date_min=P.TRAIN_FROM, date_max=P.TRAIN_TO, sample_size=None
 TEST = DatasetSpec(date_min=P.TEST_FROM, date_max=P.TEST_TO, sample_size=None)
 PREDICT = DatasetSpec(date_min=P.PREDICT_ON, date_max=month_window_end(P.PREDICT_ON), sample_size=None)
 
+#: every period of the panel
+ALL_FROM, ALL_TO = "1970-01-01", "3000-01-01"
+WHOLE = DatasetSpec(date_min=ALL_FROM, date_max=ALL_TO, sample_size=None)
+
 KEY_FIELDS = ("siret", "siren", "periode")
 
 
@@ -138,11 +142,11 @@ def q_filter_outcome(spark, sf):
 
 
 @register("project_missing_fields", with_panel(
-    scan_sql(P.TEST_FROM, P.TEST_TO,
+    scan_sql(ALL_FROM, ALL_TO,
              cols="siret, strftime(periode, '%Y-%m-%d') AS periode, round(ratio_dette, 6) AS ratio_dette, "
                   "CAST(NULL AS DOUBLE) AS effectif_ent, CAST(NULL AS BOOLEAN) AS tag_debit")))
 def q_project_missing_fields(spark, sf):
-    spec = TEST.with_(fields=("siret", "periode", "ratio_dette", "effectif_ent", "tag_debit"))
+    spec = WHOLE.with_(fields=("siret", "periode", "ratio_dette", "effectif_ent", "tag_debit"))
     return finalize(fetch(panel(spark, sf), spec))
 
 
@@ -211,14 +215,14 @@ def q_split_train_test(spark, sf):
 
 # --------------------------------------------------------------------------- F10-F14
 
-_TEST_ALL = scan_sql(P.TEST_FROM, P.TEST_TO)
+_ALL = scan_sql(ALL_FROM, ALL_TO)
 
 
 @register("clean_strong_signals", with_panel(
     f"SELECT siret, strftime(periode, '%Y-%m-%d') AS periode, time_til_outcome::BIGINT AS time_til_outcome "
-    f"FROM ({_TEST_ALL}) WHERE NOT coalesce(time_til_outcome <= 0, false)"))
+    f"FROM ({_ALL}) WHERE NOT coalesce(time_til_outcome <= 0, false)"))
 def q_clean_strong_signals(spark, sf):
-    df = fetch(panel(spark, sf), TEST)
+    df = fetch(panel(spark, sf), WHOLE)
     return finalize(clean.remove_strong_signals(df).select("siret", "periode", "time_til_outcome"))
 
 
@@ -233,18 +237,18 @@ _FILL_COLS = ("montant_part_ouvriere", "montant_part_patronale", "montant_part_o
     "round(coalesce(montant_part_ouvriere_past_3, 0.0), 6) AS montant_part_ouvriere_past_3, "
     "round(coalesce(apart_heures_consommees, 0.0), 6) AS apart_heures_consommees, "
     "round(paydex_nb_jours, 6) AS paydex_nb_jours "
-    f"FROM ({_TEST_ALL})"))
+    f"FROM ({_ALL})"))
 def q_clean_fill(spark, sf):
-    df = fetch(panel(spark, sf), TEST.with_(fields=("siret", "periode") + _FILL_COLS))
+    df = fetch(panel(spark, sf), WHOLE.with_(fields=("siret", "periode") + _FILL_COLS))
     return finalize(clean.replace_missing_data(df))
 
 
 @register("clean_drop_na", with_panel(
     "SELECT siret, strftime(periode, '%Y-%m-%d') AS periode, code_naf, time_til_outcome::BIGINT AS time_til_outcome, "
     "round(paydex_nb_jours, 6) AS paydex_nb_jours, round(coalesce(montant_part_ouvriere, 0.0), 6) AS montant_part_ouvriere "
-    f"FROM ({_TEST_ALL}) WHERE paydex_nb_jours IS NOT NULL AND effectif IS NOT NULL"))
+    f"FROM ({_ALL}) WHERE paydex_nb_jours IS NOT NULL AND effectif IS NOT NULL"))
 def q_clean_drop_na(spark, sf):
-    df = fetch(panel(spark, sf), TEST.with_(
+    df = fetch(panel(spark, sf), WHOLE.with_(
         fields=("siret", "periode", "code_naf", "time_til_outcome", "paydex_nb_jours", "montant_part_ouvriere",
                 "effectif")))
     out = clean.remove_na(clean.replace_missing_data(df), IGNORE_NA)
@@ -325,11 +329,11 @@ def _clean_sql(date_min, date_max, cols: str) -> str:
     "SELECT siret, siren, strftime(periode, '%Y-%m-%d') AS periode, outcome, code_naf, "
     "round(paydex_nb_jours - paydex_nb_jours_past_12, 6) AS paydex_yoy, "
     f"{PAYDEX_GROUP_SQL} AS paydex_group, round({DEBT_DELTA_SQL}, 6) AS avg_delta_dette_par_effectif "
-    "FROM (" + _clean_sql(P.TRAIN_FROM, P.TEST_TO,
+    "FROM (" + _clean_sql(ALL_FROM, ALL_TO,
                           "paydex_nb_jours IS NOT NULL AND paydex_nb_jours_past_12 IS NOT NULL") + ") "
     "WHERE NOT coalesce(code_naf IN ('O', 'P'), false)"))
 def q_pipeline_default(spark, sf):
-    spec = DatasetSpec(date_min=P.TRAIN_FROM, date_max=P.TEST_TO, sample_size=None, fields=_PIPE_FIELDS)
+    spec = WHOLE.with_(fields=_PIPE_FIELDS)
     out = _prepared(spark, sf, spec, DEFAULT_PIPELINE)
     return finalize(out.select("siret", "siren", "periode", "outcome", "code_naf", "paydex_yoy",
                                "paydex_group", "avg_delta_dette_par_effectif"))
@@ -338,11 +342,11 @@ def q_pipeline_default(spark, sf):
 @register("pipeline_small", with_panel(
     "SELECT siret, siren, strftime(periode, '%Y-%m-%d') AS periode, outcome, code_naf, "
     f"round({DEBT_DELTA_SQL}, 6) AS avg_delta_dette_par_effectif "
-    "FROM (" + _clean_sql(P.TRAIN_FROM, P.TEST_TO,
+    "FROM (" + _clean_sql(ALL_FROM, ALL_TO,
                           "paydex_nb_jours IS NOT NULL AND paydex_nb_jours_past_12 IS NOT NULL") + ") "
     "WHERE NOT coalesce(code_naf IN ('O', 'P'), false)"))
 def q_pipeline_small(spark, sf):
-    spec = DatasetSpec(date_min=P.TRAIN_FROM, date_max=P.TEST_TO, sample_size=None, fields=_PIPE_FIELDS)
+    spec = WHOLE.with_(fields=_PIPE_FIELDS)
     out = _prepared(spark, sf, spec, SMALL_PIPELINE)
     return finalize(out.select("siret", "siren", "periode", "outcome", "code_naf",
                                "avg_delta_dette_par_effectif"))
@@ -354,12 +358,12 @@ def q_pipeline_small(spark, sf):
     "SELECT paydex_group, outcome, count(*) AS n_rows, round(avg(avg_delta_dette_par_effectif), 6) AS mean_delta "
     "FROM (SELECT outcome, " + PAYDEX_GROUP_SQL + " AS paydex_group, " + DEBT_DELTA_SQL +
     " AS avg_delta_dette_par_effectif FROM (" + _clean_sql(
-        P.TRAIN_FROM, P.TEST_TO, "paydex_nb_jours IS NOT NULL AND paydex_nb_jours_past_12 IS NOT NULL") +
+        ALL_FROM, ALL_TO, "paydex_nb_jours IS NOT NULL AND paydex_nb_jours_past_12 IS NOT NULL") +
     ") WHERE NOT coalesce(code_naf IN ('O', 'P'), false)) GROUP BY paydex_group, outcome"))
 def q_paydex_outcome_summary(spark, sf):
     """Flagship: scan -> clean -> default pipeline -> count and mean debt change
     per (payment-delay group, outcome)."""
-    spec = DatasetSpec(date_min=P.TRAIN_FROM, date_max=P.TEST_TO, sample_size=None, fields=_PIPE_FIELDS)
+    spec = WHOLE.with_(fields=_PIPE_FIELDS)
     out = _prepared(spark, sf, spec, DEFAULT_PIPELINE)
     return finalize(out.groupBy("paydex_group", "outcome").agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("avg_delta_dette_par_effectif").alias("mean_delta")))

@@ -7,15 +7,20 @@ have no SQL equivalent (iterative optimiser) and get a rows-only check.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigie.functions.features import PAYDEX_LABELS
 from vigie.operators.explain import COLLAPSED_GROUP, explain
-from vigie.operators.model import OFFSET, LinearModel, fit_levels, fit_logistic, fit_scaler, level_name
+from vigie.operators.model import OFFSET, LinearModel, fit_logistic, level_aggregates, level_name, scaler_aggregates
+from vigie.operators.clean import remove_siren
+from vigie.operators.dataset import fetch, month_window_end, top_n
 from vigie.operators.merge import score_list
 from vigie.plans import params as P
-from vigie.plans.catalog import (DEFAULT_PIPELINE, PAYDEX_GROUP_SQL, DEBT_DELTA_SQL, TEST, TRAIN, _prepared,
+from vigie.plans.catalog import (ALL_FROM, ALL_TO, WHOLE, DEFAULT_PIPELINE, PAYDEX_GROUP_SQL, DEBT_DELTA_SQL, TEST, TRAIN, _prepared,
                                  finalize, panel, register, scan_sql)
 from vigie.plans.catalog_scores import ALGO, BATCH, FLAG_SQL, MODELS_CTES, MONTH_A, _model_scores
 from vigie.plans.oracle_panel import with_panel
@@ -35,13 +40,13 @@ def fixed_explain_model() -> LinearModel:
 
 
 def _explained(spark, sf) -> DataFrame:
-    data = _prepared(spark, sf, TEST.with_(fields=DEFAULT_VARIABLES), DEFAULT_PIPELINE)
+    data = _prepared(spark, sf, WHOLE.with_(fields=DEFAULT_VARIABLES), DEFAULT_PIPELINE)
     return explain(data, fixed_explain_model(), P.EXPLAIN_THRESH)
 
 
 # ---- SQL side: prepared test set and the contribution of every encoded column
 
-def _prepared_sql() -> str:
+def _prepared_sql(date_min: str = ALL_FROM, date_max: str = ALL_TO) -> str:
     fill = {c: "0.0" for c in DEFAULT_VARIABLES
             if c.startswith(("montant_part", "cotisation", "ratio_dette", "apart_heures")) or c == "effectif"}
     cols = []
@@ -50,7 +55,7 @@ def _prepared_sql() -> str:
     nn = [c for c in DEFAULT_VARIABLES if c not in fill and c not in ("time_til_outcome", "code_naf")]
     return ("SELECT *, paydex_nb_jours - paydex_nb_jours_past_12 AS paydex_yoy, "
             f"{PAYDEX_GROUP_SQL} AS paydex_group, {DEBT_DELTA_SQL} AS avg_delta_dette_par_effectif FROM ("
-            f"SELECT {', '.join(cols)} FROM ({scan_sql(P.TEST_FROM, P.TEST_TO)})) "
+            f"SELECT {', '.join(cols)} FROM ({scan_sql(date_min, date_max)})) "
             f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in nn)} "
             "AND NOT coalesce(code_naf IN ('O', 'P'), false)")
 
@@ -162,7 +167,7 @@ def _train_prepared(spark, sf) -> DataFrame:
 
 
 def _train_prepared_sql() -> str:
-    return _prepared_sql().replace(scan_sql(P.TEST_FROM, P.TEST_TO), scan_sql(P.TRAIN_FROM, P.TRAIN_TO))
+    return _prepared_sql(P.TRAIN_FROM, P.TRAIN_TO)
 
 
 @register("scaler_stats", with_panel(
@@ -170,9 +175,10 @@ def _train_prepared_sql() -> str:
                        "FROM tp" for c in NUMERIC),
     "tp AS (" + _train_prepared_sql() + ")"))
 def q_scaler_stats(spark, sf):
-    stats = fit_scaler(_train_prepared(spark, sf), NUMERIC)
-    rows = [(c, float(m), float(s)) for c, (m, s) in stats.items()]
-    return finalize(spark.createDataFrame(rows, "feature string, mean double, std double"))
+    one = _train_prepared(spark, sf).agg(*scaler_aggregates(NUMERIC))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"m__{c}").alias("mean"),
+                                        F.col(f"s__{c}").alias("std")) for c in NUMERIC]))
+    return finalize(one.select(each.alias("r")).select("r.*"))
 
 
 @register("onehot_levels", with_panel(
@@ -181,9 +187,9 @@ def q_scaler_stats(spark, sf):
     "FROM (SELECT DISTINCT paydex_group FROM tp WHERE paydex_group IS NOT NULL)",
     "tp AS (" + _train_prepared_sql() + ")"))
 def q_onehot_levels(spark, sf):
-    levels = fit_levels(_train_prepared(spark, sf), list(DEFAULT_ONEHOT))
-    rows = [(f, lv, i) for f, lvs in levels.items() for i, lv in enumerate(lvs)]
-    return finalize(spark.createDataFrame(rows, "feature string, level string, position long"))
+    one = _train_prepared(spark, sf).agg(*level_aggregates(DEFAULT_ONEHOT))
+    each = [one.select(F.lit(f).alias("feature"), F.posexplode(f"l__{f}").alias("position", "level")) for f in DEFAULT_ONEHOT]
+    return finalize(reduce(DataFrame.unionByName, each).select("feature", "level", F.col("position").cast("long")))
 
 
 # ---- P9, P10, P14: rows-only checks
@@ -219,8 +225,111 @@ def q_model_run_small(spark, sf):
     f"'{ALGO}' AS algo, {FLAG_SQL} AS alert FROM merged", *MODELS_CTES))
 def q_export_scores(spark, sf):
     from vigie.operators.merge import merge_models
-    import uuid
     records = score_list(merge_models(_model_scores(spark, sf)), MONTH_A, BATCH, ALGO, P.T_ROUGE, P.T_ORANGE)
     path = f"{checkpoint_dir(spark)}/exports/{uuid.uuid4().hex}"
     io.export_scores(records, path)
     return finalize(io.read_scores(spark, path))
+
+
+# ---- P9 with an oracle: at the optimum the penalised gradient is zero
+
+@register("logreg_gradient", with_panel(
+    "SELECT name, 0.0::DOUBLE AS gradient FROM (SELECT 'intercept' AS name UNION ALL "
+    + " UNION ALL ".join(f"SELECT '{c}'" for c in NUMERIC)
+    + " UNION ALL SELECT DISTINCT 'paydex_group_x0_' || paydex_group FROM tp WHERE paydex_group IS NOT NULL)",
+    "tp AS (" + _train_prepared_sql() + ")"))
+def q_logreg_gradient(spark, sf):
+    """Mean gradient of loss + penalty at the fitted weights, rounded to 3 digits."""
+    train = _train_prepared(spark, sf)
+    model = fit_logistic(train, DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT)
+    residual = F.col("p") - F.col("outcome").cast("double")
+    enc = [(name, x) for _, name, x in model.encoded()]
+    one = model.score(train, "p").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(residual).alias("g"),
+        *[F.avg(residual * x).alias(f"g{i}") for i, (_, x) in enumerate(enc)])
+    parts = [F.struct(F.lit("intercept").alias("name"), F.col("g").alias("g"))]
+    parts += [F.struct(F.lit(name).alias("name"), (F.col(f"g{i}") + F.lit(model.coefs[name]) / F.col("n")).alias("g"))
+              for i, (name, _) in enumerate(enc)]
+    rounded = F.abs(F.round(F.col("r.g") * 1000) / 1000)
+    return finalize(one.select(F.explode(F.array(*parts)).alias("r")).select("r.name", rounded.alias("gradient")))
+
+
+# ---- P14, S6, S7, S10: what a run writes, read back
+
+@register("model_run_files", with_panel(
+    "SELECT siret, siren, true AS scored FROM (" + _prepared_sql(P.PREDICT_ON, month_window_end(P.PREDICT_ON)) + ") UNION ALL "
+    "SELECT 'statistics', 'aucpr,balanced_accuracy,confusion_matrix,fbeta', true"))
+def q_model_run_files(spark, sf):
+    from vigie.plans.run import run_model
+    out_dir = f"{checkpoint_dir(spark)}/runs/{uuid.uuid4().hex}"
+    _, stats, _ = run_model(spark, panel(spark, sf), default_model(), {"train_spl_size": "all"}, out_dir=out_dir)
+    p = F.col("predicted_probability").cast("double")
+    rows = io.read_predictions(spark, f"{stats['output']}/predictions").select("siret", "siren", ((p > 0) & (p < 1)).alias("scored"))
+    back = io.read_stats(spark, f"{stats['output']}/stats")
+    keys = ",".join(sorted(k.lower() for k in back["test"]))
+    return finalize(rows.unionByName(spark.createDataFrame([("statistics", keys, True)], rows.schema)))
+
+
+# ---- S1, S2: a ready table of nested records with NaN
+
+@register("scan_nested", with_panel(
+    scan_sql(ALL_FROM, ALL_TO, cols="siret, siren, strftime(periode, '%Y-%m-%d') AS periode, round(effectif, 6) AS effectif, "
+             "round(paydex_nb_jours, 6) AS paydex_nb_jours, outcome", extra="AND siret NOT LIKE '%1'")))
+def q_scan_nested(spark, sf):
+    """Records {_id, value} whose staff is NaN for some: those do not pass the staff filter."""
+    fields = ("siret", "siren", "periode", "effectif", "paydex_nb_jours", "outcome")
+    wide = panel(spark, sf).withColumn("effectif", F.when(F.col("siret").endswith("1"), F.lit(float("nan"))).otherwise(F.col("effectif")))
+    wide = wide.withColumn("paydex_nb_jours", F.coalesce("paydex_nb_jours", F.lit(float("nan"))))
+    path = f"{checkpoint_dir(spark)}/nested/{uuid.uuid4().hex}"
+    wide.select(F.struct("siret", "periode").alias("_id"), F.struct(*fields, "random_order").alias("value")).write.parquet(path)
+    return finalize(fetch(io.read_features(spark, path), WHOLE.with_(fields=fields)))
+
+
+# ---- S3-S5, S8, S9, F11, O2: files and lists, written and read back
+
+@register("files_extract", with_panel(
+    "SELECT siret, siren, strftime(periode, '%Y-%m-%d') AS periode, round(effectif, 6) AS effectif FROM panel"))
+def q_files_extract(spark, sf):
+    path = f"{checkpoint_dir(spark)}/extracts/{uuid.uuid4().hex}"
+    io.write_extract_csv(panel(spark, sf).select("siret", "siren", "periode", "effectif"), path)
+    back = io.read_extract_csv(spark, path)
+    return finalize(back.select("siret", "siren", F.col("periode").cast("date"), F.col("effectif").cast("double")))
+
+
+@register("files_siret_list", with_panel(
+    scan_sql(ALL_FROM, ALL_TO, cols="siret, strftime(periode, '%Y-%m-%d') AS periode", extra="AND siret LIKE '%2'")))
+def q_files_siret_list(spark, sf):
+    path = f"{checkpoint_dir(spark)}/lists/{uuid.uuid4().hex}"
+    pan = panel(spark, sf)
+    # as numbers, without leading zeros
+    pan.where(F.col("siret").endswith("2")).select(F.col("siret").cast("long").cast("string")).distinct().write.text(path)
+    return finalize(fetch(pan, WHOLE.with_(sirets=io.read_siret_list(spark, path), fields=("siret", "periode"))))
+
+
+@register("files_model", " UNION ALL ".join(
+    f"SELECT '{n}' AS name, ({w!r})::DOUBLE AS weight" for n, w in sorted(fixed_explain_model().coefs.items())))
+def q_files_model(spark, sf):
+    path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    fixed_explain_model().save(spark, path)
+    model = LinearModel.load(spark, path)
+    # one row per weight that the panel's columns can meet
+    rows = spark.createDataFrame(sorted(model.coefs.items()), "name string, weight double")
+    used = panel(spark, sf).select(F.explode(F.array(*[F.lit(n) for n in model.encoded_names()])).alias("name")).distinct()
+    return finalize(rows.join(used, "name"))
+
+
+@register("remove_listed_firms", with_panel(
+    "SELECT siret, strftime(periode, '%Y-%m-%d') AS periode FROM panel WHERE siren NOT IN "
+    "(SELECT DISTINCT siren FROM panel WHERE coalesce(code_naf = 'A', false))"))
+def q_remove_listed_firms(spark, sf):
+    pan = panel(spark, sf).select("siret", "siren", "periode", "code_naf")
+    return finalize(remove_siren(pan, pan.where("code_naf = 'A'").select("siren")).select("siret", "periode"))
+
+
+@register("sample_topk_cut", with_panel(
+    scan_sql(ALL_FROM, ALL_TO, cols="siret, strftime(periode, '%Y-%m-%d') AS periode, round(random_order, 6) AS random_order",
+             extra=f"ORDER BY random_order DESC, siret, periode LIMIT {P.SAMPLE_N}")))
+def q_sample_topk_cut(spark, sf):
+    """The histogram path of the sample, forced by a small budget."""
+    rows = fetch(panel(spark, sf), WHOLE.with_(fields=("siret", "periode", "random_order")))
+    return finalize(top_n(rows, P.SAMPLE_N, direct_limit=50))

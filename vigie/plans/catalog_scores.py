@@ -15,25 +15,24 @@ from vigie.operators import metrics, thresholds
 from vigie.operators.adjust import adjust_pipeline, attach_debt_snapshots
 from vigie.operators.dataset import DatasetSpec, fetch, month_window_end
 from vigie.operators.merge import flag_scores, merge_models, score_list
-from vigie.operators.split import exclude_train_firms, fold_sizes, siren_folds
+from vigie.operators.split import exclude_train_firms, fold_sets, fold_sizes, siren_folds, with_fold
 from vigie.operators.synthetic import build_synthetic_dataset
 from vigie.plans import params as P
-from vigie.plans.catalog import (FIXED_SCORE_SQL, PREDICT, TEST, TRAIN, _prepared, finalize, fixed_score,
+from vigie.plans.catalog import (ALL_FROM, ALL_TO, FIXED_SCORE_SQL, PREDICT, WHOLE, TEST, TRAIN, _prepared, finalize, fixed_score,
                                  panel, register, scan_sql)
 from vigie.plans.oracle_panel import with_panel
 from vigie.plans.pipeline import DEFAULT_PIPELINE, run_pipeline
 
 # --------------------------------------------------------------------------- scored evaluation set
 
-EVAL = DatasetSpec(date_min=P.TRAIN_FROM, date_max=P.TEST_TO, sample_size=None,
-                   fields=("siret", "siren", "periode", "outcome") + tuple(n for n, _ in P.FIXED_COEFS))
+EVAL = WHOLE.with_(fields=("siret", "siren", "periode", "outcome") + tuple(n for n, _ in P.FIXED_COEFS))
 
 
 def scored(spark, sf) -> DataFrame:
     return fetch(panel(spark, sf), EVAL).withColumn("score", fixed_score())
 
 
-SCORED_CTE = ("scored AS (" + scan_sql(P.TRAIN_FROM, P.TEST_TO,
+SCORED_CTE = ("scored AS (" + scan_sql(ALL_FROM, ALL_TO,
                                        cols=f"siret, siren, periode, outcome, {FIXED_SCORE_SQL} AS score") + ")")
 
 
@@ -296,8 +295,13 @@ def _level_col():
     return F.when(p > P.T_ROUGE, "rouge").when(p > P.T_ORANGE, "orange").otherwise("vert")
 
 
+_DEBTS = ("montant_part_ouvriere_july2020", "montant_part_patronale_july2020",
+          "montant_part_ouvriere_latest", "montant_part_patronale_latest")
+
+
 @register("debt_rule", with_panel(
-    "SELECT siret, group_final, round(dj, 6) AS dette_sociale_july2020, round(dl, 6) AS dette_sociale_latest, "
+    "SELECT siret, group_final, " + ", ".join(f"round(coalesce({c}, 0.0), 6) AS {c}" for c in _DEBTS) + ", "
+    "round(dj, 6) AS dette_sociale_july2020, round(dl, 6) AS dette_sociale_latest, "
     "round(CASE WHEN cotisation_moy12m_latest <> 0 THEN (dl - dj) / cotisation_moy12m_latest END, 6) AS delta_dette, "
     "CASE WHEN ((dl - dj) / NULLIF(cotisation_moy12m_latest, 0) > 0.2 "
     "           OR (cotisation_moy12m_latest = 0 AND dl - dj > 0)) "
@@ -305,14 +309,14 @@ def _level_col():
     "          ELSE group_final END ELSE group_final END AS group_final_regle_urssaf FROM ("
     "SELECT siret, coalesce(montant_part_ouvriere_july2020, 0.0) + coalesce(montant_part_patronale_july2020, 0.0) AS dj, "
     "coalesce(montant_part_ouvriere_latest, 0.0) + coalesce(montant_part_patronale_latest, 0.0) AS dl, "
-    "cotisation_moy12m_latest, "
+    "cotisation_moy12m_latest, " + ", ".join(_DEBTS) + ", "
     f"CASE WHEN predicted_probability > {P.T_ROUGE} THEN 'rouge' WHEN predicted_probability > {P.T_ORANGE} "
     "THEN 'orange' ELSE 'vert' END AS group_final FROM snap)", *SNAP_CTES))
 def q_debt_rule(spark, sf):
     """The adjustment pipeline (snapshots, then the rule) on alert levels."""
     steps = adjust_pipeline(panel(spark, sf), july=P.JULY_SNAPSHOT, latest=P.LATEST_SNAPSHOT)
     out = run_pipeline(_predict_scored(spark, sf).withColumn("group_final", _level_col()), steps)
-    return finalize(out.select("siret", "group_final", "dette_sociale_july2020", "dette_sociale_latest",
+    return finalize(out.select("siret", "group_final", *_DEBTS, "dette_sociale_july2020", "dette_sociale_latest",
                                "delta_dette", "group_final_regle_urssaf"))
 
 
@@ -383,14 +387,15 @@ def _hash_sql(expr: str) -> str:
 
 
 @register("synthetic_firms", with_panel(
-    "SELECT CAST(10000000000000 + id AS VARCHAR) AS siret, substr(CAST(10000000000000 + id AS VARCHAR), 1, 9) AS siren, "
+    "SELECT CAST(100000000 + ((id % 900000000) * 633910099) % 900000000 AS VARCHAR) || lpad(CAST(id // 900000000 AS VARCHAR), 5, '0') AS siret, "
+    "CAST(100000000 + ((id % 900000000) * 633910099) % 900000000 AS VARCHAR) AS siren, "
     "strftime(periode, '%Y-%m-%d') AS periode, outcome, code_naf, region, "
     + ", ".join(f"round({c}, 6) AS {c}" for c in SYN_CONT) + " FROM ("
     "SELECT g.*, r.outcome, r.code_naf, r.region, row_number() OVER (ORDER BY "
     + _hash_sql("g.code_ape_niveau3 || '|' || CAST(g.gid AS VARCHAR) || '|' || '" + str(P.SEED) + "'")
     + ", g.code_ape_niveau3, g.gid) AS id FROM g JOIN m r ON r.code_ape_niveau3 = g.code_ape_niveau3 "
     "AND r.rk = g.min_rk)",
-    "base AS (" + scan_sql(P.TRAIN_FROM, P.TEST_TO) + ")",
+    "base AS (" + scan_sql(ALL_FROM, ALL_TO) + ")",
     f"big AS (SELECT code_ape_niveau3 FROM base WHERE code_ape_niveau3 IS NOT NULL GROUP BY code_ape_niveau3 "
     f"HAVING count(siret) > {GROUP_SIZE})",
     "m AS (SELECT *, row_number() OVER (PARTITION BY code_ape_niveau3 ORDER BY "
@@ -401,5 +406,61 @@ def _hash_sql(expr: str) -> str:
     + ", max(periode) AS periode, min(rk) AS min_rk FROM m GROUP BY code_ape_niveau3, rk % "
     + str(GROUP_SIZE) + ")"))
 def q_synthetic_firms(spark, sf):
-    base = fetch(panel(spark, sf), DatasetSpec(date_min=P.TRAIN_FROM, date_max=P.TEST_TO, sample_size=None))
+    base = fetch(panel(spark, sf), WHOLE)
     return finalize(build_synthetic_dataset(base, list(SYN_CONT), list(SYN_CAT), GROUP_SIZE, seed=P.SEED))
+
+
+@register("synthetic_ids", with_panel(
+    "SELECT n AS n_rows, n AS n_sirets, n AS n_sirens, 14::BIGINT AS siret_len, 9::BIGINT AS siren_len FROM ("
+    f"SELECT coalesce(sum({GROUP_SIZE}), 0)::BIGINT AS n FROM (SELECT code_ape_niveau3 FROM ("
+    + scan_sql(ALL_FROM, ALL_TO) + ") WHERE code_ape_niveau3 IS NOT NULL GROUP BY code_ape_niveau3 "
+    f"HAVING count(siret) > {GROUP_SIZE}))"))
+def q_synthetic_ids(spark, sf):
+    """Every mock establishment has a siret and a siren of its own."""
+    out = build_synthetic_dataset(fetch(panel(spark, sf), WHOLE), list(SYN_CONT), list(SYN_CAT), GROUP_SIZE, seed=P.SEED)
+    return finalize(out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("siret").alias("n_sirets"),
+                            F.count_distinct("siren").alias("n_sirens"), F.max(F.length("siret")).alias("siret_len"),
+                            F.min(F.length("siren")).alias("siren_len")))
+
+
+# --------------------------------------------------------------------------- rows without a score
+
+def scored_with_gaps(spark, sf) -> DataFrame:
+    """The scored set without the scores of establishments whose siret ends in 2."""
+    return scored(spark, sf).withColumn("score", F.when(F.substring("siret", -1, 1) != "2", F.col("score")))
+
+
+GAPS_CTE = ("scored AS (" + scan_sql(ALL_FROM, ALL_TO, cols="siret, siren, periode, outcome, "
+            f"CASE WHEN substr(siret, -1, 1) <> '2' THEN {FIXED_SCORE_SQL} END AS score") + " AND substr(siret, -1, 1) <> '2')")
+
+
+@register("pr_curve_null_scores", with_panel(
+    "SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall FROM curve",
+    GAPS_CTE, *CURVE_CTES))
+def q_pr_curve_null_scores(spark, sf):
+    return finalize(metrics.pr_curve(scored_with_gaps(spark, sf)))
+
+
+@register("evaluate_null_scores", with_panel(_metrics_sql(2.0), GAPS_CTE, CONF_CTE, *CURVE_CTES))
+def q_evaluate_null_scores(spark, sf):
+    return finalize(metrics.evaluate(scored_with_gaps(spark, sf), beta=2, thresh=0.5))
+
+
+# --------------------------------------------------------------------------- J5: the sets of every fold
+
+@register("fold_sets", with_panel(
+    "SELECT f.fold::BIGINT AS fold, 'train' AS part, siret, strftime(periode, '%Y-%m-%d') AS periode "
+    "FROM (SELECT range AS fold FROM range(0, 5)) f, tr JOIN folds x ON tr.siren = x.siren WHERE x.fold <> f.fold "
+    "UNION ALL SELECT x.fold::BIGINT, 'test', siret, strftime(periode, '%Y-%m-%d') FROM te JOIN folds x ON te.siren = x.siren",
+    *FOLD_CTES))
+def q_fold_sets(spark, sf):
+    """Training and test rows of all folds; each set meets the fold map once."""
+    train, test = _fold_inputs(spark, sf)
+    folds = siren_folds(train, test, N_FOLDS, seed=P.SEED)
+    train, test = with_fold(train, folds), with_fold(test, folds)
+    out = None
+    for i in range(N_FOLDS):
+        for part, df in zip(("train", "test"), fold_sets(train, test, folds, i)):
+            rows = df.select(F.lit(i).cast("long").alias("fold"), F.lit(part).alias("part"), "siret", "periode")
+            out = rows if out is None else out.unionByName(rows)
+    return finalize(out)

@@ -42,7 +42,7 @@ def run_pipeline(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     for step in steps:
         missing = set(step.inputs) - available
         if missing:
-            raise MissingDataError(f"Missing variables {sorted(missing)} in order to run {step.name}.")
+            raise MissingDataError(f"step {step.name}: absent columns {sorted(missing)}")
         available |= set(step.outputs or ())
     out = df
     for i, step in enumerate(steps, 1):
@@ -85,6 +85,3 @@ MAKE_DEBT_DELTA = Step("Make `avg_delta_dette_par_effectif`", add_debt_per_head_
 DEFAULT_PIPELINE = (REMOVE_ADMINISTRATIONS, MAKE_PAYDEX_YOY, MAKE_PAYDEX_GROUP, MAKE_DEBT_DELTA)
 SMALL_PIPELINE = (REMOVE_ADMINISTRATIONS, MAKE_DEBT_DELTA)
 
-
-def keep_columns(*names: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.select(*[F.col(n) for n in names])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigie.operators import clean
-from vigie.operators.dataset import fetch, month_window_end, raise_if_empty
+from vigie.operators.dataset import fetch, flatten, match, month_window_end, raise_if_empty
 from vigie.operators.explain import explain
 from vigie.operators.metrics import evaluate_dict
 from vigie.operators.model import LinearModel, fit_logistic
@@ -29,6 +29,7 @@ from vigie.operators.split import exclude_train_firms
 from vigie.plans.pipeline import run_pipeline
 from vigie.plans.specs import ModelSpec
 from vigie.schema import IGNORE_NA
+from vigie.session import written_table
 from vigie.sources import io
 
 log = logging.getLogger(__name__)
@@ -56,7 +57,7 @@ def apply_overrides(spec: ModelSpec, overrides: dict[str, Any] | None,
     sets = {"train": {}, "test": {}, "predict": {}}
     for arg, value in (overrides or {}).items():
         if arg not in ARGS_TO_ATTRS:
-            raise ValueError(f"Unknown run option {arg}")
+            raise ValueError(f"no such run option: {arg}")
         if value is None:
             continue
         ds, attr = ARGS_TO_ATTRS[arg]
@@ -80,21 +81,24 @@ def _clean(df: DataFrame) -> DataFrame:
     return clean.remove_na(clean.replace_missing_data(df), IGNORE_NA)
 
 
+def _fetched(panel: DataFrame, dataset) -> DataFrame:
+    """The data set; an empty one is an error, found by a test of the filters alone (no sort)."""
+    raise_if_empty(match(flatten(panel), dataset))
+    return fetch(panel, dataset)
+
+
 def prepare_train(panel: DataFrame, spec: ModelSpec) -> DataFrame:
-    df = raise_if_empty(fetch(panel, spec.train))
-    return run_pipeline(_clean(df), spec.pipeline)
+    return run_pipeline(_clean(_fetched(panel, spec.train)), spec.pipeline)
 
 
 def prepare_test(panel: DataFrame, spec: ModelSpec, train: DataFrame) -> DataFrame:
-    df = raise_if_empty(fetch(panel, spec.test))
-    df = exclude_train_firms(df, train)
+    df = exclude_train_firms(_fetched(panel, spec.test), train)
     df = clean.remove_strong_signals(_clean(df))
     return run_pipeline(df, spec.pipeline)
 
 
 def prepare_predict(panel: DataFrame, spec: ModelSpec) -> DataFrame:
-    df = raise_if_empty(fetch(panel, spec.predict))
-    return run_pipeline(_clean(df), spec.pipeline)
+    return run_pipeline(_clean(_fetched(panel, spec.predict)), spec.pipeline)
 
 
 def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
@@ -123,18 +127,16 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
     stats = make_stats(spec)
     stats["run_on"] = datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S")
 
-    train = prepare_train(panel, spec).persist()
-    try:
-        model = fit_logistic(train, spec.feature_groups, spec.onehot)
-        stats["train"] = _metrics(model.score(train, "score"), spec.eval_beta)
-        seen = fetch(panel, spec.train) if exclude_fetched_train_firms else train
-        test_set = prepare_test(panel, spec, seen)
-        if unknown == "error":
-            model.check_levels(test_set)
-        test = model.score(test_set, "score")
-        stats["test"] = _metrics(test, spec.eval_beta)
-    finally:
-        train.unpersist()
+    # both sets are used several times: written once, with what the model reads
+    train = written_table(prepare_train(panel, spec), "train")
+    model = fit_logistic(train, spec.feature_groups, spec.onehot)
+    stats["train"] = _metrics(model.score(train, "score"), spec.eval_beta)
+    seen = fetch(panel, spec.train) if exclude_fetched_train_firms else train
+    test_set = prepare_test(panel, spec, seen)
+    test_set = written_table(test_set.select(*dict.fromkeys(["outcome", *spec.features])), "test")
+    if unknown == "error":
+        model.check_levels(test_set)
+    stats["test"] = _metrics(model.score(test_set, "score"), spec.eval_beta)
 
     predict_set = prepare_predict(panel, spec)
     if unknown == "error":
