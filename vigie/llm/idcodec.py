@@ -2,77 +2,72 @@
 
 Every block is coded on its own from a fresh model.  All blocks of a batch
 advance in step, one id each, as numpy vectors ("lanes"), so the cost of a step
-is shared by thousands of blocks.  Whole numbers only: results do not depend on
-the machine.
+is shared by hundreds of blocks.  The coder's state are whole numbers below
+2^53 kept as doubles, hence exact; the model uses element-wise single-precision
+arithmetic, which gives the same bits everywhere.
 
 Model of a lane: the id seen last after the same two ids (order 2), after the
 same id (order 1), and the block's majority id (order 0) predict the next id.
 Three adaptive probabilities that the prediction holds, one per order, are mixed
-with weights that follow each order's success.  The arithmetic coder codes that
-flag; a missed id is coded by the adaptive order-0 distribution of its bit
-length and then its bits.
+with weights that follow each order's success.  The arithmetic coder codes
+whether it holds, and for a missed id its bit length by an adaptive order-0
+distribution; the bits below the leading one follow as they are.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 
-_SLOTS = 1 << 11
+_SLOTS = 1 << 10
 _CLASSES = 32
 _REBUILD = 32
-_ONE = 1 << 16
+_ONE = float(1 << 16)
+_FULL = float(1 << 48)
+_LEAST = float(1 << 32)
+
+
+class BlockError(ValueError):
+    """A block does not hold what was written."""
 
 
 class _Encoder:
     """Lanes of a range coder: 48-bit range, 16-bit digits, carries resolved at the end."""
 
     def __init__(self, lanes: int, expected: int):
-        self.low = np.zeros(lanes, np.int64)
-        self.rng = np.full(lanes, 1 << 48, np.int64)
+        self.low = np.zeros(lanes)
+        self.rng = np.full(lanes, _FULL)
         self.n = np.zeros(lanes, np.int64)
-        self.lane = np.arange(lanes)
-        self.digits = np.zeros((expected + 64, lanes), np.int32)
-
-    def _narrow(self, a: int, start, freq, r) -> None:
-        low = self.low[:a]
-        low += start * r
-        np.multiply(freq, r, out=self.rng[:a])
-        full = self.rng[:a] < (1 << 32)
-        if full.any():
-            idx = np.flatnonzero(full)
-            top = self.low[idx]
-            self.digits[self.n[idx], idx] = top >> 32
-            self.low[idx] = (top & 0xFFFFFFFF) << 16
-            self.rng[idx] <<= 16
-            self.n[idx] += 1
+        self.digits = np.zeros((expected // 2 + 64, lanes), np.int32)
 
     def room(self) -> None:
-        if int(self.n.max()) + 4 * _REBUILD > len(self.digits):
+        if int(self.n.max(initial=0)) + 2 * _REBUILD > len(self.digits):
             self.digits = np.concatenate([self.digits, np.zeros_like(self.digits)])
 
-    def bit(self, a, f, hit):
-        start, freq = np.where(hit, 0, f), np.where(hit, f, _ONE - f)
-        self._narrow(a, start, freq, self.rng[:a] >> 16)
-        return hit
+    def _emit(self, idx: np.ndarray) -> None:
+        low = self.low[idx]
+        top = np.floor(low / _LEAST)
+        self.digits[self.n[idx], idx] = top
+        self.low[idx] = (low - top * _LEAST) * _ONE
+        self.n[idx] += 1
 
-    def symbol(self, a, cum, base, on, s):
-        at = base + s
-        start = np.where(on, cum[at], 0)
-        self._narrow(a, start, np.where(on, cum[at + 1], _ONE) - start, self.rng[:a] >> 16)
-        return s
-
-    def raw(self, a, bits, value):
-        self._narrow(a, value, 1, self.rng[:a] >> bits)
-        return value
+    def narrow(self, a: int, start: np.ndarray, freq: np.ndarray, r: np.ndarray) -> None:
+        self.low[:a] += start * r
+        rng = self.rng[:a]
+        np.multiply(freq, r, out=rng)
+        idx = np.flatnonzero(rng < _LEAST)
+        if len(idx):
+            self._emit(idx)
+            rng[idx] *= _ONE
 
     def finish(self) -> list[bytes]:
+        every = np.arange(len(self.low))
         for _ in range(3):
             self.room()
-            self.digits[self.n, self.lane] = self.low >> 32
-            self.low = (self.low & 0xFFFFFFFF) << 16
-            self.n += 1
-        carry = np.zeros(len(self.lane), np.int32)
-        for i in range(int(self.n.max()) - 1, -1, -1):
+            self._emit(every)
+        carry = np.zeros(len(self.low), np.int32)
+        for i in range(int(self.n.max(initial=0)) - 1, -1, -1):
             row = self.digits[i]
             row += carry
             carry = row >> 16
@@ -82,162 +77,187 @@ class _Encoder:
 
 
 class _Decoder:
-    def __init__(self, payloads: list[bytes]):
-        self.data = np.frombuffer(b"".join(p + b"\0" * 8 for p in payloads), "<u2").astype(np.int64)
-        self.pos = np.cumsum([0] + [len(p) // 2 + 4 for p in payloads[:-1]])
-        self.code = (self.data[self.pos] << 32) | (self.data[self.pos + 1] << 16) | self.data[self.pos + 2]
+    def __init__(self, digits: list[bytes], raw: list[bytes]):
+        self.data = np.frombuffer(b"".join(p + b"\0" * 8 for p in digits), "<u2").astype(np.float64)
+        self.pos = np.cumsum([0] + [len(p) // 2 + 4 for p in digits[:-1]])
+        self.code = (self.data[self.pos] * _ONE + self.data[self.pos + 1]) * _ONE + self.data[self.pos + 2]
         self.pos = self.pos + 3
-        self.rng = np.full(len(payloads), 1 << 48, np.int64)
+        self.rng = np.full(len(digits), _FULL)
+        words = np.frombuffer(b"".join(p + b"\0" * 8 for p in raw) + b"\0" * 8, "<u2").astype(np.int64)
+        self.window = words[:-2] | words[1:-1] << 16 | words[2:] << 32
+        self.bit = 16 * np.cumsum([0] + [len(p) // 2 + 4 for p in raw[:-1]])
 
-    def _narrow(self, a: int, start, freq, r) -> None:
-        code = self.code[:a]
+    def narrow(self, a: int, start: np.ndarray, freq: np.ndarray, r: np.ndarray) -> None:
+        code, rng = self.code[:a], self.rng[:a]
         code -= start * r
-        np.multiply(freq, r, out=self.rng[:a])
-        full = self.rng[:a] < (1 << 32)
-        if full.any():
-            idx = np.flatnonzero(full)
-            at = np.minimum(self.pos[idx], len(self.data) - 1)  # a damaged block may run on; its checksum tells
-            self.code[idx] = (self.code[idx] << 16) | self.data[at]
-            self.rng[idx] <<= 16
-            self.pos[idx] += 1
+        np.multiply(freq, r, out=rng)
+        idx = np.flatnonzero(rng < _LEAST)
+        if len(idx):
+            at = self.pos[idx]
+            code[idx] = code[idx] * _ONE + self.data.take(at, mode="clip")  # a damaged block may run on; its checksum tells
+            rng[idx] *= _ONE
+            self.pos[idx] = at + 1
 
-    def room(self) -> None:
-        pass
-
-    def bit(self, a, f, hit):
-        r = self.rng[:a] >> 16
-        hit = self.code[:a] < f * r
-        self._narrow(a, np.where(hit, 0, f), np.where(hit, f, _ONE - f), r)
-        return hit
-
-    def symbol(self, a, cum, base, on, s):
-        r = self.rng[:a] >> 16
-        target = np.clip(self.code[:a] // r, 0, _ONE - 1)
-        s = np.zeros(a, np.int64)
-        for step in (16, 8, 4, 2, 1):
-            s += step * (cum[base + s + step] <= target)
-        s *= on
-        start = np.where(on, cum[base + s], 0)
-        self._narrow(a, start, np.where(on, cum[base + s + 1], _ONE) - start, r)
-        return s
-
-    def raw(self, a, bits, value):
-        r = self.rng[:a] >> bits
-        value = np.clip(self.code[:a] // r, 0, (1 << bits) - 1)
-        self._narrow(a, value, 1, r)
+    def bits(self, a: int, n: np.ndarray) -> np.ndarray:
+        bit = self.bit[:a]
+        value = self.window.take(bit >> 4, mode="clip") >> (bit & 15) & ((1 << n) - 1)
+        bit += n
         return value
 
 
-def _run(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Code all lanes (lengths descending).  ids: [step, lane] or None to decode."""
-    lanes, steps = len(lengths), int(lengths[0]) if len(lengths) else 0
-    out = np.zeros((steps, lanes), np.int64) if ids is None else ids
+def _hash(x: np.ndarray) -> np.ndarray:
+    return x * 40503 >> 4 & (_SLOTS - 1)
+
+
+def _run(coder, lengths: np.ndarray, ids: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Code all lanes (lengths descending).  ids: [step, lane] or None to decode.
+
+    Returns the ids and, when encoding, the bit lengths of the missed ids (0 for the others).
+    """
+    lanes, steps = len(lengths), int(lengths[0])
+    coding = ids is not None
+    out = ids if coding else np.zeros((steps, lanes), np.int64)
     lane = np.arange(lanes)
-    slot0 = lane * _SLOTS
-    pred = [np.zeros(lanes * _SLOTS, np.int64) for _ in range(2)]  # order 2, order 1: id + 1, 2 bits of confidence below
-    major, votes = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    table = np.full(lanes * 24, _ONE // 4, np.int64)  # adaptive probabilities: 8 states for each order
-    weight = np.full((3, lanes), _ONE // 3, np.int64)
-    count = np.ones((lanes, _CLASSES), np.int64)
-    cum = np.zeros((lanes, _CLASSES + 1), np.int64)
-    p1 = p2 = np.zeros(lanes, np.int64)
+    slot = lane * _SLOTS
+    if coding:
+        lengths_of = np.frexp(out + 1.0)[1]  # bit length of id + 1
+        tails = np.zeros((steps, lanes), np.int8)
+    pred1, pred2 = (np.zeros(lanes * _SLOTS, np.int32) for _ in range(2))  # (id + 1) * 4 + confidence
+    grow = np.array([1, 1, 1, 0], np.int32)
+    major, votes = np.ones(lanes, np.int64), np.zeros(lanes, np.int64)
+    table = np.full(lanes * 24, 0.25, np.float32)  # adaptive probabilities: 8 states for each order
+    base = np.stack([lane * 24, lane * 24 + 8, lane * 24 + 16])
+    weight = np.full((3, lanes), 1 / 3, np.float32)
+    count = np.zeros((lanes, _CLASSES), np.int64)
+    h1 = prev = np.zeros(lanes, np.int64)
     recent = np.zeros(lanes, np.int64)
-    cbase, kbase = lane * (_CLASSES + 1), lane * _CLASSES
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # lanes longer than t
+    state = np.empty((3, lanes), np.int64)
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left").tolist()  # lanes longer than t
+    width = -1
     for t in range(steps):
-        a = int(active[t])
+        a = active[t]
+        if a != width:
+            width = a
+            sl, bs, st, wt = slot[:a], base[:, :a], state[:, :a], weight[:, :a]
+            l32, l33, l256 = lane[:a] * _CLASSES, lane[:a] * (_CLASSES + 1), lane[:a] * 256
+            h1, prev, recent = h1[:a], prev[:a], recent[:a]
         if t % _REBUILD == 0:
-            coder.room()
-            total = count.sum(axis=1, keepdims=True)
-            cum[:, 1:] = np.cumsum(count * (_ONE - 2 * _CLASSES) // total + 1, axis=1)
-            cum[:, -1] = _ONE
-            flat = cum.reshape(-1)
-        q1, q2 = p1[:a], p2[:a]
-        at1 = slot0[:a] + ((q1 * 40503) >> 4 & (_SLOTS - 1))
-        at2 = slot0[:a] + ((q1 * 40503 + q2 * 60493) >> 5 & (_SLOTS - 1))
-        e1, e2 = pred[1][at1], pred[0][at2]
+            if coding:
+                coder.room()
+            # class frequencies in 256ths, at least one each; what is left goes to the most frequent
+            n8 = 1 + count * (256 - _CLASSES) // np.maximum(count.sum(axis=1, keepdims=True), 1)
+            n8[lane, count.argmax(axis=1)] += 256 - n8.sum(axis=1)
+            cum8 = np.zeros((lanes, _CLASSES + 1), np.int64)
+            np.cumsum(n8, axis=1, out=cum8[:, 1:])
+            c8, f8 = cum8.reshape(-1).astype(np.float64), n8.reshape(-1).astype(np.float64)
+            if not coding:
+                marks = np.zeros((lanes, 256), np.uint8)
+                marks[lane[:, None], cum8[:, 1:_CLASSES]] = 1
+                find = np.cumsum(marks, axis=1, dtype=np.uint8).reshape(-1)
+        i1, i2 = sl + h1, sl + (h1 + 37 * prev & (_SLOTS - 1))
+        e1, e2 = pred1[i1], pred2[i2]
         g1, g2 = e1 >> 2, e2 >> 2
-        guess = np.where(g2 > 0, g2, np.where(g1 > 0, g1, major[:a] + 1)) - 1
-        state = np.empty((3, a), np.int64)
-        state[0] = recent[:a]
-        state[1] = 8 + (e1 & 3) + 4 * (g1 == guess + 1)
-        state[2] = 16 + (e2 & 3) + 4 * (g2 == guess + 1)
-        state += lane[:a] * 24
-        p = table[state]
-        w = weight[:, :a]
-        mixed = (w * p).sum(axis=0) >> 16
-        f = np.clip(mixed, 64, _ONE - 64)
-        x = None if ids is None else out[t, :a]
-        hit = coder.bit(a, f, None if x is None else x == guess)
-        # missed ids: bit length by the adaptive order-0 distribution, then the bits
-        miss = ~hit
-        if x is None:
-            cls = coder.symbol(a, flat, cbase[:a], miss, None)
+        k1, k2 = e1 & 3, e2 & 3
+        has2 = g2 > 0
+        guess = np.where(has2, g2, np.where(g1 > 0, g1, major[:a]))
+        st[0] = recent
+        st[1] = k1 + 4 * (g1 == guess)
+        st[2] = k2 + 4 * has2
+        st += bs
+        p = table[st]
+        mixed = wt[0] * p[0] + wt[1] * p[1] + wt[2] * p[2]
+        f = np.floor(np.minimum(mixed, np.float32(1)).astype(np.float64) * (_ONE - 1024) + 256)
+        r = np.floor((coder.rng[:a]) / _ONE)
+        g = np.floor((_ONE - f) / 256)
+        if coding:
+            known = out[t] if a == lanes else out[t, :a]
+            known = known + 1
+            hit = known == guess
+            miss = ~hit
+            cls = lengths_of[t, :a] * miss
+            tails[t, :a] = cls
         else:
-            cls = coder.symbol(a, flat, cbase[:a], miss, np.frexp(x + 1.0)[1] * miss)
-        bits = np.maximum(cls - 1, 0) * miss
-        value = np.zeros(a, np.int64) if x is None else (x + 1 - (1 << bits)) * miss
-        if x is None:
-            got = np.zeros(a, np.int64)
-            for shift in range(16 * ((int(bits.max()) - 1) // 16 if a else 0), -1, -16):
-                k = np.clip(bits - shift, 0, 16)
-                got |= coder.raw(a, k, None) << shift
-            x = np.where(hit, guess, (1 << bits) + got - 1)
-            out[t, :a] = x
-        else:
-            for shift in range(16 * ((int(bits.max()) - 1) // 16 if a else 0), -1, -16):
-                k = np.clip(bits - shift, 0, 16)
-                coder.raw(a, k, value >> shift & ((1 << k) - 1))
+            value = np.floor(coder.code[:a] / r)
+            hit = value < f
+            miss = ~hit
+            t8 = np.minimum(np.floor((value - f) / g), 255).astype(np.int64)
+            cls = find[(l256 + t8) * miss] * miss
+        start, freq = c8[l33 + cls], f8[l32 + cls]
+        coder.narrow(a, np.where(hit, 0.0, f + start * g), np.where(hit, f, freq * g), r)
+        if not coding:
+            n = np.maximum(cls, 1) - 1
+            n = n.astype(np.int64)
+            known = np.where(hit, guess, (1 << n) + coder.bits(a, n))
+            out[t, :a] = known - 1
         # adapt
-        won = hit * (_ONE - 1)
-        table[state] = p + ((won - p) >> 4)
-        like = np.where(hit, p, _ONE - p)
-        both = np.where(hit, mixed, _ONE - mixed)
-        w += (w * (like - both)) >> 20
-        np.clip(w, 1 << 10, _ONE, out=w)
-        count.reshape(-1)[kbase[:a] + cls] += 24 * miss
-        known = (x + 1) << 2
-        for table_, at, entry, g in ((pred[0], at2, e2, g2), (pred[1], at1, e1, g1)):
-            same = g == x + 1
-            sure = entry & 3
-            # an unsure prediction is replaced, a sure one loses confidence first
-            table_[at] = np.where(same, entry + (sure < 3), np.where(sure > 0, entry - 1, known))
-        m = x == major[:a]
-        votes[:a] += np.where(m, 1, -1)
-        fresh = votes[:a] < 0
-        np.copyto(major[:a], x, where=fresh)
-        np.copyto(votes[:a], 1, where=fresh)
-        recent[:a] = (recent[:a] << 1 | hit) & 7
-        p2 = p1
-        p1 = x
-    return out
+        count.reshape(-1)[l32 + cls] += miss
+        table[st] = p + (hit - p) * np.float32(1 / 16)
+        like = np.abs(miss - p)
+        wt *= like
+        wt *= np.float32(0.98) / np.maximum(wt[0] + wt[1] + wt[2], np.float32(1e-6))
+        wt += np.float32(0.02 / 3)
+        short = (known << 2).astype(np.int32)
+        pred1[i1] = np.where(g1 == known, e1 + grow[k1], short)
+        pred2[i2] = np.where(g2 == known, e2 + grow[k2], short)
+        if t % 4 == 0:  # majority vote over every fourth id
+            votes[:a] += np.where(known == major[:a], 1, -1)
+            lost = votes[:a] < 0
+            np.copyto(major[:a], known, where=lost)
+            np.copyto(votes[:a], 1, where=lost)
+        recent = (recent << 1 | hit) & 7
+        prev, h1 = h1, _hash(known)
+    return out, tails if coding else None
+
+
+def _pack(ids: np.ndarray, tails: np.ndarray) -> list[bytes]:
+    """Per lane, the bits below the leading one of its missed ids, end to end in 16-bit words."""
+    n = np.maximum(tails.astype(np.int64), 1) - 1
+    values = (ids + 1 - (1 << n)) * (tails > 0)
+    ends = np.cumsum(n, axis=0)
+    words = (ends[-1] + 15) // 16 + 3
+    first = np.cumsum(words) - words
+    at = ends - n + 16 * first
+    values <<= at & 15
+    word, size = at >> 4, int(words.sum())
+    flat = np.zeros(size + 2)
+    for k in range(3):
+        part = (values >> 16 * k & 0xFFFF).ravel()
+        flat[k:] += np.bincount(word.ravel(), part, size + 2)[:size + 2 - k]
+    data = flat.astype("<u2")
+    return [data[i:i + m].tobytes() for i, m in zip(first.tolist(), words.tolist())]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """One payload per block of ids (each 0 to 2^31 - 2)."""
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
+    """One payload per block of ids (each 0 to 2^29 - 2)."""
+    order = sorted((i for i in range(len(blocks)) if len(blocks[i])), key=lambda i: -len(blocks[i]))
+    payloads: list[bytes] = [b""] * len(blocks)
+    if not order:
+        return payloads
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
-    if not len(lengths):
-        return []
     ids = np.zeros((int(lengths[0]), len(order)), np.int64)
     for j, i in enumerate(order):
         ids[:lengths[j], j] = blocks[i]
     coder = _Encoder(len(order), int(lengths[0]))
-    _run(coder, lengths, ids)
-    payloads: list[bytes] = [b""] * len(blocks)
-    for i, data in zip(order, coder.finish()):
-        payloads[i] = data
+    _, tails = _run(coder, lengths, ids)
+    for i, digits, raw in zip(order, coder.finish(), _pack(ids, tails)):
+        body = len(digits).to_bytes(4, "little") + digits + raw
+        payloads[i] = zlib.crc32(body).to_bytes(4, "little") + body
     return payloads
 
 
 def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
-    """The blocks of ids, as unsigned 32-bit integers."""
-    order = sorted(range(len(payloads)), key=lambda i: -lengths[i])
+    """The blocks of ids, as unsigned 32-bit integers.  Raises ``BlockError`` for a damaged payload."""
+    order = sorted((i for i in range(len(payloads)) if lengths[i]), key=lambda i: -lengths[i])
+    blocks: list[np.ndarray] = [np.empty(0, np.uint32)] * len(payloads)
     if not order:
-        return []
+        return blocks
+    for i in order:
+        if len(payloads[i]) < 8 or zlib.crc32(payloads[i][4:]) != int.from_bytes(payloads[i][:4], "little"):
+            raise BlockError(f"payload {i} of the batch: checksum differs")
+    cut = [8 + int.from_bytes(payloads[i][4:8], "little") for i in order]
+    coder = _Decoder([payloads[i][8:c] for i, c in zip(order, cut)], [payloads[i][c:] for i, c in zip(order, cut)])
     sizes = np.array([lengths[i] for i in order], np.int64)
-    ids = _run(_Decoder([payloads[i] for i in order]), sizes, None)
-    blocks: list[np.ndarray] = [np.empty(0, np.uint32)] * len(payloads)
+    ids, _ = _run(coder, sizes, None)
     for j, i in enumerate(order):
         blocks[i] = ids[:sizes[j], j].astype("<u4")
     return blocks

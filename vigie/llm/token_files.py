@@ -21,6 +21,7 @@ only the number of ids per shard is summed up globally.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from vigie.llm.common import read, shared_path
-from vigie.llm.idcodec import decode_blocks, encode_blocks
+from vigie.llm.idcodec import BlockError, decode_blocks, encode_blocks
 
 BLOCK_IDS = 4096
 #: blocks coded side by side; bounds a task's memory
-LANES = 1536
-#: pieces of text whose ids a task remembers; bounds its memory
+LANES = 1024
+#: words whose ids a task remembers; bounds its memory
 MEMO = 400_000
 END_ID = 2
 
@@ -46,57 +47,44 @@ FILE_SCHEMA = ("shard int, seq long, first_doc long, first_id long, n_ids int, c
                "doc_ids array<bigint>, doc_lens array<int>, payload binary")
 
 
-class BlockError(ValueError):
-    """A block does not decode to the ids that were written."""
+#: white space before a space: there the tokenizer's rule for runs of white space applies
+_RUN = re.compile(r"\s ")
 
 
-class _Memo(dict):
-    """Piece of text -> its ids as bytes; bounded, and exact with or without an entry."""
+class _Memo:
+    """Word -> ids of a space and the word, as bytes; bounded, and exact with or without an entry."""
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
+        self.words: dict[str, bytes] = {}
 
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not remembered; remembers them while there is room."""
-        todo = [p for p in dict.fromkeys(pieces) if p not in self]
-        found = {p: np.array(e.ids, "<u4").tobytes()
-                 for p, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False))}
-        for p, ids in found.items():
-            if len(self) >= MEMO or len(p) > 64:
-                continue
-            self[p] = ids
-        return found
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
-def _pieces(text: str) -> list[str] | None:
-    """Cut before each single space after a non-space.
+def tokenise(texts: list[str | None], memo: _Memo) -> list[bytes]:
+    """Ids of whole texts as bytes (little-endian unsigned 32-bit), end id appended; null is empty.
 
-    Byte-level pre-tokenization never joins a space to what precedes it, so ids
-    of the pieces, put together, are the ids of the text.  None where runs of
-    white space meet a space; such a text is encoded as it is.
+    Byte-level pre-tokenization never joins a space to what precedes it, so a
+    text may be cut before each single space after a non-space: the ids of the
+    pieces, put together, are the ids of the text.  A text where white space
+    meets a space is encoded in one piece.
     """
-    words = text.split(" ")
-    if len(words) > 1:
-        if not all(words[:-1]) or any(w[-1].isspace() for w in words[:-1]):
-            return None
-        return [words[0], *[" " + w for w in words[1:]]]
-    return words
-
-
-def tokenise(texts: list[str | None], memo: _Memo) -> list[bytes]:
-    """Ids of whole texts as bytes (little-endian unsigned 32-bit), end id appended; null is empty."""
-    cut = [_pieces(t or "") for t in texts]
-    plain = [t for t, c in zip(texts, cut) if c is None]
-    whole = iter(memo.tokenizer.encode_batch_fast(plain, add_special_tokens=False)) if plain else iter(())
-    new = memo.learn([p for c in cut if c is not None for p in c])
-    end = np.array([END_ID], "<u4").tobytes()
-    out = []
+    cut = [None if _RUN.search(t or "") else (t or "").split(" ") for t in texts]
+    plain = iter(memo.encode([t for t, c in zip(texts, cut) if c is None]))
+    heads = iter(memo.encode([c[0] for c in cut if c is not None]))
+    wanted: set[str] = set()
     for c in cut:
-        if c is None:
-            out.append(np.array(next(whole).ids, "<u4").tobytes() + end)
-        else:
-            out.append(b"".join([memo.get(p) if p in memo else new[p] for p in c]) + end)
+        if c is not None:
+            wanted.update(c[1:])
+    known = memo.words
+    new = list(wanted.difference(known))
+    known.update(zip(new, memo.encode([" " + w for w in new])))
+    end, get = np.array([END_ID], "<u4").tobytes(), known.__getitem__
+    out = [next(plain) + end if c is None else next(heads) + b"".join(map(get, c[1:])) + end for c in cut]
+    for w in new[max(0, MEMO - (len(known) - len(new))):]:  # over the bound: forget what this call added
+        del known[w]
     return out
 
 
