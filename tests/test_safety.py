@@ -2,6 +2,7 @@
 
 import os
 import shutil
+import uuid
 from types import SimpleNamespace
 
 import pytest
@@ -56,7 +57,7 @@ def test_panel_follows_its_input_files(spark, scratch):
 def test_an_unfinished_panel_is_not_read(spark, monkeypatch):
     monkeypatch.setattr(panel, "_cache", {})
     monkeypatch.setattr(panel, "_tables", {})
-    monkeypatch.setattr(panel, "RECIPE_VERSION", "unfinished")
+    monkeypatch.setattr(panel, "RECIPE_VERSION", f"unfinished-{uuid.uuid4().hex}")
     root, key = session.checkpoint_dir(spark), panel._fingerprint(spark, SF)
     spark.createDataFrame([("1",)], "siret string").write.parquet(f"{root}/panel/{key}-half")
     assert panel.load_panel(spark, SF).count() > 1
