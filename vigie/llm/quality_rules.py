@@ -243,4 +243,86 @@ def keep_good(df: DataFrame, params: QualityParams = QualityParams()) -> DataFra
 def op9_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``judge`` over the whole documents table."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return judge(docs, drop=("text",)).select("doc_id", *BASE, "base_failed", "kept", "distance", "n_upper")
+    return judge(docs, drop=("text",)).select("doc_id", *BASE, "base_failed", "kept", "n_upper")
+
+
+# --------------------------------------------------------------------------- the same result as one DuckDB query
+
+def _sql(p: QualityParams = QualityParams()) -> str:
+    """Statistics, the unrolled C-steps and the verdicts, step by step as named subqueries."""
+    words = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+    dims, pairs = range(_P), [(i, j) for i in range(_P) for j in range(i + 1)]
+    ms, ls, xs = (", ".join(f"{c}" for c in cols) for cols in ([f"m{i}" for i in dims], [f"l{i}{j}" for i, j in pairs], _X))
+    steps: list[str] = []
+
+    def add(name: str, body: str) -> str:
+        steps.append(f"{name} as ({body})")
+        return name
+
+    def quantile(name: str, source: str, keys: str, value: str, share: float, out: str) -> str:
+        h = add(f"{name}_h", f"select {keys}, {value}, sum(w) as n from {source} group by all")
+        c = add(f"{name}_c", f"select *, sum(n) over (partition by {keys} order by {value}) as c, sum(n) over (partition by {keys}) as t from {h}")
+        return add(name, f"select {keys}, min({value}) as {out} from {c} where c >= ceil({share} * t) group by {keys}")
+
+    def estimate(name: str, source: str, keys: str) -> str:
+        """Moments of ``source``, then the Cholesky factor column by column."""
+        sums = ", ".join([f"cast(sum(w * x{i}) as double) / sum(w) as m{i}" for i in dims]
+                         + [f"cast(sum(w * x{i} * x{j}) as double) / sum(w) - (cast(sum(w * x{i}) as double) / sum(w)) * "
+                            f"(cast(sum(w * x{j}) as double) / sum(w)) + {p.scale_floor[i] ** 2 if i == j else 0.0} as s{i}{j}" for i, j in pairs])
+        last = add(f"{name}_m", f"select {keys}, {sums} from {source} group by {keys}")
+        for j in dims:
+            diagonal = " - ".join([f"s{j}{j}", *[f"l{j}{k} * l{j}{k}" for k in range(j)]])
+            last = add(f"{name}_d{j}", f"select *, sqrt({diagonal}) as l{j}{j} from {last}")
+            below = "".join(f", ({' - '.join([f's{i}{j}', *[f'l{i}{k} * l{j}{k}' for k in range(j)]])}) / l{j}{j} as l{i}{j}"
+                            for i in range(j + 1, _P))
+            last = add(f"{name}_l{j}", f"select *{below} from {last}")
+        return add(name, f"select {keys}, {ms}, {ls}, {' + '.join(f'2 * ln(l{i}{i})' for i in dims)} as logdet from {last}")
+
+    def distance(name: str, source: str) -> str:
+        last = source
+        for i in dims:
+            left = " - ".join([f"(x{i} - m{i})", *[f"l{i}{k} * z{k}" for k in range(i)]])
+            last = add(f"{name}_z{i}", f"select *, ({left}) / l{i}{i} as z{i} from {last}")
+        return add(name, f"select *, {' + '.join(f'z{i} * z{i}' for i in dims)} as d2 from {last}")
+
+    add("words", f"select doc_id, lang, source, coalesce(text, '') as text, {words} as w from documents")
+    add("grams", "select doc_id, i, array_to_string(w[i:i + 2], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from words)")
+    add("twice", "select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as n from grams) where n > 1")
+    add("again", "select doc_id, count(distinct k) as n_repeat_words from (select doc_id, unnest(range(i, i + 3)) as k from twice) group by doc_id")
+    add("lines", "select doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from words")
+    add("base", "select doc_id, coalesce('=' || lang, '-') as lg, coalesce('=' || source, '-') as sc, cast(len(w) as bigint) as n_words, "
+                "cast(length(array_to_string(w, '')) as bigint) as word_chars, "
+                "cast(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols, "
+                "cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words, "
+                "cast(length(regexp_replace(text, '[^A-Z]+', '', 'g')) as bigint) as n_upper "
+                "from words join lines using (doc_id) left join again using (doc_id)")
+    add("docs", f"select *, n_words < {p.min_words} or 100 * n_repeat_words > {p.max_repeat_pct} * n_words as base_failed, "
+                + ", ".join(f"{e} as {x}" for x, e in _vector(p).items()) + " from base")
+    add("groups", "select distinct lg, sc, unnest([0, 1, 2]) as level, unnest(['s|' || lg || '|' || sc, 'l|' || lg, 'all']) as grp from docs")
+    add("v", f"select grp, {xs}, count(*) as w from docs join groups using (lg, sc) where not base_failed group by all")
+    tall = add("tall", " union all ".join(f"select grp, {i} as dim, x{i} as x, w from v" for i in dims))
+    quantile("med", tall, "grp, dim", "x", 0.5, "med")
+    add("dev", "select grp, dim, abs(x - med) as x, w from tall join med using (grp, dim)")
+    quantile("mad", "dev", "grp, dim", "x", 0.5, "mad")
+    floors = "case dim " + " ".join(f"when {i} then {f}" for i, f in enumerate(p.scale_floor)) + " end"
+    add("spread", f"select grp, dim, med, sqrt(pow(1.4826 * mad, 2) + pow({floors}, 2)) as s from mad join med using (grp, dim)")
+    first = ", ".join([f"max(case when dim = {i} then med end) as m{i}" for i in dims]
+                      + [f"max(case when dim = {i} then s end) as l{i}{j}" if i == j else f"0.0 as l{i}{j}" for i, j in pairs])
+    estimate("classic", "v", "grp")
+    est = add("e0", f"select grp, 0 as start, {first} from spread group by grp union all select grp, 1, {ms}, {ls} from classic")
+    for k in range(1, p.steps + 1):
+        joined = add(f"j{k}", f"select v.*, e.* exclude (grp) from v join {est} e using (grp)")
+        d = distance(f"d{k}", joined)
+        b = add(f"b{k}", f"select grp, start, w, {xs}, cast(least(6000, floor(200 * ln(1 + d2))) as bigint) as bin from {d}")
+        cut = quantile(f"q{k}", b, "grp, start", "bin", p.support, "cut")
+        core = add(f"k{k}", f"select b.* from {b} b join {cut} using (grp, start) where bin <= cut")
+        est = estimate(f"e{k}", core, "grp, start")
+    add("fitted", f"select grp, {ms}, {ls} from (select *, row_number() over (partition by grp order by logdet, start) as r from {est}) "
+                  f"where r = 1 and grp in (select grp from v group by grp having sum(w) >= {p.min_group})")
+    add("use", "select * from (select *, row_number() over (partition by lg, sc order by level) as r from groups join fitted using (grp)) where r = 1")
+    distance("judged", add("placed", f"select docs.*, {ms}, {ls} from docs left join use using (lg, sc)"))
+    return ("with " + ",\n".join(steps) + f"\nselect doc_id, {', '.join(BASE)}, base_failed, "
+            f"not base_failed and coalesce(d2 <= {p.cutoff}, true) as kept, n_upper from judged")
+
+
+SQL = _sql()

@@ -6,8 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, quality_model, token_files, url_filter
-from vigie.llm.quality_rules import op9_quality_mcd
+from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, quality_model, quality_rules, token_files, url_filter
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,12 +18,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_gear_chunks": chunk_dedup.op6_gear_chunks,
     "op7_mix_systematic": mixing.op7_mix_systematic,
     "op8_simhash_pivots": op8_simhash_pivots,
-    "op9_quality_mcd": op9_quality_mcd,
+    "op9_quality_mcd": quality_rules.op9_quality_mcd,
     "op10_url_digests": url_filter.op10_url_digests,
 }
 ORACLE: dict[str, str] = {
     "op3_winnowing": decontaminate.SQL,
     "op4_sentence_rules": license_scan.SQL,
     "op7_mix_systematic": mixing.SQL,
+    "op9_quality_mcd": quality_rules.SQL,
     "op10_url_digests": url_filter.SQL,
 }
