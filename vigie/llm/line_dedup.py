@@ -1,19 +1,20 @@
 """Fuzzy line dedup: MinHash, banding, exact Jaccard, distributed union-find.
 
 Lines are known by a 64-bit hash (n different lines expect n^2 / 2^65 wrong
-merges).  Character shingles give ten minimum hashes per line by one aggregation
-(copies of a line fold into it); two hashes make a band, and lines that share
-one of five bands are candidates.  A candidate pair is verified by the exact
-Jaccard similarity of its sets of all 5-character shingles.  Verified pairs are
-links; one line per component stays, the first by document id and position.
-
-Signatures: lines up to 150 characters use all 5-character shingles; lines from
-100 characters use the 8-character shingles that begin at word starts (and at
-every character outside Latin script).  Similar lines differ by a fifth in length
-at most, so any two have one kind in common.
+merges).  Character shingles give twelve minimum hashes per line by one
+aggregation (copies of a line fold into it); three hashes make a band, and lines
+that share one of eight bands are candidates.  A candidate pair is verified by
+the exact Jaccard similarity of its sets of all 5-character shingles.  Verified
+pairs are links; one line per component stays, the first by document id and
+position.
+
+Signatures: lines below 40 characters use all 5-character shingles, lines from
+32 to 150 all 8-character shingles, lines from 100 the 8-character shingles that
+begin at word starts (and at every character outside Latin script).  Similar
+lines differ by a fifth in length at most, so any two have one kind in common.
 
 Buckets: in one of up to ``ALL_PAIRS`` lines every pair is a candidate.  A larger
-one is cut again by each of the ten minimum hashes; a part that is still larger
+one is cut again by each of the minimum hashes; a part that is still larger
 pairs its lines with the part's first line only, so no bucket gives more than
 linearly many pairs.
 
@@ -30,13 +31,20 @@ from vigie.llm.common import fresh, read, written
 from vigie.llm.components import components
 
 SIMILARITY = 0.8
-HASHES, ROWS = 10, 2
+HASHES = 12
+#: hashes of each band
+BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (0, 3, 6), (1, 4, 9), (2, 7, 10), (5, 8, 11))
 ALL_PAIRS = 32
-SHORT, LONG = 150, 100
-_ALL = r"(?s)(?=(.{5}))"
+_FIVE = r"(?s)(?=(.{5}))"
+_EIGHT = r"(?s)(?=(.{8}))"
 _STARTS = r"(?s)(?<![A-Za-z\x{C0}-\x{24F}])(?=(\S.{7}))"
-#: candidate line ids up to this number are broadcast to fetch their texts (16 MB)
-BROADCAST_IDS = 1 << 20
+#: a table of numbers is broadcast up to this many rows, by count (some 50 MB)
+BROADCAST_ROWS = 1 << 21
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    """A written table of numbers, broadcast if its count is within the bound."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _lines(df: DataFrame, text: str, *more: Column) -> DataFrame:
@@ -48,15 +56,16 @@ def _lines(df: DataFrame, text: str, *more: Column) -> DataFrame:
 
 def shingles(line: Column) -> Column:
     """All 5-character shingles with repeats; a shorter line is its own shingle."""
-    return F.when(F.length(line) < 5, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(_ALL), F.lit(1)))
+    return F.when(F.length(line) < 5, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(_FIVE), F.lit(1)))
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """id -> m0..m9, the minimum of ten orders of its shingles' hashes."""
+    """id -> m0.., the minimum of each of ``HASHES`` orders of its shingles' hashes."""
     n = F.length("line")
-    none = F.array().cast("array<string>")
-    grams = F.concat(F.when(n <= SHORT, shingles(F.col("line"))).otherwise(none),
-                     F.when(n >= LONG, F.regexp_extract_all(F.concat("line", F.lit(" " * 7)), F.lit(_STARTS), F.lit(1))).otherwise(none))
+    grams = F.concat(*[F.when(where, x).otherwise(F.array().cast("array<string>")) for where, x in (
+        (n < 40, shingles(F.col("line"))),
+        ((n >= 32) & (n <= 150), F.regexp_extract_all("line", F.lit(_EIGHT), F.lit(1))),
+        (n >= 100, F.regexp_extract_all(F.concat("line", F.lit(" " * 7)), F.lit(_STARTS), F.lit(1))))])
     d = lines.select("id", F.explode(grams).alias("gram")).select("id", F.xxhash64("gram").alias("h"))
     rng = np.random.default_rng(5)
     # an order = exclusive or with a constant; the constants differ in their first bits
@@ -73,10 +82,15 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 def candidates(signatures: DataFrame) -> DataFrame:
     """(a, b), a < b, distinct: pairs of lines that share a band."""
-    keys = [F.xxhash64(F.lit(i), *[f"m{j}" for j in range(i, i + ROWS)]) for i in range(0, HASHES, ROWS)]
+    keys = [F.xxhash64(F.lit(i), *[f"m{j}" for j in band]) for i, band in enumerate(BANDS)]
     bands = signatures.select("id", F.explode(F.array(*keys)).alias("key"))
+    # most keys occur once: half of the key is enough to drop nearly all of those without moving ids
+    half = F.shiftright("key", 32).cast("int")
+    often = bands.groupBy(half.alias("half")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
+    bands = written(bands.withColumn("half", half).join(_counted(written(often, "halves")), "half", "left_semi")
+                    .select("id", "key"), "bands")
     size = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = written(bands.join(size, "key"), "bands")
+    rows = written(bands.join(size, "key"), "buckets")
     found = _pairs(rows.where(F.col("n") <= ALL_PAIRS))
     large = rows.where(F.col("n") > ALL_PAIRS).select("key", "id").join(signatures, "id")
     parts = [F.xxhash64("key", F.lit(100 + j), f"m{j}") for j in range(HASHES)]
@@ -89,12 +103,12 @@ def candidates(signatures: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose lines' sets of 5-character shingles have at least this Jaccard similarity."""
-    sets = texts.select("id", F.array_distinct(shingles(F.col("line"))).alias("s"))
-    d = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a") \
-        .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    d = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a") \
+        .join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b")
+    d = d.select("a", "b", F.array_distinct(shingles(F.col("la"))).alias("sa"), F.array_distinct(shingles(F.col("lb"))).alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return d.select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("t")) \
-        .where(F.col("i") >= F.lit(similarity) * (F.col("t") - F.col("i"))).select("a", "b")
+    d = written(d.select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("t")), "similarities")
+    return d.where(F.col("i") >= F.lit(similarity) * (F.col("t") - F.col("i"))).select("a", "b")
 
 
 def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFrame:
@@ -103,11 +117,10 @@ def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFr
     places = written(lines.select("doc", "tag", "no", "id"), "places")
     signatures = written(_signatures(lines.select("id", "line")), "signatures")
     pairs = written(candidates(signatures), "line-pairs")
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids  # counted; beyond the bound a shuffle join
+    ids = _counted(written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids"))
     texts = _lines(df, text).select("id", "line").join(ids, "id", "left_semi")
     texts = written(texts.groupBy("id").agg(F.min("line").alias("line")), "line-texts")
-    root = components(verified(pairs, texts, similarity))
+    root = _counted(components(verified(pairs, texts, similarity)))
     # places as one ordered number; a null id comes first
     at = F.coalesce("doc", F.lit(-(1 << 63))).cast("decimal(38,0)") * F.lit(1 << 31) + F.col("no")
     each = places.join(root, places["id"] == root["node"], "left") \
