@@ -86,6 +86,29 @@ def test_recall_of_the_bands(spark):
     assert len(want & found) >= 0.95 * len(want) and len(want) > 40
 
 
+def found_of(spark, lines):
+    """The candidates among the lines, as sets of two."""
+    ids = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("id", D.F.xxhash64("line"))
+    name = {r.id: r.line for r in ids.collect()}
+    return {frozenset((name[r.a], name[r.b])) for r in D.candidates(D.written(D._signatures(ids.select("id", "line")), "t")).collect()}
+
+
+def test_pairs_on_either_side_of_a_length(spark):
+    """Every length has the same shingles: one character more is found at any length, and repeats count as in the check."""
+    rng = random.Random(12)
+    pairs = []
+    for short in (31, 39, 99, 150):
+        for _ in range(40):
+            x = "".join(rng.choices("abcdefghij ", weights=[1] * 10 + [2], k=short - 1)) + "."
+            pairs.append((x, x + rng.choice("!?:")))
+    pairs += [("-" * n, "-" * m) for n, m in ((30, 36), (90, 170), (12, 400))]
+    found = found_of(spark, sorted({x for p in pairs for x in p}))
+    for at in range(0, 160, 40):
+        part = pairs[at:at + 40]
+        assert all(similar(*p) for p in part) and sum(frozenset(p) in found for p in part) >= 39, len(part[0][0])
+    assert all(frozenset(p) in found for p in pairs[160:])
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     df = spark.createDataFrame([(4, "same line here\nown"), (4, "same line here\nown"), (None, "same line here"), (9, "same line here")],
                                "doc_id long, text string")

@@ -1,17 +1,12 @@
 """Fuzzy line dedup: MinHash, banding, exact Jaccard, distributed union-find.
 
 Lines are known by a 64-bit hash (n different lines expect n^2 / 2^65 wrong
-merges).  Character shingles give twelve minimum hashes per line by one
-aggregation (copies of a line fold into it); three hashes make a band, and lines
-that share one of eight bands are candidates.  A candidate pair is verified by
-the exact Jaccard similarity of its sets of all 5-character shingles.  Verified
-pairs are links; one line per component stays, the first by document id and
-position.
-
-Signatures: lines below 40 characters use all 5-character shingles, lines from
-32 to 150 all 8-character shingles, lines from 100 the 8-character shingles that
-begin at word starts (and at every character outside Latin script).  Similar
-lines differ by a fifth in length at most, so any two have one kind in common.
+merges).  All 5-character shingles of a line, whatever its length, give its
+minimum hashes by one aggregation (copies of a line fold into it), so a
+signature estimates the similarity that is verified.  Lines that share a band of
+three minima are candidates.  A candidate pair is verified by the exact Jaccard
+similarity of its sets of 5-character shingles.  Verified pairs are links; one
+line per component stays, the first by document id and position.
 
 Buckets: in one of up to ``ALL_PAIRS`` lines every pair is a candidate.  A larger
 one is cut again by each of the minimum hashes; a part that is still larger
@@ -36,8 +31,6 @@ HASHES = 12
 BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (0, 3, 6), (1, 4, 9), (2, 7, 10), (5, 8, 11))
 ALL_PAIRS = 32
 _FIVE = r"(?s)(?=(.{5}))"
-_EIGHT = r"(?s)(?=(.{8}))"
-_STARTS = r"(?s)(?<![A-Za-z\x{C0}-\x{24F}])(?=(\S.{7}))"
 #: a table of numbers is broadcast up to this many rows, by count (some 50 MB)
 BROADCAST_ROWS = 1 << 21
 
@@ -59,19 +52,21 @@ def shingles(line: Column) -> Column:
     return F.when(F.length(line) < 5, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(_FIVE), F.lit(1)))
 
 
+def _hashes(lines: DataFrame) -> DataFrame:
+    """(id, h): the hashes of all shingles with repeats.  Four bytes a character, so a shingle is a slice of bytes."""
+    d = lines.select("id", F.encode("line", "UTF-32").alias("u"))
+    last = F.greatest((F.octet_length("u") / 4).cast("int") - 5, F.lit(0))
+    d = d.select("id", "u", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    return d.select("id", F.xxhash64(F.substring("u", F.col("i") * 4 + 1, F.lit(20))).alias("h"))
+
+
 def _signatures(lines: DataFrame) -> DataFrame:
     """id -> m0.., the minimum of each of ``HASHES`` orders of its shingles' hashes."""
-    n = F.length("line")
-    grams = F.concat(*[F.when(where, x).otherwise(F.array().cast("array<string>")) for where, x in (
-        (n < 40, shingles(F.col("line"))),
-        ((n >= 32) & (n <= 150), F.regexp_extract_all("line", F.lit(_EIGHT), F.lit(1))),
-        (n >= 100, F.regexp_extract_all(F.concat("line", F.lit(" " * 7)), F.lit(_STARTS), F.lit(1))))])
-    d = lines.select("id", F.explode(grams).alias("gram")).select("id", F.xxhash64("gram").alias("h"))
-    rng = np.random.default_rng(5)
-    # an order = exclusive or with a constant; the constants differ in their first bits
-    masks = [int(x) for x in (rng.integers(0, 1 << 59, HASHES) | (np.arange(HASHES, dtype=np.int64) * 13 % 16) << 59)]
-    return d.groupBy("id").agg(*[F.min(F.shiftright(F.col("h").bitwiseXOR(F.lit(m)), 32).cast("int")).alias(f"m{i}")
-                                 for i, m in enumerate(masks)])
+    d = _hashes(lines).select("id", F.shiftrightunsigned("h", 33).alias("h"))
+    # an order = the middle bits of the product (below 2^63) with an odd constant
+    odd = np.random.default_rng(5).integers(1 << 30, 1 << 31, HASHES) * 2 + 1
+    return d.groupBy("id").agg(*[F.min(F.shiftright(F.col("h") * F.lit(int(c)), 15).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias(f"m{i}")
+                                 for i, c in enumerate(odd)])
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
