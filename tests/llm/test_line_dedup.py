@@ -109,6 +109,42 @@ def test_pairs_on_either_side_of_a_length(spark):
     assert all(frozenset(p) in found for p in pairs[160:])
 
 
+def template(twins):
+    """Lines on one template: twins are similar, two of different pairs are not (about 0.7)."""
+    rng = random.Random(17)
+    frame = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(14)]
+    lines = []
+    for _ in range(twins):
+        word = "".join(rng.choices("qrstuvwxyz", k=12))
+        lines += [" ".join(frame[:7] + [w] + frame[7:]) for w in (word, word[:-1] + "0")]
+    return lines
+
+
+def test_large_buckets_give_all_links(spark, monkeypatch):
+    """60 twin pairs on one template: what all pairs of every bucket give, though few lines are similar to the first."""
+    lines = template(60)
+    docs = list(enumerate(lines))
+    want, _ = brute(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {}
+    for most in (32, 10 ** 9):
+        monkeypatch.setattr(D, "ALL_PAIRS", most)
+        got[most] = {r.doc_id: r.text for r in D.dedup(df).collect()}
+    assert got[32] == got[10 ** 9] and sum(got[32][i] != want[i] for i in want) <= 1 and sum(x == "" for x in want.values()) >= 55
+
+
+def test_rest_is_an_exact_join(spark):
+    lines = sorted({x for _, t in corpus() for x in (t or "").split("\n") if x.strip()}) + template(20)
+    df = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("id", D.F.xxhash64("line"))
+    name = {r.id: r.line for r in df.collect()}
+    none = spark.createDataFrame([], "node long, root long")
+    texts = df.select("id", "line")
+    pairs = D.rest(texts.select(D.F.lit(1).alias("key"), "id"), texts, none)
+    got = sorted(sorted((name[r.a], name[r.b])) for r in D.verified(pairs, texts).collect())
+    want = sorted(sorted((a, b)) for k, a in enumerate(lines) for b in lines[:k] if similar(a, b))
+    assert got == want and len(want) > 60
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     df = spark.createDataFrame([(4, "same line here\nown"), (4, "same line here\nown"), (None, "same line here"), (9, "same line here")],
                                "doc_id long, text string")

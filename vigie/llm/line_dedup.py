@@ -8,10 +8,11 @@ three minima are candidates.  A candidate pair is verified by the exact Jaccard
 similarity of its sets of 5-character shingles.  Verified pairs are links; one
 line per component stays, the first by document id and position.
 
-Buckets: in one of up to ``ALL_PAIRS`` lines every pair is a candidate.  A larger
-one is cut again by each of the minimum hashes; a part that is still larger
-pairs its lines with the part's first line only, so no bucket gives more than
-linearly many pairs.
+Buckets: in one of up to ``ALL_PAIRS`` lines every pair is a candidate.  In a
+larger one the lines are first compared with the bucket's first line.  What is
+not yet one component is then joined exactly: an order of all shingles, rare
+ones first, and for every line the prefix that a similar line cannot miss
+(``rest``), so a large bucket gives every link that all its pairs would give.
 
 DataFrame functions only.
 """
@@ -75,8 +76,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return a.join(b, "key").where("a < b").select("a", "b")
 
 
-def candidates(signatures: DataFrame) -> DataFrame:
-    """(a, b), a < b, distinct: pairs of lines that share a band."""
+def buckets(signatures: DataFrame) -> DataFrame:
+    """(key, id, n, first): the lines of every band that n > 1 lines share."""
     keys = [F.xxhash64(F.lit(i), *[f"m{j}" for j in band]) for i, band in enumerate(BANDS)]
     bands = signatures.select("id", F.explode(F.array(*keys)).alias("key"))
     # most keys occur once: half of the key is enough to drop nearly all of those without moving ids
@@ -84,16 +85,51 @@ def candidates(signatures: DataFrame) -> DataFrame:
     often = bands.groupBy(half.alias("half")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
     bands = written(bands.withColumn("half", half).join(_counted(written(often, "halves")), "half", "left_semi")
                     .select("id", "key"), "bands")
-    size = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = written(bands.join(size, "key"), "buckets")
-    found = _pairs(rows.where(F.col("n") <= ALL_PAIRS))
-    large = rows.where(F.col("n") > ALL_PAIRS).select("key", "id").join(signatures, "id")
-    parts = [F.xxhash64("key", F.lit(100 + j), f"m{j}") for j in range(HASHES)]
-    large = written(large.select("id", F.explode(F.array(*parts)).alias("key")), "large-bands")
-    part = large.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
-    large = large.join(part, "key")
-    star = large.where((F.col("n") > ALL_PAIRS) & (F.col("id") > F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
-    return found.unionByName(_pairs(large.where(F.col("n") <= ALL_PAIRS))).unionByName(star).distinct()
+    size = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
+    return written(bands.join(size, "key"), "buckets")
+
+
+def _near(rows: DataFrame) -> DataFrame:
+    """(a, b), a < b, distinct: all pairs of the small buckets; in large ones each line with the first."""
+    star = rows.where((F.col("n") > ALL_PAIRS) & (F.col("id") > F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
+    return _pairs(rows.where(F.col("n") <= ALL_PAIRS)).unionByName(star).distinct()
+
+
+def candidates(signatures: DataFrame) -> DataFrame:
+    """(a, b), a < b, distinct: pairs of lines that share a band; in large buckets those of ``_near``."""
+    return _near(buckets(signatures))
+
+
+def rest(large: DataFrame, texts: DataFrame, root: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b), a < b, distinct: in each of the buckets ``large`` (key, id), every similar pair of different roots, and some others.
+
+    In one order of all shingles, let the first common one of a pair be at i of
+    the d shingles of one line and at j of the e of the other: they have
+    min(d - i, e - j) in common at most.  So it is within the first (1 - s) d of
+    a line, and of the pair's smaller line within the first (1 - s) / (1 + s) d.
+    The lines of a bucket's largest component are not joined with each other.
+    """
+    s, slack = similarity, 1e-6
+    known = large.join(root.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    group = known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    group = group.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"))
+    known = known.join(group.where("roots > 1"), "key").select("key", "id", "root", (F.col("root") == F.col("main")).alias("inner"))
+    known = written(known, "large-buckets")
+    each = written(_hashes(texts.join(_counted(written(known.select("id").distinct(), "large-ids")), "id", "left_semi")).distinct(), "large-shingles")
+    each = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")), "h")
+    each = each.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("hs"))
+    d = F.size("hs")
+    each = each.select("id", d.alias("d"), F.posexplode(F.slice("hs", 1, F.floor(d * (1 - s) + slack).cast("int") + 1)).alias("i", "h"))
+    each = each.select("id", "d", "i", F.col("h.h").alias("h"))
+    each = written(known.join(written(each, "large-prefixes"), "id"), "large-places")
+    x = each.where(F.col("i") <= F.col("d") * (1 - s) / (1 + s) + slack) \
+        .select("key", "h", *[F.col(c).alias(f"{c}_x") for c in ("id", "d", "i", "root", "inner")])
+    within = F.least(F.col("d_x") - F.col("i_x"), F.col("d") - F.col("i")) + slack >= (F.col("d_x") + F.col("d")) * (s / (1 + s))
+    fits = within & (F.col("root_x") != F.col("root")) & (F.struct("d_x", "id_x") < F.struct(F.col("d").alias("d_x"), F.col("id").alias("id_x")))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.h") == F.col("y.h"))
+    found = [x.where(p).alias("x").join(each.where(q).alias("y"), same & fits).select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b"))
+             for p, q in (("not inner_x", "true"), ("inner_x", "not inner"))]
+    return found[0].unionByName(found[1]).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -111,11 +147,18 @@ def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFr
     lines = _lines(df, text, F.col(id_col).cast("long").alias("doc"), F.hash(F.col(text)).alias("tag"))
     places = written(lines.select("doc", "tag", "no", "id"), "places")
     signatures = written(_signatures(lines.select("id", "line")), "signatures")
-    pairs = written(candidates(signatures), "line-pairs")
+    rows = buckets(signatures)
+    pairs = written(_near(rows), "line-pairs")
     ids = _counted(written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids"))
     texts = _lines(df, text).select("id", "line").join(ids, "id", "left_semi")
     texts = written(texts.groupBy("id").agg(F.min("line").alias("line")), "line-texts")
-    root = _counted(components(verified(pairs, texts, similarity)))
+    links = verified(pairs, texts, similarity)
+    root = components(links)
+    large = rows.where(F.col("n") > ALL_PAIRS).select("key", "id")
+    if not large.isEmpty():
+        more = written(rest(large, texts, root, similarity), "large-pairs")
+        root = components(links.unionByName(verified(more, texts, similarity)))
+    root = _counted(root)
     # places as one ordered number; a null id comes first
     at = F.coalesce("doc", F.lit(-(1 << 63))).cast("decimal(38,0)") * F.lit(1 << 31) + F.col("no")
     each = places.join(root, places["id"] == root["node"], "left") \
