@@ -109,6 +109,24 @@ def test_pairs_on_either_side_of_a_length(spark):
     assert all(frozenset(p) in found for p in pairs[160:])
 
 
+def test_recall_by_similarity(spark):
+    """Single-character edits down to the threshold: 97 in 100 are candidates even just above 0.8."""
+    rng = random.Random(21)
+    near, far = [], []
+    while len(near) < 300 or len(far) < 300:
+        n = rng.choice([50, 140, 200, 300])
+        x = y = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+        for _ in range(max(1, n // 45)):
+            at = rng.randrange(n)
+            y = y[:at] + rng.choice("0123456789") + y[at + 1:]
+        s = len(grams(x) & grams(y)) / len(grams(x) | grams(y))
+        for part, lo, hi in ((near, 0.8, 0.85), (far, 0.85, 1)):
+            if lo <= s < hi and len(part) < 300:
+                part.append((x, y))
+    found = found_of(spark, sorted({x for p in near + far for x in p}))
+    assert sum(frozenset(p) in found for p in near) >= 291 and sum(frozenset(p) in found for p in far) >= 297
+
+
 def template(twins):
     """Lines on one template: twins are similar, two of different pairs are not (about 0.7)."""
     rng = random.Random(17)
