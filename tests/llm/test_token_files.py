@@ -35,6 +35,16 @@ def test_codec_round_trip_of_odd_blocks():
     assert len(payloads[5]) < 600 and C.encode_blocks([blocks[3]]) == [payloads[3]]  # predicted; independent of its batch
 
 
+def test_codec_id_range():
+    """Every id up to the greatest comes back, predicted or not; one beyond or below is an error."""
+    blocks = [np.array([2 ** 31 - 2, 0, 2 ** 29 - 1, 2 ** 29, 2 ** 30] * 40), np.full(500, 2 ** 31 - 2)]
+    back = C.decode_blocks(C.encode_blocks(blocks), [len(b) for b in blocks])
+    assert C.MAX_ID == 2 ** 31 - 2 and all(np.array_equal(a, b) for a, b in zip(blocks, back))
+    for bad in (2 ** 31 - 1, -1):
+        with pytest.raises(ValueError, match="ids are from 0"):
+            C.encode_blocks([np.array([5, bad])])
+
+
 def test_documents_read_back_like_the_library(spark, scratch, monkeypatch):
     rng = random.Random(4)
     odd = [None, "", " ", "a", "#", "x  y", "end \n next", "tab\t tab", "a  b", "  lead", "trail  ", "été naïve", "'s it's", "\n\n", "a b " * 9000,

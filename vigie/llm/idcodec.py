@@ -20,6 +20,8 @@ import zlib
 
 import numpy as np
 
+#: the greatest id that can be coded
+MAX_ID = (1 << 31) - 2
 _SLOTS = 1 << 10
 _CLASSES = 32
 _REBUILD = 32
@@ -122,8 +124,8 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None) -> tuple[np.ndarray
     if coding:
         lengths_of = np.frexp(out + 1.0)[1]  # bit length of id + 1
         tails = np.zeros((steps, lanes), np.int8)
-    pred1, pred2 = (np.zeros(lanes * _SLOTS, np.int32) for _ in range(2))  # (id + 1) * 4 + confidence
-    grow = np.array([1, 1, 1, 0], np.int32)
+    pred1, pred2 = (np.zeros(lanes * _SLOTS, np.int64) for _ in range(2))  # (id + 1) * 4 + confidence
+    grow = np.array([1, 1, 1, 0], np.int64)
     major, votes = np.ones(lanes, np.int64), np.zeros(lanes, np.int64)
     table = np.full(lanes * 24, 0.25, np.float32)  # adaptive probabilities: 8 states for each order
     base = np.stack([lane * 24, lane * 24 + 8, lane * 24 + 16])
@@ -196,7 +198,7 @@ def _run(coder, lengths: np.ndarray, ids: np.ndarray | None) -> tuple[np.ndarray
         wt *= like
         wt *= np.float32(0.98) / np.maximum(wt[0] + wt[1] + wt[2], np.float32(1e-6))
         wt += np.float32(0.02 / 3)
-        short = (known << 2).astype(np.int32)
+        short = known << 2
         pred1[i1] = np.where(g1 == known, e1 + grow[k1], short)
         pred2[i2] = np.where(g2 == known, e2 + grow[k2], short)
         if t % 4 == 0:  # majority vote over every fourth id
@@ -228,7 +230,9 @@ def _pack(ids: np.ndarray, tails: np.ndarray) -> list[bytes]:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """One payload per block of ids (each 0 to 2^29 - 2)."""
+    """One payload per block of ids (each 0 to ``MAX_ID``).  Raises ``ValueError`` for others."""
+    if any(len(b) and not (0 <= int(np.min(b)) and int(np.max(b)) <= MAX_ID) for b in blocks):
+        raise ValueError(f"ids are from 0 to {MAX_ID}")
     order = sorted((i for i in range(len(blocks)) if len(blocks[i])), key=lambda i: -len(blocks[i]))
     payloads: list[bytes] = [b""] * len(blocks)
     if not order:
