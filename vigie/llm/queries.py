@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, quality_model, quality_rules, token_files, url_filter
+from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, periodic_runs, quality_model, quality_rules, token_files, url_filter
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_pivots": op8_simhash_pivots,
     "op9_quality_mcd": quality_rules.op9_quality_mcd,
     "op10_url_digests": url_filter.op10_url_digests,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
 }
 ORACLE: dict[str, str] = {
     "op3_winnowing": decontaminate.SQL,
@@ -27,4 +28,5 @@ ORACLE: dict[str, str] = {
     "op7_mix_systematic": mixing.SQL,
     "op9_quality_mcd": quality_rules.SQL,
     "op10_url_digests": url_filter.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
 }
