@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +63,35 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def with_results(df: DataFrame, **cols: Column) -> DataFrame:
     """Add result columns; an input column of the same name is replaced."""
     return df.withColumns(cols)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 1 << 16, size: int = 8 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of complete groups and the first row of each group, from batches sorted by their first ``keys`` columns.
+
+    A table is given out once ``rows`` rows or ``size`` bytes are there; a group is never cut.
+    """
+    pending: list[pa.RecordBatch] = []
+    count = held = 0
+
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for col in table.columns[:keys]:
+            col = col.combine_chunks()
+            new[1:] |= np.asarray(pc.fill_null(pc.not_equal(col[1:], col[:-1]), True))
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        pending.append(batch)
+        count, held = count + batch.num_rows, held + batch.nbytes
+        if count < rows and held < size:
+            continue
+        table = pa.Table.from_batches(pending).combine_chunks()
+        at = starts(table)
+        if len(at) > 1:
+            yield table.slice(0, at[-1]), at[:-1]
+            table = table.slice(at[-1])
+        pending, count, held = table.to_batches(), table.num_rows, 0
+    table = pa.Table.from_batches(pending).combine_chunks() if pending else None
+    if table is not None and table.num_rows:
+        yield table, starts(table)

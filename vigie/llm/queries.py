@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, periodic_runs, quality_model, quality_rules, token_files, url_filter
+from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, periodic_runs, quality_model, quality_rules, spelling, token_files, url_filter
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_mcd": quality_rules.op9_quality_mcd,
     "op10_url_digests": url_filter.op10_url_digests,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
 }
 ORACLE: dict[str, str] = {
     "op3_winnowing": decontaminate.SQL,
@@ -29,4 +30,5 @@ ORACLE: dict[str, str] = {
     "op9_quality_mcd": quality_rules.SQL,
     "op10_url_digests": url_filter.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
+    "op12_spelling_variants": spelling.SQL,
 }
