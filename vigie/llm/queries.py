@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigie.llm import chunk_dedup, decontaminate, license_scan, line_dedup, mixing, periodic_runs, quality_model, quality_rules, spelling, token_files, url_filter
+from vigie.llm import chunk_dedup, decontaminate, embedding_dedup, license_scan, line_dedup, mixing, periodic_runs, quality_model, quality_rules, spelling, token_files, url_filter
 from vigie.llm.simhash import op8_simhash_pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_digests": url_filter.op10_url_digests,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_projection_passes": embedding_dedup.op13_projection_passes,
 }
 ORACLE: dict[str, str] = {
     "op3_winnowing": decontaminate.SQL,
@@ -31,4 +32,5 @@ ORACLE: dict[str, str] = {
     "op10_url_digests": url_filter.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
     "op12_spelling_variants": spelling.SQL,
+    "op13_projection_passes": embedding_dedup.SQL,
 }
