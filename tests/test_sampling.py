@@ -1,9 +1,12 @@
 """Reproducible samples: exact distributed top-n, quotas, hash split."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from vigie.operators.dataset import DatasetSpec, fetch, match, normalise_ids, project, quota_sizes, top_n
+from vigie.operators import dataset
+from vigie.operators.dataset import DatasetSpec, fetch, fetch_quota, match, normalise_ids, project, quota_sizes, top_n, top_n_per
 from vigie.operators.sampling import sample_rows, split_train_test
 
 
@@ -96,3 +99,58 @@ def test_top_n_ignores_null_scores_on_both_paths(spark):
     for limit in (None, 2):
         got = sorted(r.siret for r in top_n(df, 100, direct_limit=limit).collect())
         assert got == sorted(s for s, v in rows if v is not None)
+
+
+def _executed(spark, df):
+    """Operators of the plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_samples_merge_nothing_in_one_task(spark):
+    df = spark.range(30_000).select(F.format_string("%06d", "id").alias("siret"), F.lit(1).alias("periode"),
+                                    (F.col("id") % 7 == 0).alias("outcome"), F.xxhash64("id").cast("double").alias("random_order"))
+    for out, n in ((top_n(df, 12_345), 12_345), (top_n(df, 12_345, direct_limit=0), 12_345),
+                   (top_n_per(df, {True: 3000, False: 9000}, "outcome"), 12_000)):
+        plan = _executed(spark, out)
+        limits = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
+        assert max(limits, default=0) <= 2000 and "SinglePartition" not in plan.replace("TakeOrdered", "")
+        assert out.count() == n
+
+
+@pytest.mark.parametrize("direct,cut", [(0, 0), (0, 10 ** 6), (3, 40), (50, 5)])
+def test_top_rows_per_class_equal_sorts(spark, panel_like, monkeypatch, direct, cut):
+    """Histograms of histograms, ranks over many partitions, ties, one class smaller than its quota."""
+    monkeypatch.setattr(dataset, "RANGE_ROWS", 7)
+    monkeypatch.setattr(dataset, "RANGES", 16)
+    df = panel_like.withColumn("kind", F.when(F.col("effectif") < 2, "a").when(F.col("effectif") < 30, "b").otherwise("c"))
+    order = [F.desc("random_order"), "siret", "periode"]
+    rows = df.orderBy(*order).collect()
+    for quotas in ({"a": 100, "b": 1777, "c": 10 ** 6}, {"a": 1, "b": 0, "none": 5}, {"b": 3500}):
+        want = sorted((r.siret, r.periode) for v, n in quotas.items() for r in [x for x in rows if x.kind == v][:n])
+        got = top_n_per(df, quotas, "kind", direct_limit=direct, cut_limit=cut)
+        assert sorted((r.siret, r.periode) for r in got.collect()) == want and got.columns == df.columns
+    want = [(r.siret, r.periode) for r in rows[:999]]
+    got = top_n(df, 999, direct_limit=direct, cut_limit=cut).orderBy(*order).collect()
+    assert [(r.siret, r.periode) for r in got] == want
+
+
+def test_quota_sample_on_either_path(panel_like):
+    spec = DatasetSpec(sample_size=1000, proportion_positive_class=0.15, min_effectif=0)
+    rows = lambda df: sorted((r.siret, r.periode, r.outcome) for r in df.collect())
+    direct = rows(fetch_quota(panel_like, spec))
+    assert len(direct) == 1000 and rows(fetch_quota(panel_like, spec, direct_limit=10)) == direct
+
+
+def test_odd_scores(spark):
+    inf, nan = float("inf"), float("nan")
+    scores = [None, nan, inf, -inf, inf, 1e308, -1e308, 0.0, -0.0, 5e-324, 1.0, 2.0]
+    df = spark.createDataFrame([(f"{i:02d}", s) for i, s in enumerate(scores)], "siret string, random_order double").withColumn("periode", F.lit(1))
+    want = [i for _, i in sorted((-s, i) for i, s in enumerate(scores) if s is not None and s == s)]
+    for n in range(1, 12):
+        for direct in (None, 0, 2):
+            got = sorted(int(r.siret) for r in top_n(df, n, direct_limit=direct).collect())
+            assert got == sorted(want[:n]), (n, direct)
+    same = spark.range(60).select(F.lit("x").alias("siret"), F.lit(1.0).alias("random_order"), F.lit(1).alias("periode"), "id")
+    assert top_n(same, 25, direct_limit=0).count() == 25
+    assert top_n_per(same.limit(0), {None: 3}, None).count() == 0

@@ -13,7 +13,10 @@ Filters sit directly above the scan, so Catalyst pushes them to parquet
 from __future__ import annotations
 
 import logging
+import math
+import sys
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -21,14 +24,19 @@ from pyspark.sql import functions as F
 
 from vigie.functions.features import pad_id
 from vigie.schema import MIN_EFFECTIF, panel_type
+from vigie.session import written_table
 
 log = logging.getLogger(__name__)
 
-# orderBy().limit(n) keeps n rows per input partition and merges them in one
-# task: used for up to this many rows; a larger n is cut by histograms until at
-# most DIRECT_ROWS candidates are left for it.
+# Up to this many rows are sorted in one task (orderBy().limit()); a larger n is
+# found by histograms and, inside the last range, by ranks over sorted partitions.
 DIRECT_N = 2_000
-DIRECT_ROWS = 20_000_000
+# Rows of the range that holds the n-th row: above, the range is cut by another histogram.
+CUT_ROWS = 20_000_000
+# Rows of a partition of that range while it is sorted.
+RANGE_ROWS = 100_000
+# Equal-width score ranges of a histogram.
+RANGES = 4_096
 # Id lists up to this length are sent as IN-list literals; longer ones are joined.
 INLIST_LIMIT = 1_000
 
@@ -125,6 +133,12 @@ def _order(score: str, ties: Iterable[str], descending: bool) -> list[Column]:
     return [first] + [F.col(t).asc() for t in ties]
 
 
+def _scored(df: DataFrame, score: str) -> DataFrame:
+    """Rows that can be selected: a null or NaN score never is."""
+    s = F.col(score)
+    return df.filter(s.isNotNull() & ~F.isnan(s.cast("double")))
+
+
 def top_n(
     df: DataFrame,
     n: int | None,
@@ -132,49 +146,99 @@ def top_n(
     ties: tuple[str, ...] = ("siret", "periode"),
     descending: bool = True,
     direct_limit: int | None = None,
+    cut_limit: int | None = None,
 ) -> DataFrame:
     """Exact top-``n`` rows by ``score`` (then ``ties``), distributed for any n.
 
     Up to ``DIRECT_N`` rows: ``orderBy().limit()`` (per-partition top-n, then a
-    merge in one task).  Beyond: a histogram of the score in 4096 equal-width
-    ranges (one aggregation, a few thousand rows to the driver) finds the range
-    that holds the n-th row; rows above it are kept by a plain filter, and only
-    that range is cut again, until at most ``DIRECT_ROWS`` candidates are left.
-    Candidates that share one score are cut by prefixes of their tie columns.
-    ``direct_limit`` replaces both bounds (tests, small clusters).  Rows with a
-    null score are never selected (the scan's ``random_order >= 0`` already
-    removes them).
+    merge in one task).  Beyond: ``top_n_per`` with a single class.
+    ``direct_limit`` and ``cut_limit`` replace ``DIRECT_N`` and ``CUT_ROWS``.
+    Rows with a null or NaN score are never selected.
     """
     if n is None:
         return df
-    df = df.filter(F.col(score).isNotNull())
     n = int(n)
     if n <= 0:
         return df.limit(0)
-    budget = DIRECT_ROWS if direct_limit is None else direct_limit
     if n <= (DIRECT_N if direct_limit is None else direct_limit):
-        return df.orderBy(*_order(score, ties, descending)).limit(n)
-    s = F.col(score).cast("double")
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(s).alias("lo"), F.max(s).alias("hi")).first()
-    total, lo, hi = stats["n"], stats["lo"], stats["hi"]
-    if total <= n:
+        return _scored(df, score).orderBy(*_order(score, ties, descending)).limit(n)
+    return top_n_per(df, {None: n}, None, score, ties, descending, direct_limit, cut_limit)
+
+
+def top_n_per(
+    df: DataFrame,
+    quotas: dict[Any, int],
+    by: str | None,
+    score: str = "random_order",
+    ties: tuple[str, ...] = ("siret", "periode"),
+    descending: bool = True,
+    direct_limit: int | None = None,
+    cut_limit: int | None = None,
+) -> DataFrame:
+    """The exact top rows of each class of column ``by``: ``quotas[value]`` rows each (``by`` None: one class).
+
+    All classes share every pass.  One aggregation counts them and finds their
+    score ranges, one histogram (``RANGES`` equal-width ranges per class) finds the
+    range that holds each class's last row; what lies before is kept by a plain
+    filter.  Of that last range the needed rows are taken by rank: the range is
+    partitioned and sorted by (class, score, ties), written with each row's place
+    in its partition, and the partitions' counts turn places into ranks.  No task
+    merges more than ``DIRECT_N`` rows; a range above ``CUT_ROWS`` (a skewed score)
+    is cut by another histogram first.
+    """
+    direct = DIRECT_N if direct_limit is None else direct_limit
+    most = CUT_ROWS if cut_limit is None else cut_limit
+    cls = F.lit(0) if by is None else F.col(by)
+    of = (lambda v: F.lit(True)) if by is None else (lambda v: cls == F.lit(v))
+    quotas = {v: int(n) for v, n in quotas.items() if int(n) > 0}
+    if not quotas:
+        return df.limit(0)
+    df = _scored(df, score)
+    if by is not None:
+        df = df.filter(cls.isin(list(quotas)))
+    # infinities join the largest numbers: ranges need finite ends
+    s = F.least(F.greatest(F.col(score).cast("double"), F.lit(-sys.float_info.max)), F.lit(sys.float_info.max))
+    stats = {(None if by is None else r["c"]): r for r in df.groupBy(cls.alias("c")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(s).alias("lo"), F.max(s).alias("hi")).collect()}
+    quotas = {v: n for v, n in quotas.items() if v in stats}
+    whole = [v for v, n in quotas.items() if stats[v]["n"] <= n]
+    cut = {v: n for v, n in quotas.items() if v not in whole}
+    taken = [of(v) for v in whole]
+    if not cut:
         return df
-    if total <= budget:  # counted: few candidates left
-        return df.orderBy(*_order(score, ties, descending)).limit(n)
-    if lo == hi:
-        return _first_by_ties(df, n, ties, budget)
-    nb = 4096
-    width = (hi - lo) / nb
-    bucket = F.least(F.floor((s - F.lit(lo)) / F.lit(width)), F.lit(nb - 1)).cast("int")
-    if not descending:
-        bucket = F.lit(nb - 1) - bucket
-    hist = {r["b"]: r["c"] for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}
-    cut, above = _cut(hist, sorted(hist, reverse=True), n)
-    keep = df.filter(bucket > F.lit(cut))
-    rest = top_n(df.filter(bucket == F.lit(cut)), n - above, score, ties, descending, direct_limit)
+    bucket = F.lit(0)
+    for v in cut:
+        lo, hi = stats[v]["lo"], stats[v]["hi"]
+        if lo < hi:
+            # scaled ends: their difference may exceed the largest double
+            place = (s / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else F.when(s == hi, 1.0).otherwise(0.0)
+            place = F.least(F.floor(place * RANGES), F.lit(RANGES - 1)).cast("int")
+            bucket = F.when(of(v), place if not descending else F.lit(RANGES - 1) - place).otherwise(bucket)
+    hist: dict[Any, dict[int, int]] = {v: {} for v in cut}
+    tall = df.filter(_any([of(v) for v in cut])).groupBy(cls.alias("c"), bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    for r in tall.collect():  # at most RANGES rows per class
+        hist[None if by is None else r["c"]][r["b"]] = r["n"]
+    last, need, size = [], {}, {}
+    for v, n in cut.items():
+        at, above = _cut(hist[v], sorted(hist[v]), n)
+        taken.append(of(v) & (bucket < F.lit(at)))
+        last.append(of(v) & (bucket == F.lit(at)))
+        need[v], size[v] = n - above, hist[v][at]
+    keep, rest = df.filter(_any(taken)), df.filter(_any(last))
+    narrower = any(size[v] < stats[v]["n"] for v in cut)
+    if by is None and size[None] <= direct:
+        rest = rest.orderBy(*_order(score, ties, descending)).limit(need[None])
+    elif max(size.values()) > most and narrower:
+        rest = top_n_per(rest, need, by, score, ties, descending, direct_limit, cut_limit)
+    else:
+        rest = _by_rank(rest, need, size, by, _order(score, ties, descending))
     return keep.unionByName(rest)
 
 
+def _any(conds: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conds, F.lit(False))
+
+
 def _cut(hist: dict, order: list, n: int) -> tuple[Any, int]:
     """The range that holds the n-th row, and the rows in the ranges before it."""
     above = 0
@@ -185,38 +249,33 @@ def _cut(hist: dict, order: list, n: int) -> tuple[Any, int]:
     raise ValueError("fewer rows than asked for")
 
 
-def _first_by_ties(df: DataFrame, n: int, ties: tuple[str, ...], budget: int) -> DataFrame:
-    """The first ``n`` rows in the order of ``ties`` (nulls first), where more than ``budget`` share a score.
+def _by_rank(df: DataFrame, need: dict, size: dict, by: str | None, order: list[Column]) -> DataFrame:
+    """The first ``need[v]`` of the ``size[v]`` rows of each class, by rank over range-sorted partitions.
 
-    One character more of the first tie column's text per round decides where
-    the n-th row lies; rows equal in it go on with the next column, and rows
-    equal in all are interchangeable.  A column that is not text or a date is
-    sorted directly.
+    Rows that agree in the whole order are told apart by a hash of all their
+    columns, so a repeated key spreads over partitions and reruns agree.
     """
-    if not ties:
-        return df.limit(n)
-    if df.schema[ties[0]].dataType.typeName() not in ("string", "date"):
-        return df.orderBy(*[F.col(t).asc() for t in ties]).limit(n)
-    text, keep, length = F.col(ties[0]).cast("string"), None, 0
-    while True:
-        length += 1
-        prefix = F.substring(text, 1, length)
-        # one more character: as many groups as there are characters
-        hist = {r["p"]: r["c"] for r in df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
-        at, above = _cut(hist, sorted(hist, key=lambda p: (p is not None, (p or "").encode())), n)
-        if above:
-            before = prefix.isNull() if at is None else prefix.isNull() | (prefix < F.lit(at))
-            part = df.filter(before)
-            keep = part if keep is None else keep.unionByName(part)
-            n -= above
-        df = df.filter(prefix.eqNullSafe(F.lit(at)))
-        if hist[at] <= budget:
-            rest = df.orderBy(*[F.col(t).asc() for t in ties]).limit(n)
-        elif at is None or len(at) < length:  # the whole text is equal
-            rest = _first_by_ties(df, n, ties[1:], budget)
-        else:
-            continue
-        return rest if keep is None else keep.unionByName(rest)
+    classes = list(need)
+    rank = {v: i for i, v in enumerate(classes)}
+    cls = F.lit(0)
+    for v in classes[1:]:
+        cls = F.when(F.col(by) == F.lit(v), F.lit(rank[v])).otherwise(cls)
+    order = [F.col("__class").asc(), *order, F.xxhash64(*[F.col(c) for c in df.columns]).asc()]
+    parts = max(1, math.ceil(sum(size.values()) / RANGE_ROWS))
+    placed = df.withColumn("__class", cls).repartitionByRange(parts, *order).sortWithinPartitions(*order) \
+        .withColumn("__part", F.spark_partition_id()) \
+        .withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = written_table(placed, "sample-range")
+    counts = sorted((r["__class"], r["__part"], r["lo"], r["n"]) for r in placed.groupBy("__class", "__part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__at").alias("lo")).collect())  # one row per class and partition
+    conds, before = [], dict.fromkeys(range(len(classes)), 0)
+    for c, part, lo, n in counts:
+        want = min(n, need[classes[c]] - before[c])
+        before[c] += n
+        here = (F.col("__class") == c) & (F.col("__part") == part)
+        if want > 0:
+            conds.append(here if want == n else here & (F.col("__at") < lo + want))
+    return placed.filter(_any(conds)).drop("__class", "__part", "__at")
 
 
 def project(df: DataFrame, fields: Iterable[str] | None) -> DataFrame:
@@ -261,20 +320,25 @@ def quota_sizes(sample_size: int, proportion: float) -> tuple[int, int]:
     return n_true, sample_size - n_true
 
 
-def fetch_quota(panel: DataFrame, spec: DatasetSpec) -> DataFrame:
+def fetch_quota(panel: DataFrame, spec: DatasetSpec, direct_limit: int | None = None,
+                cut_limit: int | None = None) -> DataFrame:
     """O3 + U1: ``round(p*n)`` top rows with outcome true, the rest false.
 
-    A class with fewer rows than its quota is not topped up.  The spec itself is
+    Small quotas are two sorted samples; beyond ``DIRECT_N`` rows both classes
+    are cut in the same passes (``top_n_per``).  A class with fewer rows than its quota is not topped up.  The spec itself is
     left unchanged.  Without a sample size there is no quota: every labelled
     row is kept.
     """
     if spec.sample_size is None:
         return fetch(panel, spec.with_(proportion_positive_class=None))
     n_true, n_false = quota_sizes(int(spec.sample_size), float(spec.proportion_positive_class))
-    base = spec.with_(proportion_positive_class=None)
-    pos = fetch(panel, base.with_(outcome=True, sample_size=n_true))
-    neg = fetch(panel, base.with_(outcome=False, sample_size=n_false))
-    return pos.unionByName(neg)
+    base = spec.with_(proportion_positive_class=None, outcome=None)
+    if max(n_true, n_false) <= (DIRECT_N if direct_limit is None else direct_limit):
+        pos = fetch(panel, base.with_(outcome=True, sample_size=n_true))
+        return pos.unionByName(fetch(panel, base.with_(outcome=False, sample_size=n_false)))
+    df = top_n_per(match(flatten(panel), base), {True: n_true, False: n_false}, "outcome",
+                   direct_limit=direct_limit, cut_limit=cut_limit)
+    return normalise_ids(project(df, spec.fields))
 
 
 def raise_if_empty(df: DataFrame | None) -> DataFrame:

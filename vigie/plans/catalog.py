@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from vigie.functions.features import pad_id, round_to, sigmoid
 from vigie.operators import clean
-from vigie.operators.dataset import DatasetSpec, fetch, month_window_end
+from vigie.operators.dataset import DatasetSpec, fetch, month_window_end, quota_sizes
 from vigie.operators.sampling import sample_rows, split_column
 from vigie.plans import params as P
 from vigie.plans.oracle_panel import with_panel
@@ -195,6 +195,21 @@ def q_sample_quota(spark, sf):
     return finalize(fetch(panel(spark, sf), spec))
 
 
+def _top_sql(n: int, outcome: bool, cols: str = "siret, strftime(periode, '%Y-%m-%d') AS periode, outcome") -> str:
+    return "SELECT * FROM (" + scan_sql(ALL_FROM, ALL_TO, outcome=outcome, cols=cols,
+                                        extra=f"ORDER BY random_order DESC, siret, periode LIMIT {n}") + ")"
+
+
+_LARGE_TRUE, _LARGE_FALSE = quota_sizes(P.LARGE_SAMPLE_N, P.QUOTA_P)
+
+
+@register("sample_quota_cut", with_panel(_top_sql(_LARGE_TRUE, True) + " UNION ALL " + _top_sql(_LARGE_FALSE, False)))
+def q_sample_quota_cut(spark, sf):
+    """Quotas beyond what one task sorts: both classes by one histogram and ranks inside the last ranges."""
+    return finalize(fetch(panel(spark, sf), WHOLE.with_(sample_size=P.LARGE_SAMPLE_N, proportion_positive_class=P.QUOTA_P,
+                                                        fields=("siret", "periode", "outcome"))))
+
+
 _HASH_SQL = ("CAST(('0x' || substr(md5({k}), 1, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE")
 ROW_HASH_SQL = _HASH_SQL.format(k="siret || '|' || CAST(periode AS VARCHAR) || '|' || '{seed}'")
 
@@ -206,6 +221,13 @@ def q_sample_rows(spark, sf):
     return finalize(sample_rows(panel(spark, sf).select("siret", "periode"), 500, seed=P.SEED))
 
 
+@register("sample_rows_cut", with_panel(
+    "SELECT siret, strftime(periode, '%Y-%m-%d') AS periode FROM panel "
+    f"ORDER BY {ROW_HASH_SQL.format(seed=P.SEED)}, siret, periode LIMIT {P.LARGE_SAMPLE_N}"))
+def q_sample_rows_cut(spark, sf):
+    return finalize(sample_rows(panel(spark, sf).select("siret", "periode"), P.LARGE_SAMPLE_N, seed=P.SEED))
+
+
 @register("split_train_test", with_panel(
     "SELECT siret, strftime(periode, '%Y-%m-%d') AS periode, "
     f"CASE WHEN {ROW_HASH_SQL.format(seed=42)} < 0.67 THEN 'train' ELSE 'test' END AS split FROM panel"))

@@ -11,6 +11,7 @@ JULY_SNAPSHOT = "2000-07-01"
 LATEST_SNAPSHOT = "2001-01-01"
 
 SAMPLE_N = 1_000          # reference default sample size
+LARGE_SAMPLE_N = 5_000    # beyond what one task sorts
 QUOTA_P = 0.2             # reference train oversampling
 SEED = 7
 
