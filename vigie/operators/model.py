@@ -7,10 +7,11 @@ training set; the fitted numbers (tens of values) live on the driver in a
 ``LinearModel`` with *named* coefficients, and scoring/explaining are plain
 column expressions: no UDF, whole-stage codegen end to end.
 
-The fit uses MLlib's ``LogisticRegression`` with the penalty of scikit-learn's
-default (L2, C=1, unpenalised intercept): Spark minimises
-``mean(loss) + regParam/2 * |w|^2``, so ``regParam = 1/n`` and
-``standardization=False`` give the same optimum.
+The fit minimises scikit-learn's default objective (L2, C=1, unpenalised
+intercept) by Newton steps (``newton``); the models of a cross-validation are
+fitted in the same passes.  Very wide encodings go to MLlib's
+``LogisticRegression``, which minimises ``mean(loss) + regParam/2 * |w|^2``:
+``regParam = 1/n`` and ``standardization=False`` give the same optimum.
 """
 
 from __future__ import annotations
@@ -19,18 +20,19 @@ import json
 from dataclasses import asdict, dataclass, field
 from typing import Sequence
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigie.functions.features import sigmoid
+from vigie.operators import newton
+from vigie.operators.split import siren_folds, with_fold
 
 OFFSET = "model_offset"
 #: levels that a one-hot feature may have; more is an error, not a cut
 MAX_LEVELS = 10_000
-#: partitions of the training set while fitting are not packed below this
-MIN_FIT_PARTITIONS = 8
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -164,28 +166,130 @@ def encode(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[str]) -
     return LinearModel(groups=groups, levels=_levels(df, cat), scaler=fit_scaler(df, num))
 
 
+def _encoded_rows(df: DataFrame, model: LinearModel, label: str, fold: Column | None = None) -> DataFrame:
+    """x (encoded values), y, fold: what the optimiser reads."""
+    return df.select(F.array(*[e for _, _, e in model.encoded()]).alias("x"), F.col(label).cast("double").alias("y"),
+                     (F.lit(None) if fold is None else fold).cast("int").alias("fold"))
+
+
 def fit_logistic(df: DataFrame, groups: dict[str, list[str]], onehot: Sequence[str],
-                 label: str = "outcome", C: float = 1.0, max_iter: int = 500,
-                 tol: float = 1e-8) -> LinearModel:
-    """Fit on ``df`` (cached while the optimiser iterates)."""
+                 label: str = "outcome", C: float = 1.0) -> LinearModel:
+    """Fit on ``df`` (its encoded rows are cached between the passes).
+
+    Newton steps up to ``newton.MAX_COLUMNS`` encoded columns, MLlib's L-BFGS
+    beyond; both minimise the same strictly convex objective.
+    """
     model = encode(df, groups, onehot)
-    enc = model.encoded()
-    names = [n for _, n, _ in enc]
-    data = df.select(*[e.alias(f"__x{i}") for i, (_, _, e) in enumerate(enc)],
-                     F.col(label).cast("double").alias("__y"))
-    data = VectorAssembler(inputCols=[f"__x{i}" for i in range(len(enc))], outputCol="__features",
-                           handleInvalid="error").transform(data).select("__features", "__y")
-    # each optimiser step is one job over the cached partitions; at least the cluster's parallelism
-    data = data.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, MIN_FIT_PARTITIONS)).persist()
+    names = model.encoded_names()
+    data = _encoded_rows(df, model, label).persist()
     try:
-        n = data.count()
-        lr = LogisticRegression(featuresCol="__features", labelCol="__y", regParam=1.0 / (C * n),
-                                elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                                maxIter=max_iter, tol=tol)
-        fitted = lr.fit(data)
+        if len(names) <= newton.MAX_COLUMNS:
+            done = newton.fit(data, len(names), [0], C=C)[0]
+            weights, intercept = done.weights, done.intercept
+        else:
+            weights, intercept = _fit_wide(data, C)
     finally:
         data.unpersist()
-    model.coefs = dict(zip(names, [float(w) for w in fitted.coefficients]))
-    model.intercept = float(fitted.intercept)
+    model.coefs = dict(zip(names, [float(w) for w in weights]))
+    model.intercept = float(intercept)
     return model
 
+
+def _fit_wide(data: DataFrame, C: float, max_iter: int = 500, tol: float = 1e-10) -> tuple[Sequence[float], float]:
+    n = data.count()
+    vectors = data.select(array_to_vector("x").alias("x"), "y")
+    fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=1.0 / (C * n), elasticNetParam=0.0,
+                                standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol).fit(vectors)
+    return list(fitted.coefficients), fitted.intercept
+
+
+def fit_folds(train: DataFrame, folds: DataFrame, num_folds: int, groups: dict[str, list[str]], onehot: Sequence[str],
+              label: str = "outcome", C: float = 1.0) -> list[LinearModel]:
+    """P6 + P9: for each fold the model of the training rows outside it, all fitted in the same passes.
+
+    ``folds``: (siren, fold) of ``split.siren_folds``; rows of a firm in no fold
+    train every model.  Each model has the scaler of its own rows.  One-hot levels
+    are those of the whole training set; a level absent from a model's rows has
+    weight 0 in it (nothing but the penalty acts on it).
+    """
+    model = encode(train, groups, onehot)
+    names = model.encoded_names()
+    if len(names) > newton.MAX_COLUMNS:
+        raise ValueError(f"{len(names)} encoded columns; at most {newton.MAX_COLUMNS} can be fitted per fold")
+    data = _encoded_rows(with_fold(train, folds), model, label, F.col("fold")).persist()
+    try:
+        scales = _fold_scales(data, names, set(model.scaler), num_folds)
+        done = newton.fit(data, len(names), list(range(num_folds)), scales, C)
+    finally:
+        data.unpersist()
+    out = []
+    for j in range(num_folds):
+        scaler = {}
+        for name, m, s in zip(names, *scales[j]):
+            if name in model.scaler:  # the fold's scaler in the feature's own units
+                mean, std = model.scaler[name]
+                std = std or 1.0
+                scaler[name] = (mean + std * float(m), std * float(s))
+        out.append(LinearModel(groups=model.groups, levels=model.levels, scaler=scaler,
+                               coefs=dict(zip(names, map(float, done[j].weights))), intercept=done[j].intercept))
+    return out
+
+
+def _fold_scales(data: DataFrame, names: list[str], scaled: set[str], num_folds: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Mean and population deviation of the encoded columns over each fold's training rows, from one aggregation by fold."""
+    at = [i for i, n in enumerate(names) if n in scaled]
+    x = [F.get("x", F.lit(i)) for i in at]
+    rows = data.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in zip(at, x)],
+                                    *[F.sum(c * c).alias(f"q{i}") for i, c in zip(at, x)]).collect()  # one row per fold
+    total = {r["fold"]: np.array([r["n"], *[r[f"s{i}"] for i in at], *[r[f"q{i}"] for i in at]]) for r in rows}
+    everything, out = sum(total.values()), {}
+    for j in range(num_folds):
+        n, *sums = everything - total.get(j, 0)
+        s, q = np.split(np.array(sums), 2)
+        mean, std = np.zeros(len(names)), np.ones(len(names))
+        if n > 0:
+            mean[at] = s / n
+            # columns are standardised over all folds, so the difference of moments is safe
+            deviation = np.sqrt(np.maximum(q / n - (s / n) ** 2, 0))
+            std[at] = np.where(deviation > 1e-12, deviation, 1.0)
+        out[j] = mean, std
+    return out
+
+
+def score_folds(test: DataFrame, folds: DataFrame, models: Sequence[LinearModel], out: str = "predicted_probability") -> DataFrame:
+    """P6 + P10: test rows of firms in a fold, each scored by the model that has not seen its firm, with ``fold``.
+
+    The weights are a table of one row per fold that every task receives.
+    """
+    names = models[0].encoded_names()
+    raw = LinearModel(groups=models[0].groups, levels=models[0].levels, scaler={f: (0.0, 1.0) for f in models[0].scaler})
+    rows = []
+    for j, m in enumerate(models):
+        scale = {n: (m.scaler[n][0], m.scaler[n][1] or 1.0) if n in m.scaler else (0.0, 1.0) for n in names}
+        w = [m.coefs[n] / scale[n][1] for n in names]
+        rows.append((j, w, m.intercept - sum(x * scale[n][0] for x, n in zip(w, names))))
+    weights = test.sparkSession.createDataFrame(rows, "fold int, __w array<double>, __b double")
+    margin = F.col("__b")
+    for i, (_, _, e) in enumerate(raw.encoded()):
+        margin = margin + e * F.get("__w", F.lit(i))
+    return with_fold(test, folds).join(F.broadcast(weights), "fold").withColumn(out, sigmoid(margin)).drop("__w", "__b")
+
+
+def cross_validate(train: DataFrame, test: DataFrame, num_folds: int, groups: dict[str, list[str]], onehot: Sequence[str],
+                   seed: int = 0, beta: float = 0.5, thresh: float = 0.5, C: float = 1.0) -> DataFrame:
+    """One row per fold: rows scored, precision, recall and F-beta of the firms the fold's model has not seen.
+
+    A fold without scored rows has n 0; a ratio without denominator is null.
+    """
+    folds = siren_folds(train, test, num_folds, seed)
+    scored = score_folds(test, folds, fit_folds(train, folds, num_folds, groups, onehot, C=C))
+    hit, real = F.col("predicted_probability") >= thresh, F.col("outcome").cast("boolean")
+    count = lambda c: F.count(F.when(c, F.lit(1)))
+    sums = scored.groupBy(F.col("fold").cast("long").alias("fold")).agg(
+        F.count(F.lit(1)).alias("n"), count(hit & real).alias("tp"), count(hit & ~real).alias("fp"), count(~hit & real).alias("fn"))
+    tp, b2 = F.col("tp"), float(beta) ** 2
+    every = train.sparkSession.range(num_folds).select(F.col("id").alias("fold"))
+    zero = every.join(sums, "fold", "left").na.fill(0, ["n", "tp", "fp", "fn"])
+    return zero.select("fold", "n", "tp", "fp", "fn", F.try_divide(tp, tp + F.col("fp")).alias("precision"),
+                       F.try_divide(tp, tp + F.col("fn")).alias("recall"),
+                       F.try_divide((1 + b2) * tp, (1 + b2) * tp + b2 * F.col("fn") + F.col("fp")).alias("fbeta"))

@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 
 from vigie.functions.features import PAYDEX_LABELS
 from vigie.operators.explain import COLLAPSED_GROUP, explain
-from vigie.operators.model import OFFSET, LinearModel, fit_logistic, level_aggregates, level_name, scaler_aggregates
+from vigie.operators.model import (OFFSET, LinearModel, cross_validate, fit_folds, fit_logistic, level_aggregates, level_name,
+                                   scaler_aggregates)
 from vigie.operators.clean import remove_siren
 from vigie.operators.dataset import fetch, month_window_end, top_n
 from vigie.operators.merge import score_list
+from vigie.operators.split import fold_sets, siren_folds
 from vigie.plans import params as P
 from vigie.plans.catalog import (ALL_FROM, ALL_TO, WHOLE, DEFAULT_PIPELINE, PAYDEX_GROUP_SQL, DEBT_DELTA_SQL, TEST, TRAIN, _prepared,
                                  finalize, panel, register, scan_sql)
 from vigie.plans.catalog_scores import ALGO, BATCH, FLAG_SQL, MODELS_CTES, MONTH_A, _model_scores
 from vigie.plans.oracle_panel import with_panel
 from vigie.plans.specs import DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT, DEFAULT_VARIABLES, default_model
-from vigie.session import checkpoint_dir
+from vigie.session import checkpoint_dir, written_table
 from vigie.sources import io
 
 NUMERIC = [f for fs in DEFAULT_FEATURE_GROUPS.values() for f in fs if f not in DEFAULT_ONEHOT]
@@ -239,9 +241,12 @@ def q_export_scores(spark, sf):
     + " UNION ALL SELECT DISTINCT 'paydex_group_x0_' || paydex_group FROM tp WHERE paydex_group IS NOT NULL)",
     "tp AS (" + _train_prepared_sql() + ")"))
 def q_logreg_gradient(spark, sf):
-    """Mean gradient of loss + penalty at the fitted weights, rounded to 3 digits."""
+    """Mean gradient of loss + penalty at the fitted weights, rounded to 6 digits."""
     train = _train_prepared(spark, sf)
-    model = fit_logistic(train, DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT)
+    return finalize(_gradient(train, fit_logistic(train, DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT)))
+
+
+def _gradient(train: DataFrame, model: LinearModel) -> DataFrame:
     residual = F.col("p") - F.col("outcome").cast("double")
     enc = [(name, x) for _, name, x in model.encoded()]
     one = model.score(train, "p").agg(
@@ -250,8 +255,41 @@ def q_logreg_gradient(spark, sf):
     parts = [F.struct(F.lit("intercept").alias("name"), F.col("g").alias("g"))]
     parts += [F.struct(F.lit(name).alias("name"), (F.col(f"g{i}") + F.lit(model.coefs[name]) / F.col("n")).alias("g"))
               for i, (name, _) in enumerate(enc)]
-    rounded = F.abs(F.round(F.col("r.g") * 1000) / 1000)
-    return finalize(one.select(F.explode(F.array(*parts)).alias("r")).select("r.name", rounded.alias("gradient")))
+    rounded = F.abs(F.round(F.col("r.g") * 1e6) / 1e6)
+    return one.select(F.explode(F.array(*parts)).alias("r")).select("r.name", rounded.alias("gradient"))
+
+
+# ---- P6, P9: the models of a cross-validation
+
+@register("cv_gradient", with_panel(
+    "SELECT fold, name, 0.0::DOUBLE AS gradient FROM range(" + str(P.N_FOLDS) + ") t(fold), (SELECT 'intercept' AS name UNION ALL "
+    + " UNION ALL ".join(f"SELECT '{c}'" for c in NUMERIC)
+    + " UNION ALL SELECT DISTINCT 'paydex_group_x0_' || paydex_group FROM tp WHERE paydex_group IS NOT NULL)",
+    "tp AS (" + _train_prepared_sql() + ")"))
+def q_cv_gradient(spark, sf):
+    """For each fold the mean gradient of its model over its own training rows, rounded to 6 digits."""
+    train = written_table(_train_prepared(spark, sf), "train")
+    test = _prepared(spark, sf, TEST.with_(fields=DEFAULT_VARIABLES), DEFAULT_PIPELINE)
+    folds = siren_folds(train, test, P.N_FOLDS, seed=P.SEED)
+    models = fit_folds(train, folds, P.N_FOLDS, DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT)
+    parts = []
+    for j, model in enumerate(models):
+        train_on, _ = fold_sets(train, test, folds, j)
+        parts.append(_gradient(train_on, model).select(F.lit(j).alias("fold"), "name", "gradient"))
+    return finalize(reduce(DataFrame.unionByName, parts))
+
+
+@register("cv_scored_rows", with_panel(
+    "SELECT fold, count(*)::BIGINT AS n FROM te JOIN f USING (siren) GROUP BY fold",
+    "tp AS (" + _train_prepared_sql() + ")", "te AS (" + _prepared_sql(P.TEST_FROM, P.TEST_TO) + ")",
+    "f AS (SELECT siren, (ntile(" + str(P.N_FOLDS) + ") OVER (ORDER BY CAST(('0x' || substr(md5(siren || '|" + str(P.SEED)
+    + "'), 1, 8)) AS BIGINT), siren) - 1)::BIGINT AS fold FROM (SELECT DISTINCT siren FROM tp))"))
+def q_cv_scored_rows(spark, sf):
+    """Rows that each fold's model scores: test rows of the firms it has not seen."""
+    train = written_table(_train_prepared(spark, sf), "train")
+    test = _prepared(spark, sf, TEST.with_(fields=DEFAULT_VARIABLES), DEFAULT_PIPELINE)
+    result = cross_validate(train, test, P.N_FOLDS, DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT, seed=P.SEED)
+    return finalize(result.where("n > 0").select("fold", "n"))
 
 
 # ---- P14, S6, S7, S10: what a run writes, read back
@@ -306,16 +344,20 @@ def q_files_siret_list(spark, sf):
     return finalize(fetch(pan, WHOLE.with_(sirets=io.read_siret_list(spark, path), fields=("siret", "periode"))))
 
 
-@register("files_model", " UNION ALL ".join(
-    f"SELECT '{n}' AS name, ({w!r})::DOUBLE AS weight" for n, w in sorted(fixed_explain_model().coefs.items())))
+def _probability_sql(model: LinearModel) -> str:
+    z = " + ".join([f"({model.intercept!r})::DOUBLE"] + [c for _, _, c, _ in _contrib_sql(model)])
+    return f"1.0 / (1.0 + exp(-({z})))"
+
+
+@register("files_model", with_panel(
+    f"SELECT siret, strftime(periode, '%Y-%m-%d') AS periode, round({_probability_sql(fixed_explain_model())}, 6) AS predicted_probability "
+    "FROM prep", "prep AS (" + _prepared_sql() + ")"))
 def q_files_model(spark, sf):
+    """A model saved, loaded and applied to every prepared row of the panel."""
     path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
     fixed_explain_model().save(spark, path)
-    model = LinearModel.load(spark, path)
-    # one row per weight that the panel's columns can meet
-    rows = spark.createDataFrame(sorted(model.coefs.items()), "name string, weight double")
-    used = panel(spark, sf).select(F.explode(F.array(*[F.lit(n) for n in model.encoded_names()])).alias("name")).distinct()
-    return finalize(rows.join(used, "name"))
+    rows = _prepared(spark, sf, WHOLE.with_(fields=DEFAULT_VARIABLES), DEFAULT_PIPELINE)
+    return finalize(LinearModel.load(spark, path).score(rows).select("siret", "periode", "predicted_probability"))
 
 
 @register("remove_listed_firms", with_panel(

@@ -341,7 +341,7 @@ def q_exclude_train_firms(spark, sf):
     return finalize(exclude_train_firms(test, train))
 
 
-N_FOLDS = 5
+N_FOLDS = P.N_FOLDS
 FOLD_CTES = (
     "tr AS (" + scan_sql(P.TRAIN_FROM, P.TRAIN_TO, cols="siret, siren, periode") + ")",
     "te AS (" + scan_sql(P.TEST_FROM, P.TEST_TO, cols="siret, siren, periode") + ")",
