@@ -28,7 +28,9 @@ from vigie.plans.catalog_scores import ALGO, BATCH, FLAG_SQL, MODELS_CTES, MONTH
 from vigie.plans.oracle_panel import with_panel
 from vigie.plans.specs import DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT, DEFAULT_VARIABLES, default_model
 from vigie.session import checkpoint_dir, written_table
+from vigie.schema import PANEL_COLUMNS
 from vigie.sources import io
+from vigie.sources.incremental import PanelStore
 
 NUMERIC = [f for fs in DEFAULT_FEATURE_GROUPS.values() for f in fs if f not in DEFAULT_ONEHOT]
 
@@ -375,3 +377,21 @@ def q_sample_topk_cut(spark, sf):
     """The histogram path of the sample, forced by a small budget."""
     rows = fetch(panel(spark, sf), WHOLE.with_(fields=("siret", "periode", "random_order")))
     return finalize(top_n(rows, P.SAMPLE_N, direct_limit=50))
+
+
+# ---- S1: a panel that grows by months
+
+_GROWN = [c for c in PANEL_COLUMNS if c not in ("siret", "siren", "periode", "code_naf", "code_ape_niveau3", "region",
+                                                "time_til_outcome", "outcome")]
+
+
+@register("panel_append", with_panel(
+    "SELECT siret, siren, strftime(periode, '%Y-%m-%d') AS periode, code_naf, code_ape_niveau3, region, "
+    "time_til_outcome::BIGINT AS time_til_outcome, outcome, " + ", ".join(f"round({c}, 6) AS {c}" for c in _GROWN) + " FROM panel"))
+def q_panel_append(spark, sf):
+    """Old orders first, then two appends, the second of which also replaces months of the first."""
+    store = PanelStore(spark, f"{checkpoint_dir(spark)}/panel-store/{uuid.uuid4().hex}")
+    store.append(sf, until=P.TEST_FROM)
+    store.append(sf, since=P.TEST_FROM, until=P.PREDICT_ON)
+    store.append(sf, since=P.TEST_TO)
+    return finalize(store.read())

@@ -37,7 +37,7 @@ import threading
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from vigie.schema import DEBT_LAGS, FINANCIAL_RATIOS, PANEL_COLUMNS, PANEL_SCHEMA
@@ -64,26 +64,23 @@ def hash_unit(*cols: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(_TWO_POW_32)
 
 
-def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lazy plan of the panel (see module docstring)."""
+def monthly_rows(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """One row per customer and month: the line items of the orders from ``since`` on and before ``until``."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    customer = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
-    geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-
+    if since is not None:
+        orders = orders.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        orders = orders.where(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
     lines = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     qty, ext, disc, tax = (F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     rflag, lstat = F.col("l_returnflag"), F.col("l_linestatus")
     days = F.abs(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))) % 121
 
-    monthly = lines.groupBy(
+    return lines.groupBy(
         "o_custkey",
         F.to_date(F.date_trunc("month", "o_orderdate")).alias("periode"),
     ).agg(
@@ -101,13 +98,18 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min(ext).alias("_emin"), F.max(ext).alias("_emax"),
     )
 
+
+def described(spark: SparkSession, sf_dir: str, monthly: DataFrame) -> DataFrame:
+    """Monthly rows with ids, the customer's attributes and the ratios that need no other month."""
+    customer = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
+    geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
     joined = monthly.join(cust, F.col("o_custkey") == F.col("c_custkey"))
 
-    by_month = Window.partitionBy("o_custkey").orderBy("mi")
-    whole = Window.partitionBy("o_custkey")
-    last12 = by_month.rangeBetween(-11, 0)
-
     siren = F.lpad(F.floor(F.col("o_custkey") / 3).cast("string"), 9, "0")
     siret = F.concat(siren, F.lpad((F.col("o_custkey") % 3).cast("string"), 5, "0"))
     has_fin = F.col("c_mktsegment") != "FURNITURE"
@@ -126,7 +128,7 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     assert list(fin) == FINANCIAL_RATIOS
 
-    base = joined.select(
+    return joined.select(
         "o_custkey", "periode",
         (F.year("periode") * 12 + F.month("periode")).alias("mi"),
         siren.alias("siren"), siret.alias("siret"),
@@ -144,30 +146,42 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         / F.col("cotisation"),
     )
 
-    lags = {}
+
+def history_columns(by_month: WindowSpec) -> dict[str, Column]:
+    """Columns that look back at most twelve months of the same establishment."""
+    last12 = by_month.rangeBetween(-11, 0)
+    out = {"cotisation_moy12m": F.avg("cotisation").over(last12), "ratio_dette_moy12m": F.avg("ratio_dette").over(last12)}
     for k in DEBT_LAGS:
         frame = by_month.rangeBetween(-k, -k)
-        lags[f"montant_part_ouvriere_past_{k}"] = F.max("montant_part_ouvriere").over(frame)
-        lags[f"montant_part_patronale_past_{k}"] = F.max("montant_part_patronale").over(frame)
-    dm = F.max(F.when(F.col("_has_f"), F.col("mi"))).over(whole)
-    tto = F.when(F.col("c_acctbal") < 3000, dm - F.col("mi")).cast("int")
+        out[f"montant_part_ouvriere_past_{k}"] = F.max("montant_part_ouvriere").over(frame)
+        out[f"montant_part_patronale_past_{k}"] = F.max("montant_part_patronale").over(frame)
+    return out
+
+
+def time_til_outcome(last_failure: Column) -> Column:
+    """Months to the last failure (``last_failure`` in months) of a customer at risk."""
+    return F.when(F.col("c_acctbal") < 3000, last_failure - F.col("mi")).cast("int")
 
+
+def with_outcome(df: DataFrame) -> DataFrame:
+    return df.withColumn("outcome", F.coalesce(F.col("time_til_outcome") <= 18, F.lit(False))) \
+        .withColumn("random_order", hash_unit(F.col("siret"), F.col("periode").cast("string")))
+
+
+def build_panel(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Lazy plan of the panel (see module docstring)."""
+    base = described(spark, sf_dir, monthly_rows(spark, sf_dir, until=until))
+    by_month = Window.partitionBy("o_custkey").orderBy("mi")
+    last_failure = F.max(F.when(F.col("_has_f"), F.col("mi"))).over(Window.partitionBy("o_custkey"))
+    so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     panel = base.select(
         "*",
-        F.avg("cotisation").over(last12).alias("cotisation_moy12m"),
-        F.avg("ratio_dette").over(last12).alias("ratio_dette_moy12m"),
-        F.sum("apart_heures_consommees").over(
-            by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("apart_heures_consommees_cumulees"),
+        F.sum("apart_heures_consommees").over(so_far).alias("apart_heures_consommees_cumulees"),
         F.lag("paydex_nb_jours").over(by_month).alias("paydex_nb_jours_past_12"),
-        tto.alias("time_til_outcome"),
-        *[e.alias(n) for n, e in lags.items()],
-    ).withColumn(
-        "outcome", F.coalesce(F.col("time_til_outcome") <= 18, F.lit(False))
-    ).withColumn(
-        "random_order", hash_unit(F.col("siret"), F.col("periode").cast("string"))
+        time_til_outcome(last_failure).alias("time_til_outcome"),
+        *[e.alias(n) for n, e in history_columns(by_month).items()],
     )
-    return panel.select(*PANEL_COLUMNS)
+    return with_outcome(panel).select(*PANEL_COLUMNS)
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
