@@ -1,10 +1,10 @@
 """Expert correction of alert levels by the change of social debt.
 
 ``attach_debt_snapshots`` left-joins two one-month snapshots of the panel (the
-"July" month and the latest month) on (siret, siren).  A snapshot must have one
-row per establishment (a second one is an error when the result is computed), so
-the joins never multiply rows; the check is an aggregation on the join's keys
-and shares its shuffle.
+"July" month and the latest month) on (siret, siren).  Each snapshot is one narrow
+month, written once; the pass that writes it counts its rows (none is an error) and
+the rows per establishment (a second one is an error), so the joins never multiply
+rows and read tables of known size.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigie.operators.dataset import DatasetSpec, fetch, month_window_end, raise_if_empty
+from vigie.operators.checks import Checks, require_rows
+from vigie.operators.dataset import DatasetSpec, fetch, month_window_end
 
 # --- fixed values (alert levels of the reference) ------------------------------
 GREEN, ORANGE, RED = "vert", "orange", "rouge"
@@ -33,14 +34,15 @@ def snapshot(panel: DataFrame, month: str, date_max: str | None, columns: tuple[
     """One month of the panel through the standard scan, columns suffixed."""
     spec = DatasetSpec(date_min=month, date_max=date_max or month_window_end(month),
                        fields=("siren", "siret") + columns, sample_size=sample_size)
-    snap = raise_if_empty(fetch(panel, spec))
+    checks = Checks()
+    snap = checks.on(fetch(panel, spec), "fetched")
     named = [f"{c}{suffix}" for c in columns]
-    once = snap.select("siret", "siren", *[F.col(c).alias(n) for c, n in zip(columns, named)]) \
-        .groupBy("siret", "siren").agg(F.count(F.lit(1)).alias("__n"), *[F.first(n).alias(n) for n in named])
-    twice = F.raise_error(F.concat(F.lit(f"establishment twice in the snapshot of {month}: "), F.col("siret")))
-    return once.select("siret", "siren", *[
-        (F.when(F.col("__n") > 1, twice.cast("double")).otherwise(F.col(n)) if i == 0 else F.col(n)).alias(n)
-        for i, n in enumerate(named)])
+    once = snap.groupBy("siret", "siren").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(n) for c, n in zip(columns, named)])
+    table, noted = checks.written(checks.on(once, "firms", most=F.max("__n")).drop("__n"), "snapshot")
+    require_rows(noted["fetched"]["rows"], f"snapshot of {month}")
+    if noted["firms"]["most"] > 1:
+        raise ValueError(f"an establishment occurs twice in the snapshot of {month}")
+    return table
 
 
 def attach_debt_snapshots(df: DataFrame, panel: DataFrame, july: str = "2020-07-01",

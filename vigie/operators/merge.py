@@ -39,7 +39,8 @@ def merge_models(models: Sequence[DataFrame], key: str = "siret",
         F.min_by(p, F.when(p.isNotNull(), F.col("__priority"))).alias(value),
         (F.count(F.lit(1)) > F.count_distinct("__priority")).alias("__twice"))
     twice = F.raise_error(F.concat(F.lit(f"{key} occurs twice in one model: "), F.col(key).cast("string")))
-    return merged.select(key, F.when(F.col("__twice"), twice.cast("double")).otherwise(p).alias(value))
+    # a filter: unlike a column it stays in every plan, also of a count
+    return merged.where(F.when(F.col("__twice"), twice.cast("boolean")).otherwise(F.lit(True))).select(key, value)
 
 
 def flag_scores(df: DataFrame, t_rouge: float, t_orange: float,

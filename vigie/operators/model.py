@@ -112,19 +112,23 @@ class LinearModel:
                 out.append((g, f, (F.col(f).cast("double") - F.lit(mean)) / F.lit(scale)))
         return out
 
+    def unseen_levels(self, columns: Sequence[str]) -> dict[str, Column]:
+        """Aggregates: rows per categorical feature whose level the model was not fitted on."""
+        return {f: F.count(F.when(F.col(f).isNotNull() & ~F.col(f).cast("string").isin(self.levels[f]), F.lit(1)))
+                for f in self.levels if f in columns}
+
+    def refuse_unseen(self, counts: dict[str, int]) -> None:
+        bad = {f: counts[f] for f in self.levels if counts.get(f)}
+        if bad:
+            raise ValueError(f"levels that the training set did not have (rows): {bad}")
+
     def check_levels(self, df: DataFrame) -> None:
         """Raise ``ValueError`` when ``df`` holds a categorical level the model
         was not fitted on (one aggregation; a no-op without categorical
         features)."""
-        cats = [f for f in self.levels if f in df.columns]
-        if not cats:
-            return
-        unseen = [F.count(F.when(F.col(f).isNotNull() & ~F.col(f).cast("string").isin(self.levels[f]),
-                                 F.lit(1))).alias(f) for f in cats]
-        row = df.agg(*unseen).first()
-        bad = {f: row[f] for f in cats if row[f]}
-        if bad:
-            raise ValueError(f"levels that the training set did not have (rows): {bad}")
+        unseen = self.unseen_levels(df.columns)
+        if unseen:
+            self.refuse_unseen(df.agg(*[c.alias(f) for f, c in unseen.items()]).first().asDict())
 
     def encoded_names(self) -> list[str]:
         return [n for _, n, _ in self.encoded()]

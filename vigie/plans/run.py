@@ -5,9 +5,9 @@ test:  fetch -> drop firms seen in training -> fill -> drop incomplete
        -> drop strong signals -> pipeline -> score -> evaluate
 predict: fetch -> fill -> drop incomplete -> pipeline -> score [-> explain] -> export
 
-Jobs run only at: the emptiness checks, the fit (encoder statistics + the
-optimiser over a cached encoded set), the unseen-level checks, the two
-evaluations and the writes.
+Jobs run only for the fit (encoder statistics + the optimiser over a cached encoded
+set), the two evaluations and the writes.  Emptiness, class balance and unseen levels
+are counted in the passes that write the sets.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigie.operators import clean
+from vigie.operators.checks import Checks, require_rows
 from vigie.operators.dataset import fetch, flatten, match, month_window_end, raise_if_empty
 from vigie.operators.explain import explain
 from vigie.operators.metrics import evaluate_dict
@@ -29,7 +30,6 @@ from vigie.operators.split import exclude_train_firms
 from vigie.plans.pipeline import run_pipeline
 from vigie.plans.specs import ModelSpec
 from vigie.schema import IGNORE_NA
-from vigie.session import written_table
 from vigie.sources import io
 
 log = logging.getLogger(__name__)
@@ -81,24 +81,26 @@ def _clean(df: DataFrame) -> DataFrame:
     return clean.remove_na(clean.replace_missing_data(df), IGNORE_NA)
 
 
-def _fetched(panel: DataFrame, dataset) -> DataFrame:
-    """The data set; an empty one is an error, found by a test of the filters alone (no sort)."""
+def _fetched(panel: DataFrame, dataset, checks: Checks | None) -> DataFrame:
+    """The data set; an empty one is an error, found while it is written (``checks``) or by a test of the filters alone."""
+    if checks is not None:
+        return checks.on(fetch(panel, dataset), "fetched")
     raise_if_empty(match(flatten(panel), dataset))
     return fetch(panel, dataset)
 
 
-def prepare_train(panel: DataFrame, spec: ModelSpec) -> DataFrame:
-    return run_pipeline(_clean(_fetched(panel, spec.train)), spec.pipeline)
+def prepare_train(panel: DataFrame, spec: ModelSpec, checks: Checks | None = None) -> DataFrame:
+    return run_pipeline(_clean(_fetched(panel, spec.train, checks)), spec.pipeline)
 
 
-def prepare_test(panel: DataFrame, spec: ModelSpec, train: DataFrame) -> DataFrame:
-    df = exclude_train_firms(_fetched(panel, spec.test), train)
+def prepare_test(panel: DataFrame, spec: ModelSpec, train: DataFrame, checks: Checks | None = None) -> DataFrame:
+    df = exclude_train_firms(_fetched(panel, spec.test, checks), train)
     df = clean.remove_strong_signals(_clean(df))
     return run_pipeline(df, spec.pipeline)
 
 
-def prepare_predict(panel: DataFrame, spec: ModelSpec) -> DataFrame:
-    return run_pipeline(_clean(_fetched(panel, spec.predict)), spec.pipeline)
+def prepare_predict(panel: DataFrame, spec: ModelSpec, checks: Checks | None = None) -> DataFrame:
+    return run_pipeline(_clean(_fetched(panel, spec.predict, checks)), spec.pipeline)
 
 
 def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
@@ -127,26 +129,35 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
     stats = make_stats(spec)
     stats["run_on"] = datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S")
 
-    # both sets are used several times: written once, with what the model reads
-    train = written_table(prepare_train(panel, spec), "train")
+    # every set is written once, with what the model reads; its checks are counts of that pass
+    checks = Checks()
+    train = checks.on(prepare_train(panel, spec, checks), "train", positive=F.count(F.when(F.col("outcome").cast("boolean"), F.lit(1))))
+    train, noted = checks.written(train, "train")
+    require_rows(noted["fetched"]["rows"], "training set")
+    stats["train_balance"] = {"rows": noted["train"]["rows"], "positive": noted["train"]["positive"]}
     model = fit_logistic(train, spec.feature_groups, spec.onehot)
     stats["train"] = _metrics(model.score(train, "score"), spec.eval_beta)
+
+    checks = Checks()
     seen = fetch(panel, spec.train) if exclude_fetched_train_firms else train
-    test_set = prepare_test(panel, spec, seen)
-    test_set = written_table(test_set.select(*dict.fromkeys(["outcome", *spec.features])), "test")
+    test_set = prepare_test(panel, spec, seen, checks).select(*dict.fromkeys(["outcome", *spec.features]))
+    test_set, noted = checks.written(checks.on(test_set, "set", **model.unseen_levels(test_set.columns)), "test")
+    require_rows(noted["fetched"]["rows"], "test set")
     if unknown == "error":
-        model.check_levels(test_set)
+        model.refuse_unseen(noted["set"])
     stats["test"] = _metrics(model.score(test_set, "score"), spec.eval_beta)
 
-    predict_set = prepare_predict(panel, spec)
-    if unknown == "error":
-        model.check_levels(predict_set)
-    predict = model.score(predict_set)
+    checks = Checks()
+    predict_set = prepare_predict(panel, spec, checks)
+    predict = model.score(checks.on(predict_set, "set", **model.unseen_levels(predict_set.columns)))
     columns = ["siren", "siret", "predicted_probability"]
     if with_explain:
         predict = explain(predict, model)
         columns += ["expl_selection", "macro_expl", "micro_expl", "macro_radar"]
-    predictions = predict.select(*columns)
+    predictions, noted = checks.written(predict.select(*columns), "predictions")
+    require_rows(noted["fetched"]["rows"], "prediction set")
+    if unknown == "error":
+        model.refuse_unseen(noted["set"])
     if out_dir:
         base = out_dir.rstrip("/") + f"/{spec.name}_{stats['run_on']}"
         io.write_predictions(predictions, f"{base}/predictions")

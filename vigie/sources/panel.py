@@ -48,6 +48,7 @@ _TWO_POW_32 = 4294967296.0
 _lock = threading.Lock()
 _cache: dict[tuple[str, str], str] = {}
 _tables: dict[tuple[str, str], DataFrame] = {}
+_listed: dict[tuple[str, str, str, str], str] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -204,7 +205,7 @@ def _published(spark: SparkSession, index: str) -> str | None:
 
 
 def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
-               refresh: bool = False) -> DataFrame:
+               refresh: bool = False, recheck: bool = False) -> DataFrame:
     """The panel as a table.
 
     With ``materialize`` the plan of ``build_panel`` runs once per input and
@@ -216,13 +217,18 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
     size / advisory size instead of tasks x months; inside a file rows are
     sorted by establishment.  Later calls read that table, so
     downstream queries start from a short lineage.  The listing of the input
-    files decides whether a table is theirs.  ``refresh`` rebuilds it anyway.
+    files decides whether a table is theirs; it is taken once per session and
+    folder, and again with ``recheck``.  ``refresh`` rebuilds the table anyway.
     """
     if not materialize:
         return build_panel(spark, sf_dir)
     root = checkpoint_dir(spark)
-    key = (root, _fingerprint(spark, sf_dir))
+    app = spark.sparkContext.applicationId
     with _lock:
+        listed = (app, RECIPE_VERSION, root, sf_dir)
+        if recheck or refresh or listed not in _listed:
+            _listed[listed] = _fingerprint(spark, sf_dir)
+        key = (root, _listed[listed])
         path = None if refresh else _cache.get(key)
         index = f"{root}/panel-index/{key[1]}"
         if path is None and not refresh:
@@ -238,7 +244,6 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
         _cache[key] = path
         # one DataFrame per session and table: its file index (the listing of
         # the month directories) is built once, not per query
-        app = spark.sparkContext.applicationId
         table = _tables.get((app, path))
         if table is None:
             table = spark.read.schema(PANEL_SCHEMA).parquet(path).select(*PANEL_COLUMNS)
