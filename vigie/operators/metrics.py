@@ -9,6 +9,8 @@ window over the rows).
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,17 +72,19 @@ def with_classification_metrics(counts: DataFrame, beta: float) -> DataFrame:
     )
 
 
-def score_table(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
-    """Distinct scores with their positive / negative counts (ties collapsed).
+def score_counts(df: DataFrame, score: str = "score", outcome: str = "outcome", keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., threshold, tp_at, fp_at): distinct scores with their positive / negative counts (ties collapsed).
 
-    Rows without a score (null or NaN) or without an outcome take no part in
-    the curve.  Written once: whatever is derived from it re-reads this small
-    table, not the input.
+    Rows without a score (null or NaN) or without an outcome take no part.
     """
     y, s = _is_pos(outcome), F.col(score).cast("double")
-    table = df.where(s.isNotNull() & ~F.isnan(s) & y.isNotNull()).groupBy(s.alias("threshold")).agg(
+    return df.where(s.isNotNull() & ~F.isnan(s) & y.isNotNull()).groupBy(*keys, s.alias("threshold")).agg(
         _count_if(y).alias("tp_at"), _count_if(~y).alias("fp_at"))
-    return written_table(table, "scores")
+
+
+def score_table(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
+    """``score_counts`` written once: whatever is derived from it re-reads this small table, not the input."""
+    return written_table(score_counts(df, score, outcome), "scores")
 
 
 def _cumulative(table: DataFrame) -> DataFrame:
@@ -94,7 +98,8 @@ def cumulative_curve(df: DataFrame, score: str = "score", outcome: str = "outcom
     return _cumulative(score_table(df, score, outcome))
 
 
-def _average_precision(table: DataFrame) -> DataFrame:
+def average_precision_of(table: DataFrame) -> DataFrame:
+    """A8 on a table of distinct scores and counts."""
     n_pos = table.agg(F.coalesce(F.sum("tp_at"), F.lit(0))).scalar()
     term = (F.col("tp_at") / n_pos) * (F.col("tps") / (F.col("tps") + F.col("fps")))
     return _cumulative(table).agg(F.coalesce(F.sum(F.when(n_pos > 0, term)), F.lit(0.0)).alias("average_precision"))
@@ -103,13 +108,17 @@ def _average_precision(table: DataFrame) -> DataFrame:
 def average_precision(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
     """Step-wise area under the precision-recall curve,
     sum over distinct thresholds of (R_n - R_(n-1)) * P_n."""
-    return _average_precision(score_table(df, score, outcome))
+    return average_precision_of(score_table(df, score, outcome))
 
 
 def pr_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> DataFrame:
     """A10: (threshold, precision, recall) for thresholds from the highest one
     that still has full recall upwards, plus the final point (null, 1, 0)."""
-    table = score_table(df, score, outcome)
+    return curve_of(score_table(df, score, outcome))
+
+
+def curve_of(table: DataFrame) -> DataFrame:
+    """A10 on a table of distinct scores and counts (``score_table``, ``curves.curve_table``)."""
     # The highest threshold at which every positive is already counted is the
     # lowest score of a positive.
     whole = table.agg(F.sum("tp_at").alias("n_pos"), F.min(F.when(F.col("tp_at") > 0, F.col("threshold"))).alias("cut"))
@@ -120,8 +129,7 @@ def pr_curve(df: DataFrame, score: str = "score", outcome: str = "outcome") -> D
                    F.lit(0.0)).alias("precision"),
         F.try_divide(F.col("tps").cast("double"), n_pos.cast("double")).alias("recall"),
     )
-    spark = df.sparkSession
-    last = spark.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
+    last = table.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
     return curve.unionByName(last)
 
 
@@ -129,13 +137,17 @@ def evaluate(df: DataFrame, beta: float, thresh: float = 0.5, score: str = "scor
              outcome: str = "outcome") -> DataFrame:
     """One row with aucpr, balanced_accuracy, tn, fp, fn, tp, f<beta>,
     precision, recall; the input is read once, for the score table."""
-    table = score_table(df, score, outcome)
+    return evaluate_table(score_table(df, score, outcome), beta, thresh)
+
+
+def evaluate_table(table: DataFrame, beta: float, thresh: float = 0.5) -> DataFrame:
+    """A9 on a table of distinct scores and counts."""
     above = F.col("threshold") >= F.lit(float(thresh))
     count = lambda c, cond: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0)).cast("long")
     counts = table.agg(count("fp_at", ~above).alias("tn"), count("fp_at", above).alias("fp"),
                        count("tp_at", ~above).alias("fn"), count("tp_at", above).alias("tp"))
     m = with_classification_metrics(counts, beta)
-    ap = _average_precision(table).scalar()
+    ap = average_precision_of(table).scalar()
     label = f"f{beta:g}".replace(".", "_")
     return m.select(
         ap.alias("aucpr"), "balanced_accuracy", "tn", "fp", "fn", "tp",

@@ -394,3 +394,4 @@ def q_paydex_outcome_summary(spark, sf):
 # Further registrations live in sibling modules; importing them fills QUERIES/ORACLE.
 from vigie.plans import catalog_scores  # noqa: E402,F401
 from vigie.plans import catalog_model  # noqa: E402,F401
+from vigie.plans import catalog_store  # noqa: E402,F401

@@ -14,6 +14,7 @@ SAMPLE_N = 1_000          # reference default sample size
 LARGE_SAMPLE_N = 5_000    # beyond what one task sorts
 QUOTA_P = 0.2             # reference train oversampling
 SEED = 7
+RANGE_FROM, RANGE_TO = "1997-01-01", "1999-01-01"
 N_FOLDS = 5
 
 T_ROUGE, T_ORANGE = 0.75, 0.3   # thresholds of the reference's list example

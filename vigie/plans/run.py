@@ -31,6 +31,7 @@ from vigie.plans.pipeline import run_pipeline
 from vigie.plans.specs import ModelSpec
 from vigie.schema import IGNORE_NA
 from vigie.sources import io
+from vigie.sources.publish import Publication
 
 log = logging.getLogger(__name__)
 
@@ -109,9 +110,11 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
               predict_sirets: DataFrame | None = None,
               exclude_fetched_train_firms: bool = False,
               predict_siretlist_path: str | None = None,
-              unknown: str = "error") -> tuple[DataFrame, dict[str, Any], LinearModel]:
-    """Returns (predictions, statistics, fitted model); writes
-    ``predictions/``, ``stats/`` (and ``model/``) under ``out_dir`` if given.
+              unknown: str = "error", run_id: str | None = None) -> tuple[DataFrame, dict[str, Any], LinearModel]:
+    """Returns (predictions, statistics, fitted model); publishes
+    ``predictions/``, ``stats/`` (and ``model/``) under ``out_dir`` if given
+    (``publish.Publication``; ``run_id`` names the run, so that a repetition
+    replaces it; default: specification and time).
 
     Test rows of firms seen in training are dropped; by default "seen" means
     present in the cleaned training set (as the reference does), with
@@ -159,12 +162,15 @@ def run_model(spark: SparkSession, panel: DataFrame, spec: ModelSpec,
     if unknown == "error":
         model.refuse_unseen(noted["set"])
     if out_dir:
-        base = out_dir.rstrip("/") + f"/{spec.name}_{stats['run_on']}"
+        # staged files first; the manifest makes them a run that readers see
+        publication, run = Publication(spark, out_dir), run_id or f"{spec.name}_{stats['run_on']}"
+        base = publication.stage(run)
         io.write_predictions(predictions, f"{base}/predictions")
         io.write_stats(spark, stats, f"{base}/stats")
         if save_model:
             model.save(spark, f"{base}/model")
-        stats["output"] = base
+        publication.commit(run, base)
+        stats["run"], stats["output"] = run, base
     return predictions, stats, model
 
 
