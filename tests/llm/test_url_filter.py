@@ -48,4 +48,18 @@ def test_no_pages_and_no_list(spark):
 def test_colliding_digests_are_told_apart(scratch, monkeypatch):
     monkeypatch.setattr(U.xxhash, "xxh64_intdigest", lambda k: 5)
     a = U.DigestArray(*U.build([("a.b", "block", False, 0), ("c.d", "allow", False, 0)], scratch))
-    assert a.find([b"c.d", b"a.b", b"x"]).tolist() == [1, 0, -1] and isinstance(a.table, np.memmap)
+    assert a.find([b"c.d", b"a.b", b"x"]) == [[1], [0], []] and isinstance(a.digests, np.memmap)
+
+
+def test_ties_are_judged_alike_on_both_paths(spark):
+    """Rules of one length, and a rule that is also a blocked host, in either order."""
+    rules = (("block", "a.org", "/"), ("allow", "org", "/xy"), ("allow", "com", ""), ("block", "z.net", "/q"), ("allow", "net", "/q/r"))
+    urls = ["http://a.org/xy", "http://b.org/xy", "http://a.org/x", "http://com", "http://b.com/", "http://z.net/q/r", "http://net/q/r", "http://x.net"]
+    want = ["block", "allow", "block", "allow", "allow", "block", "allow", "block"]
+    for hosts in (("com", "x.net"), ("x.net", "com")):
+        for listed in (U.entries(spark, rules, hosts), U.entries(spark, rules[::-1], hosts)):
+            for bound in (0, 1 << 20):
+                pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+                got = {r.page_id: (r.rule, r.verdict) for r in U.judge(pages, listed, max_local_bytes=bound).collect()}
+                assert [got[i][1] for i in range(len(urls))] == want
+                assert got[0][0] == "a.org/" and got[1][0] == "org/xy" and got[3][0] == "com" and got[7][0] is None

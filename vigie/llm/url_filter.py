@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigie.llm.common import read, with_results, written
+from vigie.llm.common import private_columns, read, with_results, written
 
 #: bound of the list (bytes of its strings) up to which it is shipped as files
 MAX_LOCAL_BYTES = 64 << 20
@@ -73,11 +73,11 @@ def build(rows: list[tuple[str, str, bool, int]], folder: str) -> tuple[str, str
     digests = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
     order = np.argsort(digests, kind="stable")
     lengths = np.array([len(keys[i]) for i in order], np.uint64)
-    table = np.zeros((len(keys), 4), np.uint64)
-    table[:, 0] = digests[order]
-    table[:, 1] = np.cumsum(lengths) - lengths
-    table[:, 2] = lengths
-    table[:, 3] = [(rows[i][1] == "block") | 2 * rows[i][2] | rows[i][3] << 2 for i in order]
+    table = np.zeros((4, len(keys)), np.uint64)  # column by column: the search runs on the mapped digests
+    table[0] = digests[order]
+    table[1] = np.cumsum(lengths) - lengths
+    table[2] = lengths
+    table[3] = [(rows[i][1] == "block") | 2 * rows[i][2] | rows[i][3] << 2 for i in order]
     tag = uuid.uuid4().hex
     paths = f"{folder}/digests-{tag}.bin", f"{folder}/strings-{tag}.bin"
     table.tofile(paths[0])
@@ -91,14 +91,14 @@ class DigestArray:
 
     def __init__(self, digests: str, strings: str):
         empty = not os.path.getsize(digests)
-        self.table = np.zeros((0, 4), np.uint64) if empty else np.memmap(digests, np.uint64, "r").reshape(-1, 4)
-        self.digests = np.ascontiguousarray(self.table[:, 0])
+        self.table = np.zeros((4, 0), np.uint64) if empty else np.memmap(digests, np.uint64, "r").reshape(4, -1)
+        self.digests = self.table[0]
         self.strings = np.zeros(0, np.uint8) if empty else np.memmap(strings, np.uint8, "r")
-        self.path_lens = sorted({int(x) >> 2 for x in np.unique(self.table[:, 3])})
+        self.path_lens = sorted({int(x) >> 2 for x in np.unique(self.table[3])})
 
-    def find(self, keys: list[bytes]) -> np.ndarray:
-        """Row of each key, -1 where the list does not hold it."""
-        out = np.full(len(keys), -1, np.int64)
+    def find(self, keys: list[bytes]) -> list[list[int]]:
+        """Rows of each key: none, or several where a rule and a blocked host are the same text."""
+        out: list[list[int]] = [[] for _ in keys]
         if not len(self.digests) or not keys:
             return out
         probe = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
@@ -106,9 +106,9 @@ class DigestArray:
         right = np.searchsorted(self.digests, probe, "right")
         for i in np.flatnonzero(right > left):
             for row in range(left[i], right[i]):  # more than one only for colliding digests
-                a, n = int(self.table[row, 1]), int(self.table[row, 2])
+                a, n = int(self.table[1, row]), int(self.table[2, row])
                 if self.strings[a:a + n].tobytes() == keys[i]:
-                    out[i] = row
+                    out[i].append(row)
         return out
 
 
@@ -130,19 +130,17 @@ def _prober(digests: str, strings: str, shipped: bool):
             hosts, paths = batch.column("__host").to_pylist(), batch.column("__path").to_pylist()
             keys = [keys_of(h, p, array.path_lens) for h, p in zip(hosts, paths)]
             flat = [k for ks in keys for k in ks]
-            rows = iter(array.find([k.encode() for k in flat]).tolist())
+            rows = iter(array.find([k.encode() for k in flat]))
             rules, verdicts = [], []
             for ks in keys:
                 best, blocked = None, False
-                for k in ks:
-                    row = next(rows)
-                    if row < 0:
-                        continue
-                    flags = int(array.table[row, 3])
-                    if not flags & 2:
-                        blocked = True
-                    elif best is None or len(k) > len(best[0]):
-                        best = (k, flags)
+                for k in ks:  # longest host first, so it wins among keys of one length
+                    for row in next(rows):
+                        flags = int(array.table[3, row])
+                        if not flags & 2:
+                            blocked = True
+                        elif best is None or len(k) > len(best[0]):
+                            best = (k, flags)
                 rules.append(best[0] if best else None)
                 verdicts.append("block" if (best[1] & 1 if best else blocked) else "allow")
             cols = [batch.column(c) for c in batch.schema.names]
@@ -151,11 +149,13 @@ def _prober(digests: str, strings: str, shipped: bool):
     return run
 
 
+@private_columns("url")
 def judge(pages: DataFrame, listed: DataFrame | None = None, url: str = "url",
           max_local_bytes: int = MAX_LOCAL_BYTES) -> DataFrame:
     """The rows of ``pages`` with host, path, rule and verdict.
 
-    The longest rule that fits decides; without one, a URL on a listed host (or
+    The longest rule that fits decides (of rules of one length, host and path
+    together, that with the longest host); without one, a URL on a listed host (or
     a subdomain) is blocked and any other allowed.  Result for odd input: null
     and text without '://' have an empty host and path and are allowed; repeated
     rows are judged alike; no rows give no rows; input columns of these four
@@ -194,7 +194,7 @@ def _joined(d: DataFrame, listed: DataFrame) -> DataFrame:
         .select("__host", "__path", "s", F.explode(lens).alias("path_len")).where("path_len <= length(__path)") \
         .withColumn("key", F.expr("concat(s, substring(__path, 1, path_len))"))
     hits = keys.join(listed, ["key", "path_len"]).groupBy("__host", "__path").agg(
-        F.max(F.when(F.col("is_rule"), F.struct(F.length("key").alias("n"), "key", "verdict"))).alias("best"),
+        F.max(F.when(F.col("is_rule"), F.struct(F.length("key").alias("n"), F.length("s").alias("host"), "key", "verdict"))).alias("best"),
         F.max(~F.col("is_rule")).alias("blocked"))
     d = d.join(hits, ["__host", "__path"], "left")
     verdict = F.coalesce(F.col("best.verdict"), F.when(F.col("blocked"), "block"), F.lit("allow"))
@@ -216,8 +216,8 @@ with u as (select page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?
                   regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path from pages),
 r(verdict, rhost, rpath) as (values {_RULE_ROWS}),
 b(bhost) as (values {_HOST_ROWS}),
-m as (select page_id, host, path, arg_max(rhost || rpath, length(rhost || rpath)) as rule,
-             arg_max(verdict, length(rhost || rpath)) as verdict
+m as (select page_id, host, path, arg_max(rhost || rpath, (length(rhost || rpath), length(rhost))) as rule,
+             arg_max(verdict, (length(rhost || rpath), length(rhost))) as verdict
       from u join r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath) group by all)
 select u.page_id, u.host, u.path, m.rule,
        coalesce(m.verdict, case when exists (select 1 from b where u.host = bhost or ends_with(u.host, '.' || bhost))
