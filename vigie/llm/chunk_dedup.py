@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm.common import fresh, read, written
+from vigie.llm.common import fresh, private_columns, read, text_tag, written
 
 WINDOW = 16
 MIN_BYTES, MAX_BYTES, MASK_BITS = 16, 256, 5
@@ -104,9 +104,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(_ARROW.types)], schema=_ARROW)
 
 
-_ARROW = pa.schema([("id", pa.int64()), ("tag", pa.int32()), ("n_bytes", pa.int64()), ("n_words", pa.int64()), ("n_chunks", pa.int64()),
+_ARROW = pa.schema([("id", pa.int64()), ("tag", pa.binary()), ("n_bytes", pa.int64()), ("n_words", pa.int64()), ("n_chunks", pa.int64()),
                     ("d0", pa.list_(pa.int64())), ("d1", pa.list_(pa.int32())), ("place", pa.list_(pa.int64())), ("again", pa.list_(pa.int64()))])
-_CHUNK_SCHEMA = ("id long, tag int, n_bytes long, n_words long, n_chunks long, d0 array<bigint>, d1 array<int>, "
+_CHUNK_SCHEMA = ("id long, tag binary, n_bytes long, n_words long, n_chunks long, d0 array<bigint>, d1 array<int>, "
                  "place array<bigint>, again array<bigint>")
 
 
@@ -136,10 +136,10 @@ def _to_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(chunked, marked): one row per row of ``df`` with its sizes; per text with repeats: id, tag, n_repeated, spans.
 
-    ``tag`` is a 32-bit hash of the text: rows that share an id keep their own spans.
+    ``tag`` is a 128-bit digest of the text: rows that share an id keep their own spans.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("t"),
-                     F.hash(F.col(text)).alias("tag"))
+                     text_tag(F.col(text)).alias("tag"))
     chunked = written(rows.mapInArrow(_chunks, _CHUNK_SCHEMA), "chunks")
     each = chunked.select("id", "tag", F.inline(F.arrays_zip("d0", "d1", "place")))
     order = F.coalesce("id", F.lit(-(1 << 63)))  # a null id comes first
@@ -147,7 +147,7 @@ def repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> tuple[
     later = each.join(keeper, ["d0", "d1"]).where(order > F.col("first")).select("id", "tag", "place")
     again = chunked.select("id", "tag", F.explode("again").alias("place"))
     places = later.unionByName(again).groupBy("id", "tag").agg(F.collect_set("place").alias("places"))
-    marked = places.mapInArrow(_to_spans, "id long, tag int, n_repeated long, spans array<struct<start:bigint,end:bigint>>")
+    marked = places.mapInArrow(_to_spans, "id long, tag binary, n_repeated long, spans array<struct<start:bigint,end:bigint>>")
     return chunked, marked
 
 
@@ -168,6 +168,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
 
+@private_columns("text", "id_col")
 def dedup(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df`` with repeated runs cut out of the text, and what was cut.
 
@@ -183,7 +184,7 @@ def dedup(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFram
     _, marked = repeats(d, text, id_col)
     cols = d.columns
     k_id, k_tag = fresh(d, "__id", "__tag")
-    d = d.select("*", F.col(id_col).cast("long").alias(k_id), F.hash(F.col(text)).alias(k_tag))
+    d = d.select("*", F.col(id_col).cast("long").alias(k_id), text_tag(F.col(text)).alias(k_tag))
     m = marked.select(F.col("id").alias("__mid"), F.col("tag").alias("__mtag"), "n_repeated", "spans")
     d = d.join(m, d[k_id].eqNullSafe(m["__mid"]) & (d[k_tag] == m["__mtag"]), "left")
     rest = [c for c in cols if c != text]

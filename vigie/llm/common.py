@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+def text_tag(text: Column) -> Column:
+    """128-bit digest that tells the texts of rows with one id apart (null and empty alike)."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The given names, with a suffix where ``df`` already has such a column."""
     taken = {c.lower() for c in df.columns}
@@ -65,6 +72,44 @@ def with_results(df: DataFrame, **cols: Column) -> DataFrame:
     return df.withColumns(cols)
 
 
+def private_columns(*named: str) -> Callable:
+    """Decorator of an operator on a DataFrame: inside, every input column has a name of its own (__c0, __c1, ..).
+
+    So no input column, in any case, meets a name that the operator uses.  ``named``:
+    parameters that hold names of input columns (``drop`` may hold several).  The result
+    has the input columns under their names again, without those dropped and those
+    named like a result (in any case), then the operator's results.
+    """
+    def wrap(op: Callable) -> Callable:
+        signature = inspect.signature(op)
+
+        @functools.wraps(op)
+        def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+            call = signature.bind(df, *args, **kwargs)
+            call.apply_defaults()
+            own = [f"__c{i}" for i in range(len(df.columns))]
+            at = {c.lower(): o for c, o in zip(df.columns, own)}
+            for p in named:
+                call.arguments[p] = at[call.arguments[p].lower()]
+            if "drop" in call.arguments:
+                call.arguments["drop"] = tuple(at[c.lower()] for c in call.arguments["drop"])
+            call.arguments[next(iter(signature.parameters))] = df.toDF(*own)
+            out = op(*call.args, **call.kwargs)
+            results = [c for c in out.columns if c not in own]
+            taken = {c.lower() for c in results}
+            back = [F.col(o).alias(c) for c, o in zip(df.columns, own) if o in out.columns and c.lower() not in taken]
+            return out.select(*back, *results)
+
+        return run
+
+    return wrap
+
+
+def counted(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, broadcast if its count is within the bound."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 1 << 16, size: int = 8 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of complete groups and the first row of each group, from batches sorted by their first ``keys`` columns.
 

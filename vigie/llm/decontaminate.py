@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm.common import let, read, written
+from vigie.llm.common import let, private_columns, read, written
 
 WINDOW = 13
 GRAM = 5
@@ -119,6 +119,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text:
     return tagged.drop("__fps"), n_hit.join(names, key), spans
 
 
+@private_columns("text")
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", bench_text: str = "text",
                   item_id: str = "item_id", drop: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs`` with n_words, n_hit, n_items, items and contaminated.

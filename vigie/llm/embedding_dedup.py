@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm.common import fresh, read, whole_groups, written
+from vigie.llm.common import fresh, private_columns, read, whole_groups, written
 from vigie.llm.components import components
 
 PASSES, BITS, WINDOW = 16, 32, 32
@@ -215,6 +215,7 @@ def _link_counts(members: DataFrame, cosine: float) -> DataFrame:
     return tasks.mapInArrow(_counts(cosine), "cid long, links long").groupBy("cid").agg(F.sum("links").alias("links"))
 
 
+@private_columns("vec", "label", "id_col")
 def with_duplicates(df: DataFrame, cosine: float = 0.98, vec: str = "embedding", label: str = "label",
                     id_col: str = "vec_id") -> DataFrame:
     """The rows of ``df`` with ``n_links``, ``component_id`` and ``kept``.

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigie.llm.common import let, read, written
+from vigie.llm.common import let, private_columns, read, written
 
 # Identifiers of licence sentences and their text.
 SENTENCES = {
@@ -110,6 +110,7 @@ def _outermost(d: DataFrame, start: str, end: str) -> DataFrame:
     return d.withColumn("__before", before).where(F.col("__before").isNull() | (F.col(end) > F.col("__before"))).drop("__before")
 
 
+@private_columns("text")
 def scan(df: DataFrame, text: str = "text", sentences: dict[str, str] = SENTENCES,
          rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES, drop: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``df`` with licences, sentence_ids (both in text order), n_matches and n_sentences.

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm.common import fresh, read, written
+from vigie.llm.common import fresh, private_columns, read, text_tag, written
 from vigie.llm.components import components
 
 SIMILARITY = 0.8
@@ -153,7 +153,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
 def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFrame:
     """(doc, tag, no): the places whose line is kept elsewhere."""
-    lines = _lines(df, text, F.col(id_col).cast("long").alias("doc"), F.hash(F.col(text)).alias("tag"))
+    lines = _lines(df, text, F.col(id_col).cast("long").alias("doc"), text_tag(F.col(text)).alias("tag"))
     places = written(lines.select("doc", "tag", "no", "id"), "places")
     signatures = written(_signatures(lines.select("id", "line")), "signatures")
     rows = buckets(signatures)
@@ -176,6 +176,7 @@ def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFr
     return each.join(keeper, "root").where("at > first").select("doc", "tag", "no")
 
 
+@private_columns("text", "id_col")
 def dedup(df: DataFrame, text: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``df`` without the lines kept elsewhere, and removed_lines (positions from 0), n_lines, n_removed.
 
@@ -190,7 +191,7 @@ def dedup(df: DataFrame, text: str = "text", id_col: str = "doc_id", similarity:
     gone = _removed(d, text, id_col, similarity).groupBy("doc", "tag").agg(F.collect_set("no").alias("__no"))
     gone = gone.withColumnsRenamed({"doc": "__doc", "tag": "__tag"})
     k_id, k_tag = fresh(d.withColumns({"__doc": F.lit(0), "__tag": F.lit(0), "__no": F.lit(0)}), "__key", "__hash")
-    d = d.select("*", F.col(id_col).cast("long").alias(k_id), F.hash(F.col(text)).alias(k_tag))
+    d = d.select("*", F.col(id_col).cast("long").alias(k_id), text_tag(F.col(text)).alias(k_tag))
     d = d.join(gone, d[k_id].eqNullSafe(gone["__doc"]) & (d[k_tag] == gone["__tag"]), "left")
     lines = F.split(F.col(text), "\n")
     # the positions that stay, as a difference of sets, then their lines in order

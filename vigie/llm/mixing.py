@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigie.llm.common import SPACES, read, written
+from vigie.llm.common import SPACES, private_columns, read, written
 
 SLICE_ROWS = 20_000
 UNIT = 1 << 32
@@ -86,6 +86,7 @@ def with_copies(df: DataFrame, expected: str, group: Column, order_class: Column
     return d.withColumn(out, crossed).drop(*keys, "__tie", "__start", "__end")
 
 
+@private_columns("text", "source", "id_col")
 def mix(df: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), text: str = "text", source: str = "source",
         id_col: str = "doc_id", drop: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``df`` with size, source_size, target, copies and taken (= copies x size).

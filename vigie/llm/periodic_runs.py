@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigie.llm.common import fresh, let, read, words_of
+from vigie.llm.common import fresh, let, private_columns, read, words_of
 
 MIN_WORDS, MIN_PERIODS = 6, 4
 #: periods below are compared directly; also the first scale
@@ -177,6 +177,7 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield begin, len(size) - begin
 
 
+@private_columns("text")
 def with_runs(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` with ``runs`` and ``collapsed``.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigie.llm.common import read, written
+from vigie.llm.common import private_columns, read, written
 
 PASSAGE_WORDS = 96
 #: bytes encoded at once; bounds a task's memory.  A longer text is encoded in
@@ -259,6 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     return train([np.frombuffer(r.x, "<f4").reshape(-1, N_FEATURES) for r in rows], y)
 
 
+@private_columns("text")
 def score(docs: DataFrame, model: MilModel, text: str = "text", threshold: float = 0.3,
           drop: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs`` without ``drop``, with score (0 to 1) and predicted (1 if score >= threshold).

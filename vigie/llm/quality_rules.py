@@ -18,10 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigie.llm.common import SPACES, let, read, with_results, words_of, written
+from vigie.llm.common import SPACES, counted, let, private_columns, read, with_results, words_of, written
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _X = ("x0", "x1", "x2", "x3", "x4")
+#: rows of a table with one row per group and coordinate that are broadcast (some 10 MB)
+GROUP_ROWS = 100_000
 _P = len(_X)
 
 
@@ -164,7 +166,8 @@ def fit(vectors: DataFrame, p: QualityParams) -> DataFrame:
     and aggregates; nothing is collected.
     """
     long = vectors.select("grp", "w", F.posexplode(F.array(*_X)).alias("dim", "x"))
-    med = _cut(long, ["grp", "dim"], "x", "w", 0.5, "med")
+    # one row per group, or group and coordinate: broadcast by count, so a group with very many vectors is not dealt to one task
+    med = counted(written(_cut(long, ["grp", "dim"], "x", "w", 0.5, "med"), "medians"), GROUP_ROWS)
     dev = long.join(med, ["grp", "dim"]).withColumn("x", F.abs(F.col("x") - F.col("med")))
     mad = _cut(dev, ["grp", "dim"], "x", "w", 0.5, "mad").join(med, ["grp", "dim"])
     floors = F.element_at(F.array(*[F.lit(f) for f in p.scale_floor]), F.col("dim") + 1)
@@ -177,9 +180,10 @@ def fit(vectors: DataFrame, p: QualityParams) -> DataFrame:
     classic = _cholesky(_moments(vectors, ["grp"]), ["grp"], p.scale_floor).withColumn("start", F.lit(1)).select(*cols)
     est = written(est.unionByName(classic), "mcd")
     for _ in range(p.steps):
-        d = _distance(vectors.join(est, "grp"), "d2")
+        d = _distance(vectors.join(counted(est, GROUP_ROWS), "grp"), "d2")
         d = d.withColumn("bin", F.least(F.lit(6000), F.floor(200 * F.log1p("d2"))).cast("long"))
         cut = _cut(d, ["grp", "start"], "bin", "w", p.support, "cut")
+        cut = counted(written(cut, "cuts"), GROUP_ROWS)
         core = d.join(cut, ["grp", "start"]).where("bin <= cut").select("grp", "start", "w", *_X)
         full = _cholesky(_moments(core, ["grp", "start"]), ["grp", "start"], p.scale_floor)
         est = written(full.select(*cols, "n", "logdet"), "mcd")
@@ -188,6 +192,7 @@ def fit(vectors: DataFrame, p: QualityParams) -> DataFrame:
     return est.join(best, ["grp", "start"]).join(rows, "grp")
 
 
+@private_columns("text", "lang", "source")
 def judge(df: DataFrame, params: QualityParams = QualityParams(), text: str = "text", lang: str = "lang",
           source: str = "source", drop: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``df`` with the base statistics, ``base_failed``, ``distance`` and ``kept``.
@@ -219,16 +224,9 @@ def judge(df: DataFrame, params: QualityParams = QualityParams(), text: str = "t
     use = est.select("grp", F.struct(*[f"m{i}" for i in range(_P)], *[f"l{i}{j}" for i in range(_P) for j in range(i + 1)]).alias("e"))
     use = groups.join(use, "grp").groupBy("__lang", "__src").agg(F.min_by("e", "level").alias("e"))
     use = written(use.select("__lang", "__src", "e.*"), "estimates")
-    out = d.withColumnsRenamed({f"__{x}": x for x in _X}) if not set(_X) & set(df.columns) else None
-    if out is None:  # an input column is named like a coordinate: keep it aside
-        aside = {x: f"__in_{x}" for x in _X if x in df.columns}
-        out = d.withColumnsRenamed(aside).withColumnsRenamed({f"__{x}": x for x in _X})
-    else:
-        aside = {}
     est_cols = [c for c in use.columns if c not in ("__lang", "__src")]
-    clash = {c: f"__in_{c}" for c in est_cols if c in out.columns}
-    out = _distance(out.withColumnsRenamed(clash).join(use, ["__lang", "__src"], "left"), "distance")
-    out = out.drop(*_X, *est_cols, "__lang", "__src").withColumnsRenamed({v: k for k, v in (aside | clash).items()})
+    out = _distance(d.withColumnsRenamed({f"__{x}": x for x in _X}).join(use, ["__lang", "__src"], "left"), "distance")
+    out = out.drop(*_X, *est_cols, "__lang", "__src")
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= p.cutoff, F.lit(True)))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from vigie.llm.common import fresh, read, written
+from vigie.llm.common import fresh, private_columns, read, written
 from vigie.llm.components import components
 
 PIVOTS = 16
@@ -161,6 +161,7 @@ def near_duplicates(df: DataFrame, max_bits: int = 3, k: int = 3, text: str = "t
     return tagged, written(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
 
 
+@private_columns("text", "id_col")
 def with_components(df: DataFrame, max_bits: int = 3, k: int = 3, text: str = "text",
                     id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df`` with ``fingerprint`` (16 hexadecimal digits) and ``component_id``.
