@@ -45,6 +45,13 @@ def snapshot(panel: DataFrame, month: str, date_max: str | None, columns: tuple[
     return table
 
 
+def _with_snapshot(df: DataFrame, snap: DataFrame) -> DataFrame:
+    """Left join on siret and siren.  Only siret is a join key, so a table stored by siret is joined as it lies."""
+    snap = snap.withColumnsRenamed({"siret": "__siret", "siren": "__siren"})
+    same_firm = F.coalesce(df["siren"] == snap["__siren"], F.lit(False))
+    return df.join(snap, (df["siret"] == snap["__siret"]) & same_firm, "left").drop("__siret", "__siren")
+
+
 def attach_debt_snapshots(df: DataFrame, panel: DataFrame, july: str = "2020-07-01",
                           latest: str = "2021-01-01", sample_size: int | None = None) -> DataFrame:
     """``df`` + the five snapshot columns (left joins on siret, siren)."""
@@ -53,7 +60,7 @@ def attach_debt_snapshots(df: DataFrame, panel: DataFrame, july: str = "2020-07-
     latest_snap = snapshot(panel, latest, None,
                            ("montant_part_ouvriere", "montant_part_patronale", "cotisation_moy12m"),
                            "_latest", sample_size)
-    out = df.join(july_snap, ["siret", "siren"], "left").join(latest_snap, ["siret", "siren"], "left")
+    out = _with_snapshot(_with_snapshot(df, july_snap), latest_snap)
     return out.select(*df.columns, *SNAPSHOT_COLUMNS)
 
 

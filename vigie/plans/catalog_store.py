@@ -9,14 +9,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigie.operators import curves, metrics
+from vigie.operators import clean, curves, metrics
+from vigie.operators.adjust import attach_debt_snapshots
 from vigie.operators.dataset import fetch
+from vigie.operators.split import exclude_train_firms
 from vigie.plans import params as P
-from vigie.plans.catalog import ALL_FROM, ALL_TO, FIXED_SCORE_SQL, PREDICT, WHOLE, finalize, fixed_score, panel, register, scan_sql
+from vigie.plans.catalog import (ALL_FROM, ALL_TO, FIXED_SCORE_SQL, KEY_FIELDS, ORACLE, PREDICT, TEST, TRAIN, WHOLE, finalize, fixed_score, panel,
+                                 register, scan_sql)
+from vigie.plans.catalog_scores import _TRAIN_FIELDS as TRAIN_FIELDS
 from vigie.plans.catalog_scores import CURVE_CTES, SCORED_CTE, scored
+from vigie.plans.catalog_scores import _predict_scored as predict_scored
 from vigie.plans.oracle_panel import with_panel
+from vigie.plans.pipeline import DEFAULT_PIPELINE, run_pipeline
+from vigie.schema import IGNORE_NA
 from vigie.session import checkpoint_dir
 from vigie.sources import io
+from vigie.sources.bucketed import bucketed_table
 from vigie.sources.exports import read_export
 from vigie.sources.publish import Publication
 from vigie.sources.quarantine import read_checked, siret_rules
@@ -125,3 +133,20 @@ def q_run_publication(spark, sf):
     read = [io.read_predictions(spark, f"{path}/predictions").select(F.lit(run).alias("run"), "siret", "siren", "predicted_probability")
             for run, path in publication.runs().items() if publication.verify(run)]
     return finalize(reduce(DataFrame.unionByName, read))
+
+
+# ---- J1, J2: the panel stored by firm, and by establishment
+
+@register("bucketed_exclude", ORACLE["exclude_train_firms"])
+def q_bucketed_exclude(spark, sf):
+    """Test rows of firms not seen in training, from a panel stored by firm: neither side is dealt again."""
+    rows = bucketed_table(panel(spark, sf), "siren")
+    train = clean.remove_na(clean.replace_missing_data(fetch(rows, TRAIN.with_(fields=TRAIN_FIELDS))), IGNORE_NA)
+    return finalize(exclude_train_firms(fetch(rows, TEST.with_(fields=KEY_FIELDS)), run_pipeline(train, DEFAULT_PIPELINE)))
+
+
+@register("bucketed_snapshots", ORACLE["debt_snapshots"])
+def q_bucketed_snapshots(spark, sf):
+    """Debt snapshots joined to rows stored by establishment."""
+    rows = bucketed_table(predict_scored(spark, sf), "siret")
+    return finalize(attach_debt_snapshots(rows, panel(spark, sf), P.JULY_SNAPSHOT, P.LATEST_SNAPSHOT))
