@@ -26,7 +26,9 @@ from vigie.plans.catalog import (ALL_FROM, ALL_TO, WHOLE, DEFAULT_PIPELINE, PAYD
                                  finalize, panel, register, scan_sql)
 from vigie.plans.catalog_scores import ALGO, BATCH, FLAG_SQL, MODELS_CTES, MONTH_A, _model_scores
 from vigie.plans.oracle_panel import with_panel
-from vigie.plans.specs import DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT, DEFAULT_VARIABLES, default_model
+from vigie.plans.pipeline import SMALL_PIPELINE
+from vigie.plans.specs import (DEFAULT_FEATURE_GROUPS, DEFAULT_ONEHOT, DEFAULT_VARIABLES, SMALL_FEATURE_GROUPS, SMALL_VARIABLES,
+                               default_model)
 from vigie.session import checkpoint_dir, written_table
 from vigie.schema import PANEL_COLUMNS
 from vigie.sources import io
@@ -261,6 +263,18 @@ def _gradient(train: DataFrame, model: LinearModel) -> DataFrame:
     return one.select(F.explode(F.array(*parts)).alias("r")).select("r.name", rounded.alias("gradient"))
 
 
+# ---- P16: the small model, fitted
+
+_SMALL_NAMES = [f for fs in SMALL_FEATURE_GROUPS.values() for f in fs]
+
+
+@register("small_gradient", " UNION ALL ".join(f"SELECT '{c}' AS name, 0.0::DOUBLE AS gradient" for c in ["intercept", *_SMALL_NAMES]))
+def q_small_gradient(spark, sf):
+    """Mean gradient of the small model at its fitted weights, on training rows of every establishment."""
+    train = _prepared(spark, sf, TRAIN.with_(fields=SMALL_VARIABLES), SMALL_PIPELINE)
+    return finalize(_gradient(train, fit_logistic(train, SMALL_FEATURE_GROUPS, ())))
+
+
 # ---- P6, P9: the models of a cross-validation
 
 @register("cv_gradient", with_panel(
