@@ -53,7 +53,7 @@ def test_no_documents(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
     assert {"pipeline", *queries.QUERIES} <= set(entry.queries())
 
 
