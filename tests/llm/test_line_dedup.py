@@ -158,7 +158,7 @@ def test_rest_is_an_exact_join(spark):
     none = spark.createDataFrame([], "node long, root long")
     texts = df.select("id", "line")
     pairs = D.rest(texts.select(D.F.lit(1).alias("key"), "id"), texts, none)
-    got = sorted(sorted((name[r.a], name[r.b])) for r in D.verified(pairs, texts).collect())
+    got = sorted(sorted((name[r.a], name[r.b])) for r in D.verified(pairs, D.sized(texts)).collect())
     want = sorted(sorted((a, b)) for k, a in enumerate(lines) for b in lines[:k] if similar(a, b))
     assert got == want and len(want) > 60
 

@@ -5,7 +5,7 @@ merges).  All 5-character shingles of a line, whatever its length, give its
 minimum hashes by one aggregation (copies of a line fold into it), so a
 signature estimates the similarity that is verified.  Lines that share a band of
 five minima are candidates.  A candidate pair is verified by the exact Jaccard
-similarity of its sets of 5-character shingles.  Verified pairs are links; one
+similarity of its sets of 5-character shingles, after a test of the sets' sizes.  Verified pairs are links; one
 line per component stays, the first by document id and position.
 
 Buckets: in one of up to ``ALL_PAIRS`` lines every pair is a candidate.  In a
@@ -23,11 +23,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigie.llm.common import fresh, private_columns, read, text_tag, written
+from vigie.llm.common import fresh, let, private_columns, read, text_tag, written
 from vigie.llm.components import components
 
 SIMILARITY = 0.8
 HASHES = 30
+#: products of a shingle's hash; each gives HASHES / MIXES of the orders
+MIXES = 6
 #: hashes of each band, every hash in three: of pairs at 0.8, 0.99 share a band (at 0.85, 0.998)
 BANDS = ((8, 11, 12, 20, 24), (10, 14, 18, 21, 28), (2, 15, 16, 19, 22), (6, 13, 25, 27, 29), (1, 5, 17, 23, 26), (0, 3, 4, 7, 9),
          (5, 16, 18, 26, 27), (0, 10, 12, 14, 17), (1, 3, 9, 11, 25), (4, 6, 15, 20, 29), (2, 8, 19, 23, 28), (7, 13, 21, 22, 24),
@@ -35,7 +37,6 @@ BANDS = ((8, 11, 12, 20, 24), (10, 14, 18, 21, 28), (2, 15, 16, 19, 22), (6, 13,
 #: chance pairs agree in some 5 + 8 two-bit ends of the minima; of pairs at 0.8 in a band about 1 in 10^5 has fewer than this
 AGREE = 18
 ALL_PAIRS = 32
-_FIVE = r"(?s)(?=(.{5}))"
 #: a table of numbers is broadcast up to this many rows, by count (some 50 MB)
 BROADCAST_ROWS = 1 << 21
 
@@ -52,11 +53,6 @@ def _lines(df: DataFrame, text: str, *more: Column) -> DataFrame:
     return d.withColumn("id", F.xxhash64("line"))
 
 
-def shingles(line: Column) -> Column:
-    """All 5-character shingles with repeats; a shorter line is its own shingle."""
-    return F.when(F.length(line) < 5, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(_FIVE), F.lit(1)))
-
-
 def _hashes(lines: DataFrame) -> DataFrame:
     """(id, h): the hashes of all shingles with repeats.  Four bytes a character, so a shingle is a slice of bytes."""
     d = lines.select("id", F.encode("line", "UTF-32").alias("u"))
@@ -66,12 +62,21 @@ def _hashes(lines: DataFrame) -> DataFrame:
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """id -> m0.., the minimum of each of ``HASHES`` orders of its shingles' hashes."""
+    """id -> m0.., the minimum of each of ``HASHES`` orders of its shingles' hashes.
+
+    ``MIXES`` products of the hash are each read in several orders: a value with a fixed mask flipped
+    is one to one, so every order has a random first shingle, and masks that differ at the top look
+    into different parts of the values.
+    """
+    rng = np.random.default_rng(5)
+    # a mix = the middle bits of the product (below 2^63) with an odd constant
+    odd = rng.integers(1 << 30, 1 << 31, MIXES) * 2 + 1
+    each = HASHES // MIXES
+    masks = [int((j << 31) // each + rng.integers((1 << 31) // each)) for j in range(each) for _ in range(MIXES)]
     d = _hashes(lines).select("id", F.shiftrightunsigned("h", 33).alias("h"))
-    # an order = the middle bits of the product (below 2^63) with an odd constant
-    odd = np.random.default_rng(5).integers(1 << 30, 1 << 31, HASHES) * 2 + 1
-    return d.groupBy("id").agg(*[F.min(F.shiftright(F.col("h") * F.lit(int(c)), 15).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias(f"m{i}")
-                                 for i, c in enumerate(odd)])
+    d = d.select("id", *[F.shiftright(F.col("h") * F.lit(int(c)), 15).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias(f"g{k}")
+                         for k, c in enumerate(odd)])
+    return d.groupBy("id").agg(*[F.min(F.col(f"g{i % MIXES}").bitwiseXOR(F.lit(x))).alias(f"m{i}") for i, x in enumerate(masks)])
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -141,14 +146,30 @@ def rest(large: DataFrame, texts: DataFrame, root: DataFrame, similarity: float
     return found[0].unionByName(found[1]).distinct()
 
 
+def _shingle_hashes(line: Column) -> Column:
+    """64-bit hashes of all 5-character shingles of a line, with repeats, as an array."""
+    last = F.greatest(F.length(line) - 5, F.lit(0))
+    return let(F.encode(line, "UTF-32"), lambda u: F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(u, i * 4 + 1, F.lit(20)))))
+
+
+def sized(texts: DataFrame) -> DataFrame:
+    """(id, line) with d, the number of different shingles."""
+    return texts.withColumn("d", F.size(F.array_distinct(_shingle_hashes(F.col("line")))))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs whose lines' sets of 5-character shingles have at least this Jaccard similarity."""
-    d = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a") \
-        .join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b")
-    d = d.select("a", "b", F.array_distinct(shingles(F.col("la"))).alias("sa"), F.array_distinct(shingles(F.col("lb"))).alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    d = written(d.select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("t")), "similarities")
-    return d.where(F.col("i") >= F.lit(similarity) * (F.col("t") - F.col("i"))).select("a", "b")
+    """The pairs of ``sized`` texts whose sets of 5-character shingles have at least this Jaccard similarity.
+
+    Shingles are compared by 64-bit hashes: two of a pair's n shingles agree by chance once in
+    2^65 / n^2 pairs.  A pair whose sizes alone rule the similarity out is not compared.
+    """
+    s = F.lit(similarity)
+    sides = [texts.select(F.col("id").alias(x), F.col("d").alias(f"{x}_d"), F.col("line").alias(f"{x}_line")) for x in "ab"]
+    d = pairs.join(sides[0], "a").join(sides[1], "b").where(F.least("a_d", "b_d") >= s * F.greatest("a_d", "b_d"))
+    both = F.size(F.array_intersect(_shingle_hashes(F.col("a_line")), _shingle_hashes(F.col("b_line"))))
+    d = written(d.select("a", "b", both.alias("i"), (F.col("a_d") + F.col("b_d")).alias("t")), "similarities")
+    return d.where(F.col("i") >= s * (F.col("t") - F.col("i"))).select("a", "b")
 
 
 def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFrame:
@@ -160,7 +181,7 @@ def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFr
     pairs = written(_near(rows), "line-pairs")
     ids = _counted(written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids"))
     texts = _lines(df, text).select("id", "line").join(ids, "id", "left_semi")
-    texts = written(texts.groupBy("id").agg(F.min("line").alias("line")), "line-texts")
+    texts = written(sized(texts.groupBy("id").agg(F.min("line").alias("line"))), "line-texts")
     links = verified(pairs, texts, similarity)
     root = components(links)
     large = rows.where(F.col("n") > ALL_PAIRS).select("key", "id")
