@@ -48,7 +48,9 @@ def _counted(df: DataFrame) -> DataFrame:
 
 def _lines(df: DataFrame, text: str, *more: Column) -> DataFrame:
     """(more.., no, line, id): the lines of every text that hold a character other than white space."""
-    d = df.select(*more, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("no", "line"))
+    # ``more`` is worked out once a text, before its lines become rows
+    d = df.select(F.split(F.coalesce(F.col(text), F.lit("")), "\n").alias("lines"), *more)
+    d = d.select(*d.columns[1:], F.posexplode("lines").alias("no", "line"))
     d = d.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     return d.withColumn("id", F.xxhash64("line"))
 
