@@ -94,3 +94,19 @@ def test_the_look_back_reads_twelve_months_of_changed_customers_only(spark, scra
         F.lit("1999-12-01").cast("date"), -12))).join(fresh.select("o_custkey").distinct(), "o_custkey", "left_semi")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(periode" in text and "1998-12-01" in text
+
+
+def operators(df):
+    """How often the plan before adaptive changes deals rows by a hash and sorts them."""
+    plan = df._jdf.queryExecution().sparkPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+    return plan[1].count("Exchange hashpartitioning"), plan[1].count("Sort [")
+
+
+def test_panel_rows_move_and_are_sorted_once_after_the_join(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # line items, orders and customers move once; the summed orders once more, for months, attributes and windows
+        assert operators(build_panel(spark, SF)) == (4, 3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

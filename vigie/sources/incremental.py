@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigie.schema import PANEL_COLUMNS
-from vigie.sources.panel import described, history_columns, monthly_rows, time_til_outcome, with_outcome
+from vigie.sources.panel import attributed, described, history_columns, monthly_rows, time_til_outcome, with_outcome
 
 #: months that a window of the panel may look back
 LOOK_BACK = 12
@@ -49,8 +49,8 @@ class PanelStore:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
     def _write(self, df: DataFrame, name: str, by: str = "periode") -> None:
-        """Replace the partitions that ``df`` holds; others stay as they are."""
-        (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        """Replace the partitions that ``df`` (rebalanced by its caller) holds; others stay as they are."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(by).parquet(f"{self.path}/{name}"))
 
     def _log(self) -> list[tuple[int, str, str]]:
@@ -93,7 +93,7 @@ class PanelStore:
         if there and until is not None and until < there[-1]:
             raise ValueError(f"the store goes up to {there[-1]}: {until} would cut its months")
 
-        self._write(monthly_rows(self.spark, sf_dir, since, until), "monthly")
+        self._write(monthly_rows(self.spark, sf_dir, since, until).hint("rebalance", "periode"), "monthly")
         monthly = self._table("monthly")
         if until is not None:
             monthly = monthly.where(F.col("periode") < F.lit(until).cast("date"))
@@ -109,7 +109,7 @@ class PanelStore:
         self._write(self._core(sf_dir, seen, known, since), "core")
 
         end = self._end(fresh, until)
-        self._write(self._advanced(known, fresh).withColumn("asof", F.lit(end).cast("date")), "state", "asof")
+        self._write(self._advanced(known, fresh).withColumn("asof", F.lit(end).cast("date")).hint("rebalance", "asof"), "state", "asof")
         # readers follow this line, written once the tables are complete
         line = f"{len(self._log())}|{since or ''}|{end}"
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/published")
@@ -140,7 +140,7 @@ class PanelStore:
 
     def _core(self, sf_dir: str, seen: DataFrame, known: DataFrame | None, since: str | None) -> DataFrame:
         """Panel rows of the new months, without the outcome."""
-        base = described(self.spark, sf_dir, seen)
+        base = attributed(self.spark, sf_dir, seen)
         by_month = Window.partitionBy("o_custkey").orderBy("mi")
         so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         is_new = F.lit(True) if since is None else F.col("periode") >= F.lit(since).cast("date")
@@ -156,7 +156,8 @@ class PanelStore:
             paydex = F.when(F.col("__before").isNull(), F.col("__p")).otherwise(paydex)
         stored = [c for c in PANEL_COLUMNS if c not in ("time_til_outcome", "outcome", "random_order")]
         rows = rows.withColumn("apart_heures_consommees_cumulees", hours).withColumn("paydex_nb_jours_past_12", paydex)
-        return rows.select("o_custkey", "mi", "c_acctbal", *stored)
+        # what a row alone gives is added after the rows have moved to their months
+        return described(rows.hint("rebalance", "periode")).select("o_custkey", "mi", "c_acctbal", *stored)
 
     # -- reading --------------------------------------------------------------
     def read(self) -> DataFrame:

@@ -15,13 +15,14 @@ Plan shape (what a 100 TB run does):
 1. ``lineitem ⋈ orders`` on the order key — the one large equi-join (sort-merge,
    both sides hash-partitioned on the key; co-located for free when both tables
    are bucketed by order key).  Only the needed columns reach the scan.
-2. ``groupBy(custkey, month)`` with partial (map-side) aggregation — this
-   shrinks line items to one row per establishment-month before the shuffle.
-3. join with ``customer`` on custkey (shuffle or AQE broadcast, chosen by Spark
-   from the real size); ``nation``/``region`` are broadcast: 25 and 5 rows by
+2. the lines of an order are summed where the join put them, then one shuffle
+   deals orders by custkey; ``groupBy(custkey, month)`` needs no other.
+3. join with ``customer`` on custkey (customers hashed: the monthly rows are not
+   sorted for it); ``nation``/``region`` are broadcast: 25 and 5 rows by
    definition of the schema.
 4. all windows are partitioned by custkey (= siret), the same partitioning as
-   step 3, and ordered by month: one sort, no further exchange.  A window
+   steps 2 and 3, and ordered by month: one sort, no further exchange.  Columns
+   that need nothing but their row are added after the last shuffle.  A window
    partition holds the months of one establishment (at most a few hundred
    rows) so a hot customer cannot create a giant window partition.
 
@@ -35,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
@@ -67,41 +69,48 @@ def hash_unit(*cols: Column) -> Column:
 
 def monthly_rows(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """One row per customer and month: the line items of the orders from ``since`` on and before ``until``."""
+    # what is shuffled are numbers: dates as days, flags as one-byte codes
+    code = lambda c, *letters: reduce(lambda w, i: w.when(F.col(c) == letters[i], F.lit(i)), range(1, len(letters)),
+                                      F.when(F.col(c) == letters[0], F.lit(0))).cast("tinyint").alias(c)
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+        "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", code("l_returnflag", "N", "R", "A"),
+        code("l_linestatus", "O", "F"), F.to_date("l_shipdate").alias("l_shipdate"))
+    orders = read_table(spark, sf_dir, "orders")
     if since is not None:
         orders = orders.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
         orders = orders.where(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
+    orders = orders.select("o_orderkey", "o_custkey", (F.col("o_orderstatus") == "F").alias("_f"), F.to_date("o_orderdate").alias("_day"))
     lines = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     qty, ext, disc, tax = (F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     rflag, lstat = F.col("l_returnflag"), F.col("l_linestatus")
-    days = F.abs(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))) % 121
-
-    return lines.groupBy(
-        "o_custkey",
-        F.to_date(F.date_trunc("month", "o_orderdate")).alias("periode"),
-    ).agg(
-        F.sum(F.when(rflag == "N", qty)).alias("effectif"),
-        F.round(F.sum(F.when(rflag == "R", ext * tax)), 4).alias("montant_part_ouvriere"),
-        F.round(F.sum(F.when(rflag == "A", ext * disc)), 4).alias("montant_part_patronale"),
-        F.round(F.sum(ext), 2).alias("_ca"),
-        F.sum(F.when(lstat == "O", qty)).alias("apart_heures_consommees"),
-        F.avg(F.when(lstat == "F", days)).alias("paydex_nb_jours"),
-        F.max(F.col("o_orderstatus") == "F").alias("_has_f"),
-        F.count(F.lit(1)).alias("_n"),
-        F.min(qty).alias("_qmin"), F.max(qty).alias("_qmax"),
-        F.min(disc).alias("_dmin"), F.max(disc).alias("_dmax"),
-        F.min(tax).alias("_tmin"), F.max(tax).alias("_tmax"),
-        F.min(ext).alias("_emin"), F.max(ext).alias("_emax"),
-    )
-
-
-def described(spark: SparkSession, sf_dir: str, monthly: DataFrame) -> DataFrame:
-    """Monthly rows with ids, the customer's attributes and the ratios that need no other month."""
+    days = F.when(lstat == 1, F.abs(F.datediff("l_shipdate", "_day")) % 121)
+    extremes = {f"_{c}{f.__name__}": (f, e) for c, e in (("q", qty), ("d", disc), ("t", tax), ("e", ext)) for f in (F.min, F.max)}
+
+    # an order's lines are together after the join: summed there, without a shuffle, only orders move on
+    one = lines.groupBy("l_orderkey", "o_custkey", F.trunc("_day", "month").alias("periode")).agg(
+        F.sum(F.when(rflag == 0, qty)).alias("effectif"),
+        F.sum(F.when(rflag == 1, ext * tax)).alias("montant_part_ouvriere"),
+        F.sum(F.when(rflag == 2, ext * disc)).alias("montant_part_patronale"),
+        F.sum(ext).alias("_ca"),
+        F.sum(F.when(lstat == 0, qty)).alias("apart_heures_consommees"),
+        F.sum(days).alias("_days"), F.count(days).alias("_n_days"),
+        F.max("_f").alias("_has_f"), F.count(F.lit(1)).alias("_n"),
+        *[f(e).alias(n) for n, (f, e) in extremes.items()])
+    # dealt by customer: months, the customer's attributes and all windows need no further shuffle
+    return one.repartition("o_custkey").groupBy("o_custkey", "periode").agg(
+        F.sum("effectif").alias("effectif"),
+        F.round(F.sum("montant_part_ouvriere"), 4).alias("montant_part_ouvriere"),
+        F.round(F.sum("montant_part_patronale"), 4).alias("montant_part_patronale"),
+        F.round(F.sum("_ca"), 2).alias("_ca"),
+        F.sum("apart_heures_consommees").alias("apart_heures_consommees"),
+        F.try_divide(F.sum("_days").cast("double"), F.sum("_n_days")).alias("paydex_nb_jours"),
+        F.max("_has_f").alias("_has_f"), F.sum("_n").alias("_n"),
+        *[f(n).alias(n) for n, (f, _) in extremes.items()])
+
+
+def attributed(spark: SparkSession, sf_dir: str, monthly: DataFrame) -> DataFrame:
+    """Monthly rows with the customer's attributes and what the windows read; ``described`` adds the rest after them."""
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -109,8 +118,18 @@ def described(spark: SparkSession, sf_dir: str, monthly: DataFrame) -> DataFrame
     # nation (25 rows) and region (5 rows) are fixed-size dimension tables.
     geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    joined = monthly.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-
+    # hashed customers: the monthly rows are sorted once, for the windows
+    joined = monthly.join(cust.hint("shuffle_hash"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.drop("c_custkey", "n_nationkey", "n_regionkey", "r_regionkey").withColumns({
+        "mi": F.year("periode") * 12 + F.month("periode"),
+        "cotisation": F.col("_ca") / 10.0,
+        "ratio_dette": (F.coalesce("montant_part_ouvriere", F.lit(0.0)) + F.coalesce("montant_part_patronale", F.lit(0.0)))
+        / (F.col("_ca") / 10.0),
+    })
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """``attributed`` rows with ids, categories and the financial ratios: columns that need nothing but their row."""
     siren = F.lpad(F.floor(F.col("o_custkey") / 3).cast("string"), 9, "0")
     siret = F.concat(siren, F.lpad((F.col("o_custkey") % 3).cast("string"), 5, "0"))
     has_fin = F.col("c_mktsegment") != "FURNITURE"
@@ -128,24 +147,13 @@ def described(spark: SparkSession, sf_dir: str, monthly: DataFrame) -> DataFrame
         "rentabilite_nette": (F.col("_qmax") - F.col("_qmin")) / 50.0,
     }
     assert list(fin) == FINANCIAL_RATIOS
-
-    return joined.select(
-        "o_custkey", "periode",
-        (F.year("periode") * 12 + F.month("periode")).alias("mi"),
-        siren.alias("siren"), siret.alias("siret"),
-        "effectif", "montant_part_ouvriere", "montant_part_patronale",
-        (F.col("_ca") / 10.0).alias("cotisation"),
-        "apart_heures_consommees", "paydex_nb_jours", "_has_f", "c_acctbal",
-        F.when(F.col("c_nationkey") != 24, F.expr("chr(65 + c_nationkey)")).alias("code_naf"),
-        F.concat(F.col("c_mktsegment"), F.lit("-"), (F.col("c_nationkey") % 5).cast("string"))
-        .alias("code_ape_niveau3"),
-        F.col("r_name").alias("region"),
-        *[F.when(has_fin, e).alias(n) for n, e in fin.items()],
-    ).withColumn(
-        "ratio_dette",
-        (F.coalesce("montant_part_ouvriere", F.lit(0.0)) + F.coalesce("montant_part_patronale", F.lit(0.0)))
-        / F.col("cotisation"),
-    )
+    return rows.withColumns({
+        "siren": siren, "siret": siret,
+        "code_naf": F.when(F.col("c_nationkey") != 24, F.expr("chr(65 + c_nationkey)")),
+        "code_ape_niveau3": F.concat(F.col("c_mktsegment"), F.lit("-"), (F.col("c_nationkey") % 5).cast("string")),
+        "region": F.col("r_name"),
+        **{n: F.when(has_fin, e) for n, e in fin.items()},
+    })
 
 
 def history_columns(by_month: WindowSpec) -> dict[str, Column]:
@@ -159,9 +167,13 @@ def history_columns(by_month: WindowSpec) -> dict[str, Column]:
     return out
 
 
+def at_risk() -> Column:
+    return F.col("c_acctbal") < 3000
+
+
 def time_til_outcome(last_failure: Column) -> Column:
     """Months to the last failure (``last_failure`` in months) of a customer at risk."""
-    return F.when(F.col("c_acctbal") < 3000, last_failure - F.col("mi")).cast("int")
+    return F.when(at_risk(), last_failure - F.col("mi")).cast("int")
 
 
 def with_outcome(df: DataFrame) -> DataFrame:
@@ -169,22 +181,31 @@ def with_outcome(df: DataFrame) -> DataFrame:
         .withColumn("random_order", hash_unit(F.col("siret"), F.col("periode").cast("string")))
 
 
-def build_panel(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
-    """Lazy plan of the panel (see module docstring)."""
-    base = described(spark, sf_dir, monthly_rows(spark, sf_dir, until=until))
+def _windowed(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Rows of the panel before the columns that need nothing but their row."""
+    base = attributed(spark, sf_dir, monthly_rows(spark, sf_dir, until=until))
     by_month = Window.partitionBy("o_custkey").orderBy("mi")
     last_failure = F.max(F.when(F.col("_has_f"), F.col("mi"))).over(Window.partitionBy("o_custkey"))
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    panel = base.select(
+    return base.select(
         "*",
         F.sum("apart_heures_consommees").over(so_far).alias("apart_heures_consommees_cumulees"),
         F.lag("paydex_nb_jours").over(by_month).alias("paydex_nb_jours_past_12"),
-        time_til_outcome(last_failure).alias("time_til_outcome"),
+        last_failure.alias("_last_failure"),
         *[e.alias(n) for n, e in history_columns(by_month).items()],
     )
+
+
+def _finished(rows: DataFrame) -> DataFrame:
+    panel = described(rows).withColumn("time_til_outcome", time_til_outcome(F.col("_last_failure")))
     return with_outcome(panel).select(*PANEL_COLUMNS)
 
 
+def build_panel(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Lazy plan of the panel (see module docstring)."""
+    return _finished(_windowed(spark, sf_dir, until))
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Recipe version, place, and the listing (path, size, time) of all input files, as Spark sees them."""
     paths = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "nation", "region")]
@@ -236,8 +257,7 @@ def load_panel(spark: SparkSession, sf_dir: str, materialize: bool = True,
         if path is None:
             # a path of its own: no other session reads it before it is complete
             path = f"{root}/panel/{key[1]}-{uuid.uuid4().hex}"
-            (build_panel(spark, sf_dir)
-             .hint("rebalance", "periode")
+            (_finished(_windowed(spark, sf_dir).hint("rebalance", "periode"))
              .sortWithinPartitions("periode", "siret")
              .write.partitionBy("periode").parquet(path))
             spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("append").text(index)
