@@ -110,3 +110,11 @@ def test_panel_rows_move_and_are_sorted_once_after_the_join(spark):
         assert operators(build_panel(spark, SF)) == (4, 3)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_outcome_reads_the_snapshot_for_customers_at_risk_only(spark, scratch, whole):
+    store = PanelStore(spark, f"{scratch}/store")
+    store.append(SF)
+    found = store.read()
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == whole and found.where("time_til_outcome is null").count() > 0

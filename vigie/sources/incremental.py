@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigie.schema import PANEL_COLUMNS
-from vigie.sources.panel import attributed, described, history_columns, monthly_rows, time_til_outcome, with_outcome
+from vigie.sources.panel import at_risk, attributed, described, history_columns, monthly_rows, time_til_outcome, with_outcome
 
 #: months that a window of the panel may look back
 LOOK_BACK = 12
@@ -167,5 +167,9 @@ class PanelStore:
             raise ValueError("nothing was published yet")
         end = F.lit(there[-1]).cast("date")
         last = self._table("state").where(F.col("asof") == end).select("o_custkey", "last_failure")
-        core = self._table("core").where(F.col("periode") < end).join(last, "o_custkey", "left")
+        core = self._table("core").where(F.col("periode") < end)
+        # the outcome of a customer that is not at risk reads no failure: those rows need not meet the snapshot
+        risk = F.coalesce(at_risk(), F.lit(False))
+        core = core.where(risk).join(last, "o_custkey", "left") \
+            .unionByName(core.where(~risk).withColumn("last_failure", F.lit(None).cast(last.schema["last_failure"].dataType)))
         return with_outcome(core.withColumn("time_til_outcome", time_til_outcome(F.col("last_failure")))).select(*PANEL_COLUMNS)
