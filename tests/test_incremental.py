@@ -98,8 +98,8 @@ def test_the_look_back_reads_twelve_months_of_changed_customers_only(spark, scra
 
 def operators(df):
     """How often the plan before adaptive changes deals rows by a hash and sorts them."""
-    plan = df._jdf.queryExecution().sparkPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
-    return plan[1].count("Exchange hashpartitioning"), plan[1].count("Sort [")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("Sort [")
 
 
 def test_panel_rows_move_and_are_sorted_once_after_the_join(spark):
