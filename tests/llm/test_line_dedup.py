@@ -163,6 +163,43 @@ def test_rest_is_an_exact_join(spark):
     assert got == want and len(want) > 60
 
 
+def family(n, changes):
+    """Lines that each replace so many of the same 70 words; the words put in come from the same vocabulary."""
+    rng = random.Random(23)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(50)]
+    base, lines = [rng.choice(words) for _ in range(70)], set()
+    while len(lines) < n:
+        line = base[:]
+        for at in rng.sample(range(70), changes):
+            line[at] = rng.choice(words)
+        lines.add(" ".join(line))
+    return sorted(lines)
+
+
+def test_rest_leaves_out_pairs_that_cannot_be_similar(spark, monkeypatch):
+    """Near copies in two buckets, nearly all pairs below 0.8: all similar pairs and few others, in one place or in many."""
+    lines = family(60, 5)
+    df = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("id", D.F.xxhash64("line"))
+    name = {r.id: r.line for r in df.collect()}
+    none = spark.createDataFrame([], "node long, root long")
+    large = df.select(D.F.explode(D.F.array(D.F.lit(1), D.F.lit(2))).alias("key"), "id")
+    want = {frozenset((a, b)) for k, a in enumerate(lines) for b in lines[:k] if similar(a, b)}
+    got = []
+    for pairs in (1 << 27, 50):
+        monkeypatch.setattr(D, "PLACE_PAIRS", pairs, raising=False)
+        got.append([frozenset((name[r.a], name[r.b])) for r in D.rest(large, df.select("id", "line"), none).collect()])
+    assert set(got[0]) == set(got[1]) and len(got[0]) == len(set(got[0])) == len(got[1])
+    assert want <= set(got[0]) and len(want) >= 5 and len(got[0]) <= 100
+
+
+def test_first_place_is_kept(spark):
+    """Of copies and similar lines the first by id, then by position, stays, also within one document."""
+    long = "a line of some length that comes again and again in these documents, nearly"
+    rows = [(7, f"{long}\n{long}\n{long}!"), (3, f"own line\n{long}!\n{long}"), (5, long), (None, "x\nx")]
+    got = {r.doc_id: (r.text, r.removed_lines) for r in D.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {7: ("", [0, 1, 2]), 3: (f"own line\n{long}!", [2]), 5: ("", [0]), None: ("x", [1])}
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     df = spark.createDataFrame([(4, "same line here\nown"), (4, "same line here\nown"), (None, "same line here"), (9, "same line here")],
                                "doc_id long, text string")

@@ -8,11 +8,12 @@ five minima are candidates.  A candidate pair is verified by the exact Jaccard
 similarity of its sets of 5-character shingles, after a test of the sets' sizes.  Verified pairs are links; one
 line per component stays, the first by document id and position.
 
-Buckets: in one of up to ``ALL_PAIRS`` lines every pair is a candidate.  In a
-larger one the lines are first compared with the bucket's first line.  What is
-not yet one component is then joined exactly: an order of all shingles, rare
-ones first, and for every line the prefix that a similar line cannot miss
-(``rest``), so a large bucket gives every link that all its pairs would give.
+Buckets: every line of a bucket is first compared with the bucket's first line.
+Of the other pairs, only those are compared whose lines are not yet in one
+component.  In a bucket of up to ``ALL_PAIRS`` lines every such pair is a
+candidate; in a larger one those that a bound from sketches of the two shingle
+sets does not rule out (``rest``), so a large bucket gives every link that all
+its pairs would give.
 
 DataFrame functions only.
 """
@@ -37,6 +38,10 @@ BANDS = ((8, 11, 12, 20, 24), (10, 14, 18, 21, 28), (2, 15, 16, 19, 22), (6, 13,
 #: chance pairs agree in some 5 + 8 two-bit ends of the minima; of pairs at 0.8 in a band about 1 in 10^5 has fewer than this
 AGREE = 18
 ALL_PAIRS = 32
+#: 64-bit words of a sketch in ``rest``
+WORDS = 16
+#: pairs of a large bucket compared in one place
+PLACE_PAIRS = 1 << 27
 #: a table of numbers is broadcast up to this many rows, by count (some 50 MB)
 BROADCAST_ROWS = 1 << 21
 
@@ -81,12 +86,18 @@ def _signatures(lines: DataFrame) -> DataFrame:
     return d.groupBy("id").agg(*[F.min(F.col(f"g{i % MIXES}").bitwiseXOR(F.lit(x))).alias(f"m{i}") for i, x in enumerate(masks)])
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """All pairs a < b of ids with the same key whose minima agree in ``AGREE`` of the two-bit ends."""
-    a, b = (rows.select("key", F.col("id").alias(x), F.col("ends").alias(f"{x}_ends")) for x in "ab")
-    bits = F.col("a_ends").bitwiseXOR(F.col("b_ends"))
+def _agree(a: str, b: str) -> Column:
+    """Whether ``AGREE`` of the two-bit ends of two lines agree."""
+    bits = F.col(a).bitwiseXOR(F.col(b))
     differ = F.bit_count(bits.bitwiseOR(F.shiftright(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return a.join(b, "key").where("a < b").where(differ <= HASHES - AGREE).select("a", "b")
+    return differ <= HASHES - AGREE
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """All pairs a < b of ids with the same key whose minima agree; star: a is the key's first."""
+    a = rows.select("key", F.col("id").alias("a"), F.col("ends").alias("a_ends"), (F.col("id") == F.col("first")).alias("star"))
+    b = rows.select("key", F.col("id").alias("b"), F.col("ends").alias("b_ends"))
+    return a.join(b, "key").where("a < b").where(_agree("a_ends", "b_ends")).select("a", "b", "star")
 
 
 def buckets(signatures: DataFrame) -> DataFrame:
@@ -106,46 +117,63 @@ def buckets(signatures: DataFrame) -> DataFrame:
 
 
 def _near(rows: DataFrame) -> DataFrame:
-    """(a, b), a < b, distinct: all pairs of the small buckets; in large ones each line with the first."""
-    star = rows.where((F.col("n") > ALL_PAIRS) & (F.col("id") > F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
-    return _pairs(rows.where(F.col("n") <= ALL_PAIRS)).unionByName(star).distinct()
+    """(a, b, star), a < b, distinct: all pairs of the small buckets; in large ones each line with the first.  star: one is a bucket's first."""
+    star = rows.where((F.col("n") > ALL_PAIRS) & (F.col("id") > F.col("first")))
+    star = star.select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(True).alias("star"))
+    both = _pairs(rows.where(F.col("n") <= ALL_PAIRS)).unionByName(star)
+    return both.groupBy("a", "b").agg(F.max("star").alias("star"))
 
 
 def candidates(signatures: DataFrame) -> DataFrame:
     """(a, b), a < b, distinct: pairs of lines that share a band; in large buckets those of ``_near``."""
-    return _near(buckets(signatures))
+    return _near(buckets(signatures)).select("a", "b")
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """id -> d, the number of different shingles, and w0..: in bit b, whether an odd number of them has hash b.
+
+    Each shingle that only one of two lines has turns one bit, so the lines' sketches differ in at
+    most as many bits as there are such shingles.
+    """
+    def bits(hs: Column, k: Column) -> Column:
+        here = F.filter(hs, lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(WORDS - 1)) == k)
+        one = F.lit(1).cast("long")
+        return F.aggregate(here, F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))))
+
+    d = texts.select("id", let(F.array_distinct(_shingle_hashes(F.col("line"))), lambda hs: F.struct(
+        F.size(hs).alias("d"), F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: bits(hs, k)).alias("w"))).alias("s"))
+    return d.select("id", "s.d", *[F.col("s.w")[k].alias(f"w{k}") for k in range(WORDS)])
 
 
 def rest(large: DataFrame, texts: DataFrame, root: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b), a < b, distinct: in each of the buckets ``large`` (key, id), every similar pair of different roots, and some others.
 
-    In one order of all shingles, let the first common one of a pair be at i of
-    the d shingles of one line and at j of the e of the other: they have
-    min(d - i, e - j) in common at most.  So it is within the first (1 - s) d of
-    a line, and of the pair's smaller line within the first (1 - s) / (1 + s) d.
-    The lines of a bucket's largest component are not joined with each other.
+    Lines of d and e shingles are similar if at most (d + e) (1 - s) / (1 + s) shingles are in only
+    one of them; a pair whose sketches differ in more bits cannot be.
+    The lines of a bucket's largest component are not joined with each other, a
+    pair counts in the first of the buckets that hold both, and the pairs of a
+    very large bucket are compared in several places.
     """
     s, slack = similarity, 1e-6
     known = large.join(root.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     group = known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    group = group.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"))
-    known = known.join(group.where("roots > 1"), "key").select("key", "id", "root", (F.col("root") == F.col("main")).alias("inner"))
+    group = group.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"))
+    compared = (F.col("n") - F.col("main.n")).cast("double") * F.col("n")
+    group = group.where("roots > 1").select("key", F.col("main.root").alias("main"), (F.floor(compared / PLACE_PAIRS) + 1).cast("int").alias("parts"))
+    known = known.join(group, "key").select("key", "id", "root", (F.col("root") == F.col("main")).alias("inner"), "parts")
     known = written(known, "large-buckets")
-    each = written(_hashes(texts.join(_counted(written(known.select("id").distinct(), "large-ids")), "id", "left_semi")).distinct(), "large-shingles")
-    each = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")), "h")
-    each = each.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("hs"))
-    d = F.size("hs")
-    each = each.select("id", d.alias("d"), F.posexplode(F.slice("hs", 1, F.floor(d * (1 - s) + slack).cast("int") + 1)).alias("i", "h"))
-    each = each.select("id", "d", "i", F.col("h.h").alias("h"))
-    each = written(known.join(written(each, "large-prefixes"), "id"), "large-places")
-    x = each.where(F.col("i") <= F.col("d") * (1 - s) / (1 + s) + slack) \
-        .select("key", "h", *[F.col(c).alias(f"{c}_x") for c in ("id", "d", "i", "root", "inner")])
-    within = F.least(F.col("d_x") - F.col("i_x"), F.col("d") - F.col("i")) + slack >= (F.col("d_x") + F.col("d")) * (s / (1 + s))
-    fits = within & (F.col("root_x") != F.col("root")) & (F.struct("d_x", "id_x") < F.struct(F.col("d").alias("d_x"), F.col("id").alias("id_x")))
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.h") == F.col("y.h"))
-    found = [x.where(p).alias("x").join(each.where(q).alias("y"), same & fits).select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b"))
-             for p, q in (("not inner_x", "true"), ("inner_x", "not inner"))]
-    return found[0].unionByName(found[1]).distinct()
+    ids = _counted(written(known.groupBy("id").agg(F.collect_list("key").alias("keys")), "large-ids"))
+    each = written(known.join(_sketches(texts.join(ids.select("id"), "id", "left_semi")), "id").join(ids, "id"), "large-places")
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    x = each.where("not inner").select("key", part.alias("part"), *[F.col(c).alias(f"{c}_x") for c in each.columns if c not in ("key", "parts", "inner")])
+    y = each.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    once = (F.col("root_x") != F.col("root")) & (F.col("inner") | (F.col("id_x") < F.col("id")))
+    size = F.least("d_x", "d") >= F.greatest("d_x", "d") * s - slack
+    bits = sum((F.bit_count(F.col(f"w{k}_x").bitwiseXOR(F.col(f"w{k}"))) for k in range(1, WORDS)), F.bit_count(F.col("w0_x").bitwiseXOR(F.col("w0"))))
+    first = F.array_min(F.array_intersect("keys_x", "keys")) == F.col("y.key")
+    fits = once & size & (bits <= (F.col("d_x") + F.col("d")) * ((1 - s) / (1 + s)) + slack) & first
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part"))
+    return x.alias("x").join(y.alias("y"), same & fits).select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b")).distinct()
 
 
 def _shingle_hashes(line: Column) -> Column:
@@ -182,21 +210,30 @@ def _removed(df: DataFrame, text: str, id_col: str, similarity: float) -> DataFr
     rows = buckets(signatures)
     pairs = written(_near(rows), "line-pairs")
     ids = _counted(written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids"))
-    texts = _lines(df, text).select("id", "line").join(ids, "id", "left_semi")
-    texts = written(sized(texts.groupBy("id").agg(F.min("line").alias("line"))), "line-texts")
-    links = verified(pairs, texts, similarity)
-    root = components(links)
+    texts = written(sized(_lines(df, text).select("id", "line").join(ids, "id", "left_semi").distinct()), "line-texts")
+    root = _counted(components(verified(pairs.where("star"), texts, similarity)))
+    more = pairs.where("not star").select("a", "b")
     large = rows.where(F.col("n") > ALL_PAIRS).select("key", "id")
     if not large.isEmpty():
-        more = written(rest(large, texts, root, similarity), "large-pairs")
-        root = components(links.unionByName(verified(more, texts, similarity)))
-    root = _counted(root)
-    # places as one ordered number; a null id comes first
-    at = F.coalesce("doc", F.lit(-(1 << 63))).cast("decimal(38,0)") * F.lit(1 << 31) + F.col("no")
+        more = more.unionByName(rest(large, texts, root, similarity)).distinct()
+    sides = [root.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "ab"]
+    more = more.join(sides[0], "a", "left").join(sides[1], "b", "left") \
+        .select("a", "b", F.coalesce("a_root", "a").alias("a_root"), F.coalesce("b_root", "b").alias("b_root")).where("a_root <> b_root")
+    more = written(more, "other-pairs")
+    links = verified(more.select("a", "b"), texts, similarity).join(more, ["a", "b"])
+    # components of the roots; none of these is a node of ``root``
+    joined = _counted(components(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))))
+    root = root.join(joined.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left") \
+        .select("node", F.coalesce("last", "root").alias("root")).unionByName(joined)
+    root = _counted(written(root, "line-roots"))
+    # a null id comes first
     each = places.join(root, places["id"] == root["node"], "left") \
-        .select("doc", "tag", "no", at.cast("decimal(38,0)").alias("at"), F.coalesce("root", "id").alias("root"))
-    keeper = each.groupBy("root").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return each.join(keeper, "root").where("at > first").select("doc", "tag", "no")
+        .select("doc", "tag", "no", F.coalesce("doc", F.lit(-(1 << 63))).alias("at"), F.coalesce("root", "id").alias("root"))
+    keeper = each.groupBy("root", "at").agg(F.min("no").alias("no"), F.count(F.lit(1)).alias("n"))
+    keeper = keeper.groupBy("root").agg(F.min("at").alias("first"), F.min_by("no", "at").alias("first_no"), F.sum("n").alias("n"))
+    keeper = _counted(written(keeper.where("n > 1").drop("n"), "keepers"))
+    later = (F.col("at") > F.col("first")) | ((F.col("at") == F.col("first")) & (F.col("no") > F.col("first_no")))
+    return each.join(keeper, "root").where(later).select("doc", "tag", "no")
 
 
 @private_columns("text", "id_col")
