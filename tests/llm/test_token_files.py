@@ -61,6 +61,39 @@ def test_documents_read_back_like_the_library(spark, scratch, monkeypatch):
     assert sum(map(len, flat.values())) == got[-1][1] + got[-1][2] and max(map(len, flat.values())) == K.BLOCK_IDS
 
 
+def test_words_are_encoded_once_a_worker(monkeypatch):
+    """A text's ids come from the memo, with any bound; a later task of the worker encodes only what is new to it."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    t, rng = Tokenizer.from_file(PATH), random.Random(6)
+    parts = ["a", "the", " ", " ", "\n", "\u00a0", "\u3000", "\x85", "\x1c", "é", "'s", "<|endoftext|>", "12", "!", "日", "x y"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(1500)] + [None, "", "w " * 3000]
+    want = [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
+    monkeypatch.setattr(K, "_MEMOS", {})
+    memo, given = K._memo(PATH), []
+    encode = memo.encode
+    monkeypatch.setattr(memo, "encode", lambda x: given.append(sum(map(len, x))) or encode(x))
+    for most in (1 << 20, 7):
+        monkeypatch.setattr(K, "MEMO", most)
+        for part in (texts[:700], texts[700:], texts[700:]):
+            flat, sizes = K.tokenise(pa.array(part, pa.string()), K._memo(PATH))
+            assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == want[texts.index(part[0]):][:len(part)]
+        assert len(memo.words) <= most or most > 7
+        if most > 7:
+            assert len(given) == 7 and given[-1] <= sum(map(len, filter(None, texts[700:])))  # heads and whole texts alone
+    assert K._memo(PATH) is memo
+
+
+def test_wide_and_narrow_blocks_of_a_batch():
+    """Blocks with ids over 29 bits are coded beside the others; a block's payload depends on the block alone."""
+    rng = np.random.default_rng(9)
+    blocks = [rng.integers(0, 2 ** b, n) for b, n in ((3, 900), (31, 70), (29, 200), (16, 4096), (30, 1), (16, 0), (1, 65))]
+    blocks = [np.minimum(b, C.MAX_ID) for b in blocks] + [np.full(40, 2 ** 29 - 2), np.full(40, 2 ** 29 - 1)]
+    payloads = C.encode_blocks(blocks)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, C.decode_blocks(payloads, list(map(len, blocks)))))
+    assert [C.encode_blocks([b])[0] for b in blocks] == payloads
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     df = spark.createDataFrame([(None, "a b"), (3, "x"), (3, "x"), (None, None)], "doc_id long, text string")
     got = sorted((r.doc_id is not None, r.n_tokens, r.start) for r in K.encode(df, PATH).collect())

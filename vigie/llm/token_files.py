@@ -21,13 +21,13 @@ only the number of ids per shard is summed up globally.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,68 +39,136 @@ from vigie.llm.idcodec import BlockError, decode_blocks, encode_blocks
 BLOCK_IDS = 4096
 #: blocks coded side by side; bounds a task's memory
 LANES = 1024
-#: words whose ids a task remembers; bounds its memory
-MEMO = 400_000
+#: words whose ids a worker remembers (some 50 bytes each); bounds its memory
+MEMO = 1 << 20
+#: bytes of text tokenised at once
+STEP_BYTES = 8 << 20
 END_ID = 2
 
 FILE_SCHEMA = ("shard int, seq long, first_doc long, first_id long, n_ids int, crc32 long, "
                "doc_ids array<bigint>, doc_lens array<int>, payload binary")
 
 
-#: white space before a space: there the tokenizer's rule for runs of white space applies
-_RUN = re.compile(r"\s ")
+#: white space before a space (what Python's ``\s`` takes): there the tokenizer's rule for runs of white space applies
+_RUN = (r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] ")
+#: words encoded as one text
+_TOGETHER = 1000
 
 
 class _Memo:
-    """Word -> ids of a space and the word, as bytes; bounded, and exact with or without an entry."""
+    """Word -> ids of a space and the word; bounded, and exact with or without an entry.
+
+    ``flat`` holds the ids of all ``words``, ``at`` and ``size`` where a word's start and their count.
+    """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.words: dict[str, bytes] = {}
+        vocabulary = tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t[:1] == "\u0120"]] = True  # a space, byte-level
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.at, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        """Add new words.  Words joined by spaces are encoded together: a word starts at each id that starts with a space."""
+        odd = [w for w in words if not w or w[-1].isspace()]  # these need their own end of text
+        even = [w for w in words if w and not w[-1].isspace()]
+        parts = [even[i:i + _TOGETHER] for i in range(0, len(even), _TOGETHER)]
+        ids, sizes, order = [], [], []
+        for part, found in zip(parts, self.encode([" " + " ".join(p) for p in parts])):
+            start = np.flatnonzero(self.spaced[found])
+            if len(start) == len(part) and start[0] == 0:
+                ids.append(found)
+                sizes.append(np.diff(start, append=len(found)))
+                order += part
+            else:
+                odd += part
+        alone = self.encode([" " + w for w in odd])
+        sizes = np.concatenate([*sizes, np.array([len(x) for x in alone], np.int64)])
+        self.words = pa.concat_arrays([self.words, pa.array(order + odd, pa.large_string())])
+        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, *ids, *alone])
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The places of words; they hold until ``bound`` is called."""
+        known = len(self.words)
+        found = pc.index_in(words, self.words)
+        if found.null_count:
+            missed = words.filter(found.is_null())
+            self._learn(missed.unique().to_pylist())
+            found = pc.replace_with_mask(found, found.is_null(), pc.add(pc.index_in(missed, self.words[known:]), known).cast("int32"))
+        return np.asarray(found)
+
+    def bound(self) -> None:
+        """Forget the words beyond the bound, the last learned."""
+        if len(self.words) > MEMO:
+            self.words = pa.concat_arrays([self.words[:MEMO]])
+            self.flat = self.flat[:self.at[MEMO]].copy()
+            self.at, self.size = self.at[:MEMO].copy(), self.size[:MEMO].copy()
+
+
+#: a worker's memos by tokenizer file: a task finds the words of the worker's earlier tasks
+_MEMOS: dict[str, _Memo] = {}
+
+
+def _memo(tokenizer_path: str) -> _Memo:
+    if tokenizer_path not in _MEMOS:
+        from tokenizers import Tokenizer
+        _MEMOS.clear()
+        _MEMOS[tokenizer_path] = _Memo(Tokenizer.from_file(tokenizer_path))
+    return _MEMOS[tokenizer_path]
 
 
-def tokenise(texts: list[str | None], memo: _Memo) -> list[bytes]:
-    """Ids of whole texts as bytes (little-endian unsigned 32-bit), end id appended; null is empty.
+def tokenise(texts: pa.Array, memo: _Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of whole texts, end id appended, one after the other, and the number of ids of each; null is empty.
 
     Byte-level pre-tokenization never joins a space to what precedes it, so a
     text may be cut before each single space after a non-space: the ids of the
     pieces, put together, are the ids of the text.  A text where white space
     meets a space is encoded in one piece.
     """
-    cut = [None if _RUN.search(t or "") else (t or "").split(" ") for t in texts]
-    plain = iter(memo.encode([t for t, c in zip(texts, cut) if c is None]))
-    heads = iter(memo.encode([c[0] for c in cut if c is not None]))
-    wanted: set[str] = set()
-    for c in cut:
-        if c is not None:
-            wanted.update(c[1:])
-    known = memo.words
-    new = list(wanted.difference(known))
-    known.update(zip(new, memo.encode([" " + w for w in new])))
-    end, get = np.array([END_ID], "<u4").tobytes(), known.__getitem__
-    out = [next(plain) + end if c is None else next(heads) + b"".join(map(get, c[1:])) + end for c in cut]
-    for w in new[max(0, MEMO - (len(known) - len(new))):]:  # over the bound: forget what this call added
-        del known[w]
-    return out
+    n = len(texts)
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    whole = pc.match_substring_regex(texts, _RUN)
+    cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+    offsets = np.asarray(cut.offsets).astype(np.int64) - cut.offsets[0].as_py()
+    words = cut.flatten()
+    heads = memo.encode(pc.if_else(whole, texts, words.take(pa.array(offsets[:-1]))).to_pylist())
+    number = memo.numbers(words)
+    # pieces: each text's words, the first one as it is without a space, and the end id
+    more = np.array([len(h) for h in heads], np.int64)
+    flat = np.concatenate([memo.flat, *heads, np.array([END_ID], np.uint32)])
+    text = np.arange(n)
+    at, size = (np.empty(len(words) + n, np.int64) for _ in range(2))
+    place = np.arange(len(words)) + np.repeat(text, np.diff(offsets))
+    at[place], size[place] = memo.at[number], memo.size[number]
+    first, last = offsets[:-1] + text, offsets[1:] + text
+    at[first], size[first] = len(memo.flat) + np.cumsum(more) - more, more
+    at[last], size[last] = len(flat) - 1, 1
+    memo.bound()
+    ends = np.cumsum(size)
+    stream = flat[np.repeat(at - (ends - size), size) + np.arange(ends[-1] if n else 0)]
+    return stream, np.diff(ends[last], prepend=0)
 
 
 def _encoder(tokenizer_path: str):
     """Task body: sorted (doc_id, text) batches to rows of the file schema."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        memo = _Memo(Tokenizer.from_file(tokenizer_path))
+        memo = _memo(tokenizer_path)
         shard = TaskContext.get().partitionId()
         ids, docs, n = [], [], 0        # waiting ids and their documents [id, length, position in shard]
         seq = first_id = n_docs = 0
 
         def rows(last: bool):
             nonlocal ids, docs, n, seq, first_id
-            stream = np.frombuffer(b"".join(ids), "<u4")
+            stream = np.concatenate(ids)
             take = len(stream) if last else len(stream) // BLOCK_IDS * BLOCK_IDS
             blocks = [stream[i:min(i + BLOCK_IDS, take)] for i in range(0, take, BLOCK_IDS)]
             out = []
@@ -117,18 +185,20 @@ def _encoder(tokenizer_path: str):
                 out.append((shard, seq, first_doc, first_id, len(block), zlib.crc32(block.tobytes()),
                             [p[0] for p in pieces], [p[1] for p in pieces], payload))
                 seq, first_id = seq + 1, first_id + len(block)
-            ids, n = [stream[take:].tobytes()], len(stream) - take
+            ids, n = [stream[take:].copy()], len(stream) - take
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate(_ARROW.types)], schema=_ARROW)
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for i in range(0, len(keys), 512):
-                for key, data in zip(keys[i:i + 512], tokenise(texts.slice(i, 512).to_pylist(), memo)):
-                    ids.append(data)
-                    docs.append([key, len(data) // 4, n_docs])
+            step = max(1, min(len(keys), STEP_BYTES * len(keys) // max(texts.nbytes, 1)))
+            for i in range(0, len(keys), step):
+                stream, sizes = tokenise(texts.slice(i, step), memo)
+                ids.append(stream)
+                n += len(stream)
+                for key, size in zip(keys[i:i + step], sizes.tolist()):
+                    docs.append([key, size, n_docs])
                     n_docs += 1
-                    n += len(data) // 4
                 if n >= LANES * BLOCK_IDS:
                     yield rows(False)
         if n:
