@@ -38,9 +38,9 @@ from vigie.llm.idcodec import BlockError, decode_blocks, encode_blocks
 
 BLOCK_IDS = 4096
 #: blocks coded side by side; bounds a task's memory
-LANES = 1024
+LANES = 2048
 #: words whose ids a worker remembers (some 50 bytes each); bounds its memory
-MEMO = 1 << 20
+MEMO = 1 << 19
 #: bytes of text tokenised at once
 STEP_BYTES = 8 << 20
 END_ID = 2
@@ -96,12 +96,12 @@ class _Memo:
         self.flat = np.concatenate([self.flat, *ids, *alone])
 
     def numbers(self, words: pa.Array) -> np.ndarray:
-        """The places of words; they hold until ``bound`` is called."""
+        """The places of different words; they hold until ``bound`` is called."""
         known = len(self.words)
         found = pc.index_in(words, self.words)
         if found.null_count:
             missed = words.filter(found.is_null())
-            self._learn(missed.unique().to_pylist())
+            self._learn(missed.to_pylist())
             found = pc.replace_with_mask(found, found.is_null(), pc.add(pc.index_in(missed, self.words[known:]), known).cast("int32"))
         return np.asarray(found)
 
@@ -140,7 +140,8 @@ def tokenise(texts: pa.Array, memo: _Memo) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.asarray(cut.offsets).astype(np.int64) - cut.offsets[0].as_py()
     words = cut.flatten()
     heads = memo.encode(pc.if_else(whole, texts, words.take(pa.array(offsets[:-1]))).to_pylist())
-    number = memo.numbers(words)
+    coded = words.dictionary_encode()
+    number = memo.numbers(coded.dictionary)[np.asarray(coded.indices)]
     # pieces: each text's words, the first one as it is without a space, and the end id
     more = np.array([len(h) for h in heads], np.int64)
     flat = np.concatenate([memo.flat, *heads, np.array([END_ID], np.uint32)])
