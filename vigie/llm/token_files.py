@@ -38,11 +38,11 @@ from vigie.llm.idcodec import BlockError, decode_blocks, encode_blocks
 
 BLOCK_IDS = 4096
 #: blocks coded side by side; bounds a task's memory
-LANES = 2048
+LANES = 1024
 #: words whose ids a worker remembers (some 50 bytes each); bounds its memory
-MEMO = 1 << 19
+MEMO = 1 << 18
 #: bytes of text tokenised at once
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 END_ID = 2
 
 FILE_SCHEMA = ("shard int, seq long, first_doc long, first_id long, n_ids int, crc32 long, "
@@ -106,11 +106,12 @@ class _Memo:
         return np.asarray(found)
 
     def bound(self) -> None:
-        """Forget the words beyond the bound, the last learned."""
+        """Forget the words beyond the bound, the last learned, and give back what Arrow holds for itself."""
         if len(self.words) > MEMO:
             self.words = pa.concat_arrays([self.words[:MEMO]])
             self.flat = self.flat[:self.at[MEMO]].copy()
             self.at, self.size = self.at[:MEMO].copy(), self.size[:MEMO].copy()
+        pa.default_memory_pool().release_unused()
 
 
 #: a worker's memos by tokenizer file: a task finds the words of the worker's earlier tasks
